@@ -16,6 +16,11 @@ ALL_EVENT_TYPES = (
     "feature_completed", "help_opened", "error_encountered", "feedback_submitted",
 )
 NO_BARRIER = "No barrier reported"
+BARRIER_CATEGORIES = (
+    "No time to learn", "Unsure what use cases are allowed", "Low output quality",
+    "Hard to find the right feature", "Privacy or compliance concern", "Lack of relevant training",
+    "Tool performance issue", "No barrier reported",
+)
 QUALIFYING_FEATURE = "Prompt Library"
 
 CANONICAL_FEATURES = (
@@ -81,6 +86,7 @@ class AdoptionConfig:
     retention_max_weeks: int = 8
     low_adoption_threshold: float = 0.70
     no_barrier_label: str = NO_BARRIER
+    barrier_categories: tuple[str, ...] = BARRIER_CATEGORIES
     feature_names: tuple[str, ...] = CANONICAL_FEATURES
     canonical_business_units: tuple[str, ...] = CANONICAL_BUSINESS_UNITS
     business_unit_label_map: dict = field(default_factory=lambda: dict(BUSINESS_UNIT_LABEL_MAP))
