@@ -31,7 +31,8 @@ def retention_cohorts(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFr
     u = user_active_weeks(t, cfg)
     sizes = u.groupBy("cohort_week").agg(F.count(F.lit(1)).alias("cohort_users"))
     cells = (
-        u.select("cohort_week", (F.explode("weeks") - F.col("cohort_week")).alias("weeks_since_activation"))
+        u.select("cohort_week", F.explode(F.transform("weeks", lambda w: w - F.col("cohort_week")))
+                 .alias("weeks_since_activation"))
         .where(F.col("weeks_since_activation").between(0, cfg.retention_max_weeks))
         .groupBy("cohort_week", "weeks_since_activation")
         .agg(F.count(F.lit(1)).alias("active_users"))

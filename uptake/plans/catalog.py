@@ -193,3 +193,286 @@ FROM (SELECT uw.week_number, uw.week_start_date, u.business_unit, COUNT(*) AS we
 JOIN (SELECT week_number, COUNT(*) AS company_wau FROM uw GROUP BY 1) c ON c.week_number = s.week_number""", UW))
 def q_wau_share(spark, sf):
     return activity.wau_share(tables(spark, sf), CFG)
+
+
+# --------------------------------------------------------------------------- features
+
+ELIG = """eligible AS (
+    SELECT * FROM users WHERE COALESCE(eligible_for_access_flag, FALSE) AND assigned_access_date IS NOT NULL
+)"""
+ADOPT = f"""adopt AS (
+    SELECT DISTINCT user_id, feature_name FROM usage_events
+    WHERE event_type IN {in_list(CFG.adoption_event_types)} AND feature_name IS NOT NULL
+)"""
+
+
+def _feature_adoption_sql(segs: list[str]) -> str:
+    g = "".join(f"e.{s}, " for s in segs)
+    g2 = "".join(f"d.{s}, " for s in segs)
+    on = "".join(f" AND a.{s} = d.{s}" for s in segs)
+    where = " AND ".join(f"e.{s} IS NOT NULL" for s in segs) or "TRUE"
+    grp = ", ".join(f"e.{s}" for s in segs)
+    gb = f"GROUP BY {grp}" if segs else ""
+    return with_bind(f"""
+SELECT {g2}f.feature_name, d.eligible_users, CAST(COALESCE(a.n, 0) AS BIGINT) AS adopted_users,
+       {pct1('COALESCE(a.n, 0)', 'd.eligible_users')} AS feature_adoption_rate_pct
+FROM (SELECT {g}COUNT(*) AS eligible_users FROM eligible e WHERE {where} {gb}) d
+CROSS JOIN feature_catalog f
+LEFT JOIN (SELECT {g}x.feature_name, COUNT(*) AS n FROM adopt x JOIN eligible e ON e.user_id = x.user_id
+           WHERE {where} GROUP BY {g}x.feature_name) a
+  ON a.feature_name = f.feature_name{on}""", ELIG + ",\n" + ADOPT)
+
+
+@register("feature_adoption", _feature_adoption_sql([]))
+def q_feature_adoption(spark, sf):
+    return features.feature_adoption(tables(spark, sf), CFG)
+
+
+@register("feature_adoption_by_segment", _feature_adoption_sql(["business_unit"]))
+def q_feature_adoption_by_segment(spark, sf):
+    return features.feature_adoption(tables(spark, sf), CFG, "business_unit")
+
+
+@register("feature_adoption_bu_role", _feature_adoption_sql(["business_unit", "role"]))
+def q_feature_adoption_bu_role(spark, sf):
+    return features.feature_adoption(tables(spark, sf), CFG, ["business_unit", "role"])
+
+
+@register("core_feature_adoption", with_bind(f"""
+SELECT COUNT(*) AS eligible_users, COUNT(c.user_id) AS core_adopters,
+       {pct1('COUNT(c.user_id)', 'COUNT(*)')} AS core_feature_adoption_rate_pct
+FROM eligible e
+LEFT JOIN (SELECT DISTINCT a.user_id FROM adopt a JOIN feature_catalog f
+           ON f.feature_name = a.feature_name AND f.core_feature_flag) c ON c.user_id = e.user_id""",
+    ELIG + ",\n" + ADOPT))
+def q_core_feature_adoption(spark, sf):
+    return features.core_feature_adoption(tables(spark, sf), CFG)
+
+
+def _pivot_cols(values, value_expr: str, key_col: str, agg: str = "MAX") -> str:
+    return ", ".join(f'{agg}(CASE WHEN {key_col} = {q(v)} THEN {value_expr} END) AS "{v}"' for v in values)
+
+
+@register("role_feature_matrix", f"""SELECT role, {_pivot_cols(CFG.feature_names, 'feature_adoption_rate_pct', 'feature_name')}
+FROM ({_feature_adoption_sql(['role'])}) x GROUP BY role""")
+def q_role_feature_matrix(spark, sf):
+    return features.role_feature_matrix(tables(spark, sf), CFG)
+
+
+@register("feature_usage_trend", with_bind(f"""
+SELECT c.week_number, f.feature_name, COUNT(DISTINCT f.user_id) AS adopting_users
+FROM usage_events f JOIN calendar c ON c.date = CAST(f.event_timestamp AS DATE)
+WHERE f.event_type IN {in_list(CFG.adoption_event_types)} AND f.feature_name IS NOT NULL
+GROUP BY c.week_number, f.feature_name"""))
+def q_feature_usage_trend(spark, sf):
+    return features.feature_usage_trend(tables(spark, sf), CFG)
+
+
+# --------------------------------------------------------------------------- value
+
+TTV = f"""fv AS (
+    SELECT user_id, MIN(event_timestamp) AS first_value_ts FROM usage_events
+    WHERE event_type IN {in_list(CFG.value_event_types)} AND COALESCE(successful_completion_flag, FALSE)
+    GROUP BY user_id
+),
+ttv AS (
+    SELECT u.*, fv.first_value_ts,
+           CAST(date_diff('microsecond', CAST(u.assigned_access_date AS TIMESTAMP), fv.first_value_ts) AS DOUBLE)
+               / 3600000000.0 AS hours_to_value
+    FROM users u JOIN fv ON fv.user_id = u.user_id
+    WHERE u.assigned_access_date IS NOT NULL AND fv.first_value_ts >= CAST(u.assigned_access_date AS TIMESTAMP)
+)"""
+
+
+@register("time_to_value", with_bind(
+    "SELECT user_id, business_unit, role, first_value_ts, hours_to_value FROM ttv", TTV))
+def q_time_to_value(spark, sf):
+    return value.time_to_value(tables(spark, sf), CFG).select(
+        "user_id", "business_unit", "role", "first_value_ts", "hours_to_value")
+
+
+@register("median_ttv_by_segment", with_bind("""
+SELECT business_unit, COUNT(*) AS users_with_first_value,
+       ROUND(quantile_cont(hours_to_value, 0.5), 1) AS median_hours_to_value
+FROM ttv WHERE business_unit IS NOT NULL GROUP BY business_unit""", TTV))
+def q_median_ttv_by_segment(spark, sf):
+    return value.median_time_to_value(tables(spark, sf), CFG, "business_unit")
+
+
+@register("median_ttv_overall", with_bind("""
+SELECT COUNT(*) AS users_with_first_value, ROUND(quantile_cont(hours_to_value, 0.5), 1) AS median_hours_to_value
+FROM ttv""", TTV))
+def q_median_ttv_overall(spark, sf):
+    return value.median_time_to_value(tables(spark, sf), CFG)
+
+
+@register("ttv_histogram", with_bind(f"""
+SELECT CAST(floor(hours_to_value / {CFG.ttv_bin_hours}) * {CFG.ttv_bin_hours} AS BIGINT) AS bin_start_hours,
+       COUNT(*) AS users
+FROM ttv GROUP BY 1""", TTV))
+def q_ttv_histogram(spark, sf):
+    return value.ttv_histogram(tables(spark, sf), CFG)
+
+
+@register("time_saved_by_feature", with_bind(f"""
+SELECT feature_name, successful_actions_with_estimate,
+       {half_up_ratio('cents', '100', 0)} AS total_estimated_minutes_saved,
+       {half_up_ratio('cents', '6000', 1)} AS total_estimated_hours_saved,
+       {half_up_ratio('cents', 'successful_actions_with_estimate * 100', 1)} AS avg_estimated_minutes_saved_per_action,
+       {q(TIME_SAVED_DISCLAIMER)} AS disclaimer
+FROM (SELECT e.feature_name, COUNT(e.estimated_minutes_saved) AS successful_actions_with_estimate,
+             CAST(SUM(e.estimated_minutes_saved) * 100 AS BIGINT) AS cents
+      FROM usage_events e JOIN feature_catalog f ON f.feature_name = e.feature_name
+      GROUP BY e.feature_name) x"""))
+def q_time_saved_by_feature(spark, sf):
+    return value.time_saved_by_feature(tables(spark, sf), CFG)
+
+
+@register("time_saved_value_events", with_bind(f"""
+SELECT feature_name, successful_actions_with_estimate,
+       {half_up_ratio('cents', '100', 1)} AS total_estimated_minutes_saved,
+       {half_up_ratio('cents', 'successful_actions_with_estimate * 100', 1)} AS avg_estimated_minutes_saved_per_action,
+       {half_up_ratio('(cents * 20 + 100) // 200', '600', 1)} AS total_estimated_hours_saved,
+       {q(TIME_SAVED_DISCLAIMER)} AS disclaimer
+FROM (SELECT feature_name, COUNT(*) AS successful_actions_with_estimate,
+             CAST(SUM(estimated_minutes_saved) * 100 AS BIGINT) AS cents
+      FROM usage_events
+      WHERE event_type IN {in_list(CFG.value_event_types)} AND COALESCE(successful_completion_flag, FALSE)
+        AND estimated_minutes_saved IS NOT NULL AND feature_name IS NOT NULL
+      GROUP BY feature_name) x"""))
+def q_time_saved_value_events(spark, sf):
+    return value.time_saved_value_events(tables(spark, sf), CFG)
+
+
+# --------------------------------------------------------------------------- retention
+
+COH = f"""uwk AS (
+    SELECT DISTINCT f.user_id, c.week_number
+    FROM usage_events f JOIN calendar c ON c.date = CAST(f.event_timestamp AS DATE) WHERE f.{M}
+),
+coh AS (SELECT user_id, MIN(week_number) AS cohort_week FROM uwk GROUP BY user_id),
+sizes AS (SELECT cohort_week, COUNT(*) AS cohort_users FROM coh GROUP BY cohort_week),
+cells AS (
+    SELECT c.cohort_week, u.week_number - c.cohort_week AS weeks_since_activation, COUNT(*) AS active_users
+    FROM coh c JOIN uwk u ON u.user_id = c.user_id
+    WHERE u.week_number - c.cohort_week BETWEEN 0 AND {CFG.retention_max_weeks}
+    GROUP BY 1, 2
+),
+ret AS (
+    SELECT x.cohort_week, s.cohort_users, x.weeks_since_activation, x.active_users,
+           {pct1('x.active_users', 's.cohort_users')} AS retention_rate_pct
+    FROM cells x JOIN sizes s ON s.cohort_week = x.cohort_week
+),
+grid AS (
+    SELECT s.cohort_week, s.cohort_users, CAST(g.w AS INTEGER) AS weeks_since_activation,
+           CAST(COALESCE(r.active_users, 0) AS BIGINT) AS active_users,
+           COALESCE(r.retention_rate_pct, 0.0) AS retention_rate_pct
+    FROM sizes s CROSS JOIN range(0, {CFG.retention_max_weeks + 1}) g(w)
+    LEFT JOIN ret r ON r.cohort_week = s.cohort_week AND r.weeks_since_activation = g.w
+)"""
+
+
+@register("retention_cohorts", with_bind("SELECT * FROM ret", COH))
+def q_retention_cohorts(spark, sf):
+    return retention.retention_cohorts(tables(spark, sf), CFG)
+
+
+@register("activation_week", with_bind(f"""
+SELECT f.user_id, f.first_meaningful_ts, c.week_number AS activation_week
+FROM (SELECT user_id, MIN(event_timestamp) AS first_meaningful_ts FROM usage_events WHERE {M} GROUP BY user_id) f
+LEFT JOIN calendar c ON c.date = CAST(f.first_meaningful_ts AS DATE)"""))
+def q_activation_week(spark, sf):
+    return retention.activation_week(tables(spark, sf), CFG)
+
+
+@register("retention_matrix", with_bind(f"""
+SELECT cohort_week, cohort_users,
+       {', '.join(f'MAX(CASE WHEN weeks_since_activation = {i} THEN retention_rate_pct END) AS week_{i}'
+                  for i in range(CFG.retention_max_weeks + 1))}
+FROM grid GROUP BY cohort_week, cohort_users""", COH))
+def q_retention_matrix(spark, sf):
+    return retention.retention_matrix(tables(spark, sf), CFG)
+
+
+@register("retention_w1_w4", with_bind("""
+SELECT cohort_week, cohort_users,
+       MAX(CASE WHEN weeks_since_activation = 1 THEN retention_rate_pct END) AS week1_retention_pct,
+       MAX(CASE WHEN weeks_since_activation = 4 THEN retention_rate_pct END) AS week4_retention_pct
+FROM grid GROUP BY cohort_week, cohort_users""", COH))
+def q_retention_w1_w4(spark, sf):
+    return retention.retention_w1_w4(tables(spark, sf), CFG)
+
+
+def _dormancy_sql(cfg, seg: str = "business_unit") -> str:
+    n = cfg.trailing_window_days
+    return with_bind(f"""
+SELECT a.{seg}, COUNT(*) AS activated_users, COUNT(*) FILTER (WHERE r.user_id IS NULL) AS dormant_users,
+       {pct1('COUNT(*) FILTER (WHERE r.user_id IS NULL)', 'COUNT(*)')} AS dormancy_rate_pct
+FROM (SELECT * FROM activation WHERE activated AND {seg} IS NOT NULL) a
+LEFT JOIN (SELECT DISTINCT user_id FROM usage_events
+           WHERE {sp.meaningful(cfg)} AND CAST(event_timestamp AS DATE) > {sp.as_of(cfg)} - {n}
+             AND CAST(event_timestamp AS DATE) <= {sp.as_of(cfg)}) r ON r.user_id = a.user_id
+GROUP BY a.{seg}""", sp.activation_ctes(cfg))
+
+
+@register("dormancy_by_segment", _dormancy_sql(CFG))
+def q_dormancy_by_segment(spark, sf):
+    return retention.dormant_users(tables(spark, sf), CFG, "business_unit")
+
+
+@register("dormancy_by_segment_ref_windows", _dormancy_sql(REF))
+def q_dormancy_ref(spark, sf):
+    return retention.dormant_users(tables(spark, sf), REF, "business_unit")
+
+
+@register("dormancy_trend", with_bind(f"""
+SELECT w.week_number, w.week_end_date AS as_of_date, b.activated_users,
+       b.activated_users - COALESCE(x.n, 0) AS dormant_users,
+       {pct1('b.activated_users - COALESCE(x.n, 0)', 'b.activated_users')} AS dormancy_rate_pct
+FROM (SELECT COUNT(*) AS activated_users FROM activation WHERE activated) b
+CROSS JOIN we w
+LEFT JOIN (SELECT tw.week_number, COUNT(*) AS n FROM tw JOIN activation a ON a.user_id = tw.user_id AND a.activated
+           GROUP BY tw.week_number) x ON x.week_number = w.week_number""", ACT + "," + TA))
+def q_dormancy_trend(spark, sf):
+    return retention.dormancy_trend(tables(spark, sf), CFG)
+
+
+# --------------------------------------------------------------------------- training
+
+
+def _training_sql(seg: str | None) -> str:
+    g = f"{seg}, " if seg else ""
+    return with_bind(f"""
+SELECT {g}COUNT(*) AS users_assigned,
+       COUNT(*) FILTER (WHERE training_completed_date IS NOT NULL) AS users_completed,
+       {pct1('COUNT(*) FILTER (WHERE training_completed_date IS NOT NULL)', 'COUNT(*)')} AS training_completion_rate_pct
+FROM users WHERE training_assigned_date IS NOT NULL {f'AND {seg} IS NOT NULL GROUP BY {seg}' if seg else ''}""")
+
+
+@register("training_completion", _training_sql(None))
+def q_training_completion(spark, sf):
+    return training.training_completion(tables(spark, sf))
+
+
+@register("training_completion_by_segment", _training_sql("business_unit"))
+def q_training_completion_by_segment(spark, sf):
+    return training.training_completion(tables(spark, sf), "business_unit")
+
+
+@register("training_vs_activation", with_bind(f"""
+SELECT CASE WHEN completed_training THEN 'Completed Training' ELSE 'Did Not Complete Training' END AS training_status,
+       COUNT(*) AS eligible_users, COUNT(*) FILTER (WHERE activated) AS activated_users,
+       {pct1('COUNT(*) FILTER (WHERE activated)', 'COUNT(*)')} AS activation_rate_pct
+FROM activation GROUP BY 1""", ACT))
+def q_training_vs_activation(spark, sf):
+    return training.training_vs_activation(tables(spark, sf), CFG)
+
+
+@register("training_attendance_by_segment", with_bind(f"""
+SELECT business_unit, sessions, registered, attended, completed,
+       {pct1('attended', 'registered')} AS attendance_rate_pct, {pct1('completed', 'attended')} AS completion_rate_pct
+FROM (SELECT business_unit, COUNT(*) AS sessions, CAST(SUM(registered_count) AS BIGINT) AS registered,
+             CAST(SUM(attended_count) AS BIGINT) AS attended, CAST(SUM(completion_count) AS BIGINT) AS completed
+      FROM training_sessions WHERE business_unit IS NOT NULL GROUP BY business_unit) x"""))
+def q_training_attendance(spark, sf):
+    return training.training_attendance(tables(spark, sf))
