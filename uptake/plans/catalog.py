@@ -37,8 +37,17 @@ def register(key: str, sql: str | None):
     return deco
 
 
+_BOUND: dict = {}
+
+
 def tables(spark: SparkSession, sf_dir: str):
-    return bind_testdata(spark, sf_dir)
+    """Bound tables, built once per (session, folder): they are immutable lazy
+    plans, so every query reuses the same analysed DataFrames."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    t = _BOUND.get(key)
+    if t is None:
+        t = _BOUND[key] = bind_testdata(spark, sf_dir)
+    return t
 
 
 M = sp.meaningful(CFG)
@@ -476,3 +485,422 @@ FROM (SELECT business_unit, COUNT(*) AS sessions, CAST(SUM(registered_count) AS
       FROM training_sessions WHERE business_unit IS NOT NULL GROUP BY business_unit) x"""))
 def q_training_attendance(spark, sf):
     return training.training_attendance(tables(spark, sf))
+
+
+# --------------------------------------------------------------------------- feedback
+
+NB = q(CFG.no_barrier_label)
+
+
+def _rec_sql(seg: str | None) -> str:
+    if seg:
+        return with_bind(f"""
+SELECT u.{seg}, COUNT(*) AS feedback_submissions, COUNT(*) FILTER (WHERE f.would_recommend_flag) AS recommend_count,
+       {pct1('COUNT(*) FILTER (WHERE f.would_recommend_flag)', 'COUNT(*)')} AS recommendation_rate_pct
+FROM feedback f JOIN users u ON u.user_id = f.user_id
+WHERE f.would_recommend_flag IS NOT NULL AND u.{seg} IS NOT NULL GROUP BY u.{seg}""")
+    return with_bind(f"""
+SELECT COUNT(*) AS feedback_submissions, COUNT(*) FILTER (WHERE would_recommend_flag) AS recommend_count,
+       {pct1('COUNT(*) FILTER (WHERE would_recommend_flag)', 'COUNT(*)')} AS recommendation_rate_pct
+FROM feedback WHERE would_recommend_flag IS NOT NULL""")
+
+
+@register("recommendation_rate", _rec_sql(None))
+def q_recommendation_rate(spark, sf):
+    return feedback.recommendation_rate(tables(spark, sf))
+
+
+@register("recommendation_by_segment", _rec_sql("business_unit"))
+def q_recommendation_by_segment(spark, sf):
+    return feedback.recommendation_rate(tables(spark, sf), "business_unit")
+
+
+@register("avg_rating_by_feature", with_bind(f"""
+SELECT feature_name, COUNT(*) AS feedback_submissions, COUNT(rating_1_to_5) AS rated_submissions,
+       {half_up_ratio('SUM(rating_1_to_5)', 'COUNT(rating_1_to_5)', 2)} AS avg_rating
+FROM feedback WHERE feature_name IS NOT NULL GROUP BY feature_name"""))
+def q_avg_rating_by_feature(spark, sf):
+    return feedback.avg_rating(tables(spark, sf), "feature_name")
+
+
+BC = f"""bc AS (
+    SELECT u.business_unit, f.barrier_category, COUNT(*) AS mentions
+    FROM feedback f JOIN users u ON u.user_id = f.user_id
+    WHERE f.barrier_category IS NOT NULL AND f.barrier_category <> {NB} AND u.business_unit IS NOT NULL
+    GROUP BY u.business_unit, f.barrier_category
+),
+br AS (
+    SELECT business_unit, barrier_category, mentions,
+           {pct1('mentions', 'SUM(mentions) OVER (PARTITION BY business_unit)')} AS pct_of_barrier_mentions,
+           RANK() OVER (PARTITION BY business_unit ORDER BY mentions DESC) AS barrier_rank
+    FROM bc
+)"""
+
+
+@register("barrier_ranking", with_bind("SELECT * FROM br", BC))
+def q_barrier_ranking(spark, sf):
+    return feedback.barrier_ranking(tables(spark, sf), CFG)
+
+
+@register("top_barriers_with_ties", with_bind("SELECT * FROM br WHERE barrier_rank = 1", BC))
+def q_top_barriers_with_ties(spark, sf):
+    return feedback.top_barriers_with_ties(tables(spark, sf), CFG)
+
+
+@register("top_barrier", with_bind(f"""
+SELECT barrier_category AS top_barrier, mentions FROM (
+    SELECT barrier_category, COUNT(*) AS mentions,
+           ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, barrier_category) AS rn
+    FROM feedback WHERE barrier_category IS NOT NULL AND barrier_category <> {NB} GROUP BY barrier_category
+) x WHERE rn = 1"""))
+def q_top_barrier(spark, sf):
+    return feedback.top_barrier(tables(spark, sf), CFG)
+
+
+WF = f"""wf AS (
+    SELECT c.week_number, u.business_unit, COUNT(*) AS feedback_submissions,
+           {half_up_ratio('SUM(f.rating_1_to_5)', 'COUNT(f.rating_1_to_5)', 2)} AS avg_rating,
+           {pct1('COUNT(*) FILTER (WHERE f.would_recommend_flag)', 'COUNT(*)')} AS recommendation_rate_pct
+    FROM feedback f JOIN calendar c ON c.date = CAST(f.feedback_timestamp AS DATE)
+    JOIN users u ON u.user_id = f.user_id
+    WHERE u.business_unit IS NOT NULL
+    GROUP BY c.week_number, u.business_unit
+)"""
+
+
+@register("weekly_feedback", with_bind("SELECT * FROM wf", WF))
+def q_weekly_feedback(spark, sf):
+    return feedback.weekly_feedback(tables(spark, sf))
+
+
+@register("feedback_anonymised", with_bind("""
+SELECT f.feedback_id, f.feedback_timestamp, u.business_unit, f.feature_name, f.rating_1_to_5, f.sentiment_label,
+       f.barrier_category, f.free_text_feedback, f.would_recommend_flag
+FROM feedback f LEFT JOIN (SELECT user_id, business_unit FROM users WHERE business_unit IS NOT NULL) u
+  ON u.user_id = f.user_id"""))
+def q_feedback_anonymised(spark, sf):
+    return feedback.feedback_anonymised(tables(spark, sf))
+
+
+# --------------------------------------------------------------------------- reports
+
+WI = f"""me AS (
+    SELECT f.user_id, f.feature_name, f.estimated_minutes_saved, c.week_number, c.week_start_date, u.business_unit
+    FROM usage_events f
+    JOIN calendar c ON c.date = CAST(f.event_timestamp AS DATE)
+    JOIN users u ON u.user_id = f.user_id
+    WHERE f.{M}
+),
+wau AS (
+    SELECT week_number, week_start_date, business_unit, COUNT(DISTINCT user_id) AS wau,
+           CAST(COALESCE(SUM(estimated_minutes_saved), 0) * 100 AS BIGINT) AS cents,
+           COUNT(DISTINCT CASE WHEN feature_name = {q(CFG.qualifying_feature)} THEN user_id END) AS pl
+    FROM me WHERE business_unit IS NOT NULL GROUP BY 1, 2, 3
+),
+cw AS (SELECT week_number, COUNT(DISTINCT user_id) AS company_wau FROM me GROUP BY 1),
+{WF.strip()},
+tb AS (
+    SELECT week_number, business_unit, barrier_category FROM (
+        SELECT c.week_number, u.business_unit, f.barrier_category,
+               ROW_NUMBER() OVER (PARTITION BY c.week_number, u.business_unit
+                                  ORDER BY COUNT(*) DESC, f.barrier_category) AS rn
+        FROM feedback f JOIN calendar c ON c.date = CAST(f.feedback_timestamp AS DATE)
+        JOIN users u ON u.user_id = f.user_id
+        WHERE f.barrier_category IS NOT NULL AND f.barrier_category <> {NB} AND u.business_unit IS NOT NULL
+        GROUP BY c.week_number, u.business_unit, f.barrier_category
+    ) r WHERE rn = 1
+)"""
+WI_BODY = f"""
+SELECT w.week_number, w.week_start_date, w.business_unit, w.wau AS weekly_active_users,
+       LAG(w.wau) OVER (PARTITION BY w.business_unit ORDER BY w.week_number) AS prior_week_wau,
+       w.wau - LAG(w.wau) OVER (PARTITION BY w.business_unit ORDER BY w.week_number) AS wau_change_vs_prior_week,
+       {pct1('w.wau', 'cw.company_wau')} AS pct_of_company_wau_this_week,
+       w.pl AS prompt_library_users,
+       {half_up_ratio('w.cents', '6000', 1)} AS estimated_hours_saved_modeled,
+       CAST(COALESCE(fb.feedback_submissions, 0) AS BIGINT) AS feedback_submissions,
+       fb.avg_rating, fb.recommendation_rate_pct,
+       tb.barrier_category AS top_reported_barrier,
+       {q(WEEKLY_DISCLAIMER)} AS disclaimer
+FROM wau w
+JOIN cw ON cw.week_number = w.week_number
+LEFT JOIN wf fb ON fb.week_number = w.week_number AND fb.business_unit = w.business_unit
+LEFT JOIN tb ON tb.week_number = w.week_number AND tb.business_unit = w.business_unit"""
+
+
+@register("weekly_insights", with_bind(WI_BODY, WI))
+def q_weekly_insights(spark, sf):
+    return reports.weekly_insights(tables(spark, sf), CFG)
+
+
+SC = f"""{ACT.strip()},
+{TTV.strip()},
+{sp.trailing_active(CFG).strip()},
+act_bu AS (
+    SELECT business_unit, COUNT(*) AS eligible_users, COUNT(*) FILTER (WHERE activated) AS activated_users,
+           {pct1('COUNT(*) FILTER (WHERE activated)', 'COUNT(*)')} AS activation_rate_pct
+    FROM activation WHERE business_unit IS NOT NULL GROUP BY business_unit
+),
+ttv_bu AS (
+    SELECT business_unit, ROUND(quantile_cont(hours_to_value, 0.5), 1) AS median_hours_to_value
+    FROM ttv WHERE business_unit IS NOT NULL GROUP BY business_unit
+),
+tr_bu AS (
+    SELECT business_unit, {pct1('COUNT(*) FILTER (WHERE training_completed_date IS NOT NULL)', 'COUNT(*)')}
+               AS training_completion_rate_pct
+    FROM users WHERE training_assigned_date IS NOT NULL AND business_unit IS NOT NULL GROUP BY business_unit
+),
+dorm_bu AS (
+    SELECT a.business_unit,
+           {pct1('COUNT(*) FILTER (WHERE r.user_id IS NULL)', 'COUNT(*)')} AS dormancy_rate_pct
+    FROM (SELECT * FROM activation WHERE activated AND business_unit IS NOT NULL) a
+    LEFT JOIN (SELECT DISTINCT user_id FROM usage_events
+               WHERE {M} AND CAST(event_timestamp AS DATE) > {sp.as_of(CFG)} - {CFG.trailing_window_days}
+                 AND CAST(event_timestamp AS DATE) <= {sp.as_of(CFG)}) r ON r.user_id = a.user_id
+    GROUP BY a.business_unit
+),
+sc AS (
+    SELECT a.business_unit, a.eligible_users, a.activated_users, a.activation_rate_pct / 100.0 AS activation_rate,
+           t.median_hours_to_value, r.training_completion_rate_pct / 100.0 AS training_completion_rate,
+           d.dormancy_rate_pct / 100.0 AS dormancy_rate
+    FROM act_bu a LEFT JOIN ttv_bu t ON t.business_unit = a.business_unit
+    LEFT JOIN tr_bu r ON r.business_unit = a.business_unit
+    LEFT JOIN dorm_bu d ON d.business_unit = a.business_unit
+)"""
+
+
+@register("segment_scorecard", with_bind("SELECT * FROM sc", SC))
+def q_segment_scorecard(spark, sf):
+    return reports.segment_scorecard(tables(spark, sf), CFG)
+
+
+FS_BODY = f"""{ADOPT},
+fa AS (
+    SELECT f.feature_name, d.eligible_users, CAST(COALESCE(a.n, 0) AS BIGINT) AS adopted_users,
+           {pct1('COALESCE(a.n, 0)', 'd.eligible_users')} AS feature_adoption_rate_pct
+    FROM (SELECT COUNT(*) AS eligible_users FROM eligible) d CROSS JOIN feature_catalog f
+    LEFT JOIN (SELECT x.feature_name, COUNT(*) AS n FROM adopt x JOIN eligible e ON e.user_id = x.user_id
+               GROUP BY x.feature_name) a ON a.feature_name = f.feature_name
+),
+saved AS (
+    SELECT feature_name, {half_up_ratio('(cents * 20 + 100) // 200', '600', 1)} AS total_estimated_hours_saved
+    FROM (SELECT feature_name, CAST(SUM(estimated_minutes_saved) * 100 AS BIGINT) AS cents FROM usage_events
+          WHERE event_type IN {in_list(CFG.value_event_types)} AND COALESCE(successful_completion_flag, FALSE)
+            AND estimated_minutes_saved IS NOT NULL AND feature_name IS NOT NULL GROUP BY feature_name) x
+),
+fs AS (
+    SELECT fa.feature_name, fa.eligible_users, fa.adopted_users, fa.feature_adoption_rate_pct / 100.0
+               AS feature_adoption_rate, s.total_estimated_hours_saved
+    FROM fa LEFT JOIN saved s ON s.feature_name = fa.feature_name
+)"""
+FS = ELIG + ",\n" + FS_BODY
+
+
+@register("feature_scorecard", with_bind("SELECT * FROM fs", FS))
+def q_feature_scorecard(spark, sf):
+    return reports.feature_scorecard(tables(spark, sf), CFG)
+
+
+BARRIERS = [b for b in CFG.barrier_categories if b != CFG.no_barrier_label]
+
+
+@register("barrier_matrix", with_bind(f"""
+SELECT business_unit, {', '.join(f'CAST(COALESCE(SUM(CASE WHEN barrier_category = {q(b)} THEN mentions END), 0) AS BIGINT) AS "{b}"' for b in BARRIERS)}
+FROM bc GROUP BY business_unit""", BC))
+def q_barrier_matrix(spark, sf):
+    return reports.barrier_matrix(tables(spark, sf), CFG)
+
+
+@register("feature_usage_matrix", with_bind(f"""
+SELECT f.feature_name, {', '.join(f'CAST(COUNT(*) FILTER (WHERE u.business_unit = {q(b)}) AS BIGINT) AS "{b}"' for b in CFG.canonical_business_units)}
+FROM usage_events f JOIN users u ON u.user_id = f.user_id
+WHERE f.event_type IN {in_list(CFG.adoption_event_types)} AND f.feature_name IS NOT NULL AND u.business_unit IS NOT NULL
+GROUP BY f.feature_name"""))
+def q_feature_usage_matrix(spark, sf):
+    return reports.feature_usage_matrix(tables(spark, sf), CFG)
+
+
+@register("wau_matrix", with_bind(f"""
+SELECT uw.week_number, {', '.join(f'CAST(COUNT(*) FILTER (WHERE u.business_unit = {q(b)}) AS BIGINT) AS "{b}"' for b in CFG.canonical_business_units)}
+FROM uw JOIN users u ON u.user_id = uw.user_id WHERE u.business_unit IS NOT NULL GROUP BY uw.week_number""", UW))
+def q_wau_matrix(spark, sf):
+    return reports.wau_matrix(tables(spark, sf), CFG)
+
+
+KPI_FROM_WEEK = 3
+
+
+@register("headline_kpis", with_bind(f"""
+SELECT a.total_eligible_users, a.total_activated_users,
+       CAST(a.total_activated_users AS DOUBLE) / NULLIF(CAST(a.total_eligible_users AS DOUBLE), 0) AS company_activation_rate,
+       CAST(a.tr_tenths AS DOUBLE) / CAST(a.tr_n * 1000 AS DOUBLE) AS avg_training_completion_rate,
+       a.segments_below_threshold, w.total_wau_from_week, f.features_above_threshold,
+       CAST(f.hours_tenths AS DOUBLE) / 10.0 AS total_estimated_hours_saved
+FROM (SELECT CAST(SUM(sc.eligible_users) AS BIGINT) AS total_eligible_users,
+             CAST(SUM(sc.activated_users) AS BIGINT) AS total_activated_users,
+             CAST(SUM(CAST(t.training_completion_rate_pct * 10 AS BIGINT)) AS BIGINT) AS tr_tenths,
+             COUNT(t.training_completion_rate_pct) AS tr_n,
+             COUNT(*) FILTER (WHERE sc.activation_rate < 0.75) AS segments_below_threshold
+      FROM sc LEFT JOIN tr_bu t ON t.business_unit = sc.business_unit) a,
+     (SELECT CAST(SUM(n) AS BIGINT) AS total_wau_from_week FROM
+        (SELECT week_number, COUNT(*) AS n FROM uw GROUP BY week_number) x WHERE week_number >= {KPI_FROM_WEEK}) w,
+     (SELECT COUNT(*) FILTER (WHERE feature_adoption_rate > 0.5) AS features_above_threshold,
+             CAST(SUM(CAST(total_estimated_hours_saved * 10 AS BIGINT)) AS BIGINT) AS hours_tenths FROM fs) f""",
+    SC + ",\n" + UW.strip() + ",\n" + FS_BODY))
+def q_headline_kpis(spark, sf):
+    return reports.headline_kpis(tables(spark, sf), CFG, wau_from_week=KPI_FROM_WEEK)
+
+
+LOOKUP = "BUILDING"
+
+
+@register("segment_lookup", with_bind(f"""
+SELECT {q(LOOKUP)} AS business_unit, CASE WHEN COUNT(*) > 0 THEN 'Found' ELSE 'Not found' END AS lookup_status,
+       MAX(activation_rate) AS activation_rate, MAX(median_hours_to_value) AS median_hours_to_value,
+       MAX(dormancy_rate) AS dormancy_rate
+FROM sc WHERE business_unit = {q(LOOKUP)}""", SC))
+def q_segment_lookup(spark, sf):
+    return reports.segment_lookup(tables(spark, sf), CFG, LOOKUP)
+
+
+@register("low_adoption_segments", with_bind(f"""
+SELECT {CFG.low_adoption_threshold} AS threshold,
+       COUNT(*) FILTER (WHERE CAST(activated_users AS DOUBLE) / CAST(eligible_users AS DOUBLE) < {CFG.low_adoption_threshold})
+           AS low_adoption_segments,
+       COUNT(*) AS segments
+FROM (SELECT business_unit, COUNT(*) AS eligible_users, COUNT(*) FILTER (WHERE activated) AS activated_users
+      FROM activation WHERE business_unit IS NOT NULL GROUP BY business_unit) x""", ACT))
+def q_low_adoption_segments(spark, sf):
+    return reports.low_adoption_segments(tables(spark, sf), CFG)
+
+
+@register("adoption_funnel", with_bind(f"""
+SELECT stage_order, stage, users, {pct1('users', 'FIRST_VALUE(users) OVER (ORDER BY stage_order)')} AS pct_of_eligible,
+       LAG(users) OVER (ORDER BY stage_order) - users AS drop_off_from_previous
+FROM (
+    SELECT 1 AS stage_order, 'Eligible users' AS stage, COUNT(*) AS users FROM activation
+    UNION ALL SELECT 2, 'Completed training', COUNT(*) FILTER (WHERE completed_training) FROM activation
+    UNION ALL SELECT 3, 'At least one meaningful action', COUNT(*) FROM activation a
+        WHERE a.user_id IN (SELECT user_id FROM usage_events WHERE {M})
+    UNION ALL SELECT 4, 'Activated users', COUNT(*) FILTER (WHERE activated) FROM activation
+) s""", ACT))
+def q_adoption_funnel(spark, sf):
+    return reports.adoption_funnel(tables(spark, sf), CFG)
+
+
+@register("training_activation_points", with_bind("""
+SELECT a.business_unit, a.eligible_users, a.activation_rate_pct, t.training_completion_rate_pct
+FROM act_bu a LEFT JOIN tr_bu t ON t.business_unit = a.business_unit""", SC))
+def q_training_activation_points(spark, sf):
+    return reports.training_activation_points(tables(spark, sf), CFG)
+
+
+@register("priority_quadrant", with_bind(f"""
+SELECT business_unit, eligible_users, activation_rate_pct, training_completion_rate_pct, avg_rating,
+       CASE WHEN activation_rate_pct < m_act AND training_completion_rate_pct < m_tr THEN 'Training gap'
+            WHEN activation_rate_pct < m_act AND eligible_users >= m_elig THEN 'Biggest-impact fix'
+            WHEN activation_rate_pct < m_act THEN 'Monitor'
+            WHEN avg_rating < m_rat THEN 'High activity, low satisfaction'
+            ELSE 'High activity, high satisfaction' END AS quadrant
+FROM (SELECT p.*, quantile_cont(eligible_users, 0.5) OVER () AS m_elig,
+             quantile_cont(activation_rate_pct, 0.5) OVER () AS m_act,
+             quantile_cont(training_completion_rate_pct, 0.5) OVER () AS m_tr,
+             quantile_cont(avg_rating, 0.5) OVER () AS m_rat
+      FROM (SELECT a.business_unit, a.eligible_users, a.activation_rate_pct, t.training_completion_rate_pct, r.avg_rating
+            FROM act_bu a LEFT JOIN tr_bu t ON t.business_unit = a.business_unit
+            LEFT JOIN (SELECT u.business_unit, {half_up_ratio('SUM(f.rating_1_to_5)', 'COUNT(f.rating_1_to_5)', 2)} AS avg_rating
+                       FROM feedback f JOIN users u ON u.user_id = f.user_id
+                       WHERE u.business_unit IS NOT NULL GROUP BY u.business_unit) r
+              ON r.business_unit = a.business_unit) p) x""", SC))
+def q_priority_quadrant(spark, sf):
+    return reports.priority_quadrant(tables(spark, sf), CFG)
+
+
+@register("segment_actions", with_bind(f"""
+SELECT a.business_unit, a.activation_rate_pct, t.training_completion_rate_pct, b.barrier_category AS top_barrier
+FROM act_bu a LEFT JOIN tr_bu t ON t.business_unit = a.business_unit
+LEFT JOIN (SELECT business_unit, barrier_category FROM (
+              SELECT business_unit, barrier_category,
+                     ROW_NUMBER() OVER (PARTITION BY business_unit ORDER BY mentions DESC, barrier_category) AS rn
+              FROM bc) z WHERE rn = 1) b ON b.business_unit = a.business_unit""", SC + ",\n" + BC))
+def q_segment_actions(spark, sf):
+    return reports.segment_actions(tables(spark, sf), CFG)
+
+
+@register("executive_narrative", with_bind(f"""
+SELECT a.activation_rate_pct, w.wau_change, b.top_barrier,
+       'This period, activation rate is ' || printf('%.1f%%', a.activation_rate_pct) || ', weekly active users are '
+       || CASE WHEN w.wau_change >= 0 THEN 'up' ELSE 'down' END || ' ' || format('{{:,}}', abs(w.wau_change))
+       || ' vs. last week, and the most commonly reported barrier is "' || COALESCE(b.top_barrier, 'none')
+       || '". (Synthetic data — association only, not a causal claim.)' AS narrative
+FROM (SELECT {pct1('COUNT(*) FILTER (WHERE activated)', 'COUNT(*)')} AS activation_rate_pct FROM activation) a,
+     (SELECT COALESCE(MAX(CASE WHEN week_number = mw THEN chg END), 0) AS wau_change FROM (
+         SELECT g.week_number, MAX(g.week_number) OVER () AS mw,
+                COALESCE(x.n, 0) - LAG(COALESCE(x.n, 0)) OVER (ORDER BY g.week_number) AS chg
+         FROM (SELECT DISTINCT week_number FROM calendar) g
+         LEFT JOIN (SELECT week_number, COUNT(*) AS n FROM uw GROUP BY week_number) x ON x.week_number = g.week_number) y) w
+LEFT JOIN (SELECT barrier_category AS top_barrier FROM (
+              SELECT barrier_category, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, barrier_category) AS rn
+              FROM feedback WHERE barrier_category IS NOT NULL AND barrier_category <> {NB}
+              GROUP BY barrier_category) z WHERE rn = 1) b ON TRUE""", ACT + ",\n" + UW.strip()))
+def q_executive_narrative(spark, sf):
+    return reports.executive_narrative(tables(spark, sf), CFG)
+
+
+@register("activation_by_access_week", with_bind(f"""
+SELECT c.week_number, COUNT(*) AS eligible_users, COUNT(*) FILTER (WHERE a.activated) AS activated_users,
+       {pct1('COUNT(*) FILTER (WHERE a.activated)', 'COUNT(*)')} AS activation_rate_pct
+FROM activation a JOIN calendar c ON c.date = a.assigned_access_date
+GROUP BY c.week_number""", ACT))
+def q_activation_by_access_week(spark, sf):
+    return reports.activation_by_access_week(tables(spark, sf), CFG)
+
+
+@register("profile_counts", with_bind("""
+SELECT 'users' AS table_name, 'business_unit' AS column_name, CAST(business_unit AS VARCHAR) AS value, COUNT(*) AS n
+FROM users WHERE business_unit IS NOT NULL GROUP BY 3
+UNION ALL SELECT 'users', 'role', CAST(role AS VARCHAR), COUNT(*) FROM users WHERE role IS NOT NULL GROUP BY 3
+UNION ALL SELECT 'events', 'event_type', event_type, COUNT(*) FROM usage_events WHERE event_type IS NOT NULL GROUP BY 3
+UNION ALL SELECT 'events', 'feature_name', feature_name, COUNT(*) FROM usage_events WHERE feature_name IS NOT NULL GROUP BY 3
+UNION ALL SELECT 'feedback', 'rating_1_to_5', CAST(rating_1_to_5 AS VARCHAR), COUNT(*) FROM feedback
+    WHERE rating_1_to_5 IS NOT NULL GROUP BY 3
+UNION ALL SELECT 'feedback', 'barrier_category', barrier_category, COUNT(*) FROM feedback
+    WHERE barrier_category IS NOT NULL GROUP BY 3"""))
+def q_profile_counts(spark, sf):
+    return reports.profile_counts(tables(spark, sf))
+
+
+FILTER_BUS = ("BUILDING", "MACHINERY")
+FILTER_FROM, FILTER_TO = "2024-01-08", "2024-01-28"
+
+
+@register("wau_filtered", with_bind(f"""
+SELECT uw.week_number, uw.week_start_date, u.business_unit, COUNT(*) AS weekly_active_users
+FROM (SELECT f.user_id, c.week_number, c.week_start_date
+      FROM usage_events f JOIN calendar c ON c.date = CAST(f.event_timestamp AS DATE)
+      WHERE f.{M} AND CAST(f.event_timestamp AS DATE) BETWEEN DATE {q(FILTER_FROM)} AND DATE {q(FILTER_TO)}
+      GROUP BY 1, 2, 3) uw
+JOIN users u ON u.user_id = uw.user_id
+WHERE u.business_unit IN {in_list(FILTER_BUS)}
+GROUP BY 1, 2, 3"""))
+def q_wau_filtered(spark, sf):
+    t = tables(spark, sf).where(
+        users=F.col("business_unit").isin(*FILTER_BUS),
+        events=F.to_date("event_timestamp").between(F.lit(FILTER_FROM).cast("date"), F.lit(FILTER_TO).cast("date")),
+    )
+    return activity.weekly_active_users(t, CFG, "business_unit")
+
+
+TARGET_BUS = ("AUTOMOBILE", "HOUSEHOLD")
+TARGET_BARRIERS = ("Low output quality", "Tool performance issue")
+
+
+@register("target_segments", with_bind(f"""
+SELECT x.reason, x.user_id, u.business_unit FROM (
+    SELECT 'eligible_not_activated' AS reason, user_id FROM activation
+        WHERE NOT activated AND business_unit IN {in_list(TARGET_BUS)}
+    UNION ALL SELECT DISTINCT 'reported_barrier', user_id FROM feedback WHERE barrier_category IN {in_list(TARGET_BARRIERS)}
+    UNION ALL SELECT 'heavy_qualifying_feature_user', user_id FROM usage_events
+        WHERE feature_name = {q(CFG.qualifying_feature)} GROUP BY user_id HAVING COUNT(*) >= 5
+) x LEFT JOIN users u ON u.user_id = x.user_id""", ACT))
+def q_target_segments(spark, sf):
+    return reports.target_segments(tables(spark, sf), CFG, TARGET_BUS, TARGET_BARRIERS, 5)
