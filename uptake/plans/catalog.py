@@ -904,3 +904,151 @@ SELECT x.reason, x.user_id, u.business_unit FROM (
 ) x LEFT JOIN users u ON u.user_id = x.user_id""", ACT))
 def q_target_segments(spark, sf):
     return reports.target_segments(tables(spark, sf), CFG, TARGET_BUS, TARGET_BARRIERS, 5)
+
+
+# --------------------------------------------------------------------------- star schema
+
+STAR = f"""dim_business_unit AS (
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY business_unit_name) AS INTEGER) AS business_unit_key, business_unit_name
+    FROM (SELECT business_unit AS business_unit_name FROM users WHERE business_unit IS NOT NULL
+          UNION SELECT business_unit FROM training_sessions WHERE business_unit IS NOT NULL) x
+),
+dim_role AS (
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY role_name, manager_level) AS INTEGER) AS role_key, role_name, manager_level
+    FROM (SELECT DISTINCT role AS role_name, manager_level FROM users WHERE role IS NOT NULL) x
+),
+dim_feature AS (
+    SELECT CAST(-1 AS INTEGER) AS feature_key, 'F00' AS feature_id, 'Unknown / Not Captured' AS feature_name,
+           'Unknown' AS feature_category, 'Unknown' AS target_persona, CAST(NULL AS DATE) AS release_date,
+           CAST(NULL AS BOOLEAN) AS core_feature_flag
+    UNION ALL
+    SELECT CAST(ROW_NUMBER() OVER (ORDER BY feature_id) AS INTEGER), feature_id, feature_name, feature_category,
+           target_persona, release_date, core_feature_flag FROM feature_catalog
+),
+dim_date AS (
+    SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, date AS full_date, week_start_date, week_number,
+           month, month_name, quarter, year FROM calendar
+),
+dim_user AS (
+    SELECT u.user_id AS user_key, u.user_id, b.business_unit_key, r.role_key, u.region, u.hire_date,
+           u.assigned_access_date, CAST(strftime(u.assigned_access_date, '%Y%m%d') AS INTEGER) AS assigned_access_date_key,
+           u.rollout_wave, u.training_assigned_date, u.training_completed_date, u.training_format,
+           u.manager_champion_flag, u.eligible_for_access_flag
+    FROM users u LEFT JOIN dim_business_unit b ON b.business_unit_name = u.business_unit
+    LEFT JOIN dim_role r ON r.role_name = u.role
+),
+fact_usage_events AS (
+    SELECT e.event_id, e.user_id AS user_key, CAST(strftime(e.event_timestamp, '%Y%m%d') AS INTEGER) AS date_key,
+           CAST(COALESCE(f.feature_key, -1) AS INTEGER) AS feature_key, e.event_timestamp, e.event_type,
+           e.output_exported_flag, e.successful_completion_flag, e.estimated_minutes_saved,
+           e.session_duration_seconds, e.error_flag, e.platform, e.session_id
+    FROM usage_events e
+    LEFT JOIN (SELECT * FROM dim_feature WHERE feature_key > 0) f ON f.feature_name = e.feature_name
+    WHERE e.user_id IN (SELECT user_id FROM users)
+),
+fact_feedback AS (
+    SELECT b.feedback_id, b.user_id AS user_key, CAST(strftime(b.feedback_timestamp, '%Y%m%d') AS INTEGER) AS date_key,
+           CAST(COALESCE(f.feature_key, -1) AS INTEGER) AS feature_key, b.feedback_timestamp, b.rating_1_to_5,
+           b.sentiment_label, b.barrier_category, b.free_text_feedback, b.would_recommend_flag
+    FROM feedback b
+    LEFT JOIN (SELECT * FROM dim_feature WHERE feature_key > 0) f ON f.feature_name = b.feature_name
+    WHERE b.user_id IN (SELECT user_id FROM users)
+),
+fact_training_attendance AS (
+    SELECT t.training_session_id, b.business_unit_key, CAST(strftime(t.session_date, '%Y%m%d') AS INTEGER) AS date_key,
+           t.training_format, t.registered_count, t.attended_count, t.completion_count, t.facilitator, t.session_topic
+    FROM training_sessions t LEFT JOIN dim_business_unit b ON b.business_unit_name = t.business_unit
+)"""
+
+STAR_TABLES = ["dim_business_unit", "dim_role", "dim_feature", "dim_date", "dim_user", "fact_usage_events",
+               "fact_feedback", "fact_training_attendance"]
+
+
+def _star(spark, sf):
+    from uptake.operators import star as st
+    return st.star(tables(spark, sf))
+
+
+def _register_star_table(name: str):
+    @register(name, with_bind(f"SELECT * FROM {name}", STAR))
+    def q(spark, sf):
+        return _star(spark, sf)[name]
+    return q
+
+
+for _n in STAR_TABLES:
+    _register_star_table(_n)
+
+
+def _union_sql(selects: list[str]) -> str:
+    return "\nUNION ALL ".join(selects)
+
+
+def _pk_sql() -> str:
+    from uptake.operators.star import PRIMARY_KEYS, UNIQUE_KEYS
+    rules = [(tb, c, "primary key") for tb, c in PRIMARY_KEYS.items()] + [(tb, c, "unique") for tb, c in UNIQUE_KEYS.items()]
+    return _union_sql([
+        f"SELECT {q(tb)} AS table_name, {q(c)} AS key_column, {q(kind)} AS rule, COUNT(*) AS duplicate_keys, "
+        f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS duplicate_rows "
+        f"FROM (SELECT {c}, COUNT(*) AS n FROM {tb} GROUP BY {c} HAVING COUNT(*) > 1) d"
+        for tb, c, kind in rules])
+
+
+def _fk_sql() -> str:
+    from uptake.operators.star import FOREIGN_KEYS
+    return _union_sql([
+        f"SELECT {q(tb)} AS table_name, {q(c)} AS column_name, {q(ref + '.' + rc)} AS \"references\", COUNT(*) AS violations "
+        f"FROM {tb} x WHERE x.{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {ref} p WHERE p.{rc} = x.{c})"
+        for tb, c, ref, rc in FOREIGN_KEYS])
+
+
+def _null_sql() -> str:
+    from uptake.operators.star import NOT_NULL
+    return _union_sql([
+        f"SELECT {q(tb)} AS table_name, {q(c)} AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {tb}"
+        for tb, c in NOT_NULL])
+
+
+@register("pk_violations", with_bind(_pk_sql(), STAR))
+def q_pk_violations(spark, sf):
+    from uptake.operators import star as st
+    return st.pk_violations(_star(spark, sf))
+
+
+@register("fk_violations", with_bind(_fk_sql(), STAR))
+def q_fk_violations(spark, sf):
+    from uptake.operators import star as st
+    return st.fk_violations(_star(spark, sf))
+
+
+@register("null_violations", with_bind(_null_sql(), STAR))
+def q_null_violations(spark, sf):
+    from uptake.operators import star as st
+    return st.null_violations(_star(spark, sf))
+
+
+@register("table_row_counts", with_bind(_union_sql(
+    [f"SELECT {q(n)} AS table_name, COUNT(*) AS row_count FROM {n}" for n in STAR_TABLES]), STAR))
+def q_table_row_counts(spark, sf):
+    from uptake.operators import star as st
+    return st.table_row_counts(_star(spark, sf))
+
+
+@register("calendar_dim", with_bind("""
+SELECT CAST(d.dt AS DATE) AS date, CAST(date_trunc('week', d.dt) AS DATE) AS week_start_date,
+       CAST(LEAST(GREATEST(date_diff('day', CAST(date_trunc('week', b.start) AS DATE),
+                                      CAST(date_trunc('week', d.dt) AS DATE)) // 7 + 1, 1), b.weeks) AS INTEGER) AS week_number,
+       CAST(month(d.dt) AS INTEGER) AS month, monthname(d.dt) AS month_name,
+       CAST(quarter(d.dt) AS INTEGER) AS quarter, CAST(year(d.dt) AS INTEGER) AS year
+FROM (SELECT CAST(MIN(ts) AS DATE) AS start,
+             CAST(date_diff('day', CAST(MIN(ts) AS DATE), CAST(MAX(ts) AS DATE)) // 7 + 1 AS INTEGER) AS weeks
+      FROM events) b,
+     LATERAL (SELECT unnest(generate_series(CAST(b.start AS TIMESTAMP),
+                                            CAST(b.start + (b.weeks * 7 - 1) AS TIMESTAMP), INTERVAL 1 DAY)) AS dt) d"""))
+def q_calendar_dim(spark, sf):
+    from uptake.operators import star as st
+    from uptake.sources.testbind import read
+    ev = read(spark, sf, "events")
+    d0, d1 = F.to_date(F.min("ts")), F.to_date(F.max("ts"))
+    bounds = ev.agg(d0.alias("start"), (F.floor(F.datediff(d1, d0) / 7) + 1).cast("int").alias("weeks"))
+    return st.calendar_from_start(bounds)
