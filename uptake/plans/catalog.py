@@ -1052,3 +1052,247 @@ def q_calendar_dim(spark, sf):
     d0, d1 = F.to_date(F.min("ts")), F.to_date(F.max("ts"))
     bounds = ev.agg(d0.alias("start"), (F.floor(F.datediff(d1, d0) / 7) + 1).cast("int").alias("weeks"))
     return st.calendar_from_start(bounds)
+
+
+# --------------------------------------------------------------------------- cleaning (over the dirtied projection)
+
+from uptake.operators import cleaning as cl  # noqa: E402
+from uptake.plans.clean_sql import clean_ctes  # noqa: E402
+from uptake.sources import dirty  # noqa: E402
+
+CLEAN = clean_ctes(CFG)
+_CLEANED: dict = {}
+
+
+def cleaned(spark: SparkSession, sf: str) -> dict:
+    key = (spark.sparkContext.applicationId, id(spark), sf)
+    if key not in _CLEANED:
+        t = tables(spark, sf)
+        cal = cl.clean_calendar(dirty.raw_calendar(t))
+        users = cl.clean_users(dirty.raw_users(t), CFG)
+        _CLEANED[key] = {
+            "calendar": cal, "users": users, "events": cl.clean_events(dirty.raw_events(t), users.clean, cal, CFG),
+            "feedback": cl.clean_feedback(dirty.raw_feedback(t), CFG), "training": cl.clean_training(dirty.raw_training(t), CFG),
+        }
+    return _CLEANED[key]
+
+
+def _issue_log(c: dict) -> DataFrame:
+    return (c["users"].issues.unionByName(c["events"].issues).unionByName(c["feedback"].issues)
+            .unionByName(c["training"].issues))
+
+
+@register("clean_users", with_bind("SELECT * FROM clean_users", CLEAN))
+def q_clean_users(spark, sf):
+    return cleaned(spark, sf)["users"].clean
+
+
+@register("clean_events", with_bind("SELECT * FROM clean_events", CLEAN))
+def q_clean_events(spark, sf):
+    return cleaned(spark, sf)["events"].clean
+
+
+@register("clean_feedback", with_bind("SELECT * FROM clean_feedback", CLEAN))
+def q_clean_feedback(spark, sf):
+    return cleaned(spark, sf)["feedback"].clean
+
+
+@register("clean_training", with_bind("SELECT * FROM clean_training", CLEAN))
+def q_clean_training(spark, sf):
+    return cleaned(spark, sf)["training"].clean
+
+
+@register("clean_calendar", with_bind("SELECT * FROM clean_calendar", CLEAN))
+def q_clean_calendar(spark, sf):
+    return cleaned(spark, sf)["calendar"]
+
+
+@register("quarantine_bad_ts", with_bind("SELECT * FROM quarantine_events", CLEAN))
+def q_quarantine(spark, sf):
+    return cleaned(spark, sf)["events"].quarantine
+
+
+@register("quality_issue_log", with_bind("SELECT * FROM issue_log", CLEAN))
+def q_quality_issue_log(spark, sf):
+    return _issue_log(cleaned(spark, sf))
+
+
+@register("quality_summary", with_bind("""
+SELECT COUNT(*) AS total_findings, CAST(COALESCE(SUM(affected_record_count), 0) AS BIGINT) AS total_affected_records,
+       COUNT(*) FILTER (WHERE status = 'Resolved') AS resolved, COUNT(*) FILTER (WHERE status = 'Accepted') AS accepted,
+       COUNT(*) FILTER (WHERE status LIKE 'Validated%') AS validated
+FROM issue_log""", CLEAN))
+def q_quality_summary(spark, sf):
+    return cl.quality_summary(_issue_log(cleaned(spark, sf)))
+
+
+@register("resolved_issues", with_bind("SELECT * FROM issue_log WHERE status = 'Resolved'", CLEAN))
+def q_resolved_issues(spark, sf):
+    return _issue_log(cleaned(spark, sf)).where(F.col("status") == "Resolved").orderBy(F.desc("affected_record_count"))
+
+
+@register("rows_removed", with_bind("""
+SELECT table_name, raw_rows, clean_rows, raw_rows - clean_rows AS rows_removed FROM (
+    SELECT 'users' AS table_name, (SELECT COUNT(*) FROM raw_users) AS raw_rows, (SELECT COUNT(*) FROM clean_users) AS clean_rows
+    UNION ALL SELECT 'usage_events', (SELECT COUNT(*) FROM raw_events), (SELECT COUNT(*) FROM clean_events)
+    UNION ALL SELECT 'feedback', (SELECT COUNT(*) FROM raw_feedback), (SELECT COUNT(*) FROM clean_feedback)
+    UNION ALL SELECT 'training_sessions', (SELECT COUNT(*) FROM raw_training), (SELECT COUNT(*) FROM clean_training)
+    UNION ALL SELECT 'calendar', (SELECT COUNT(*) FROM raw_calendar), (SELECT COUNT(*) FROM clean_calendar)
+) x""", CLEAN))
+def q_rows_removed(spark, sf):
+    t, c = tables(spark, sf), cleaned(spark, sf)
+    pairs = [("users", dirty.raw_users(t), c["users"].clean), ("usage_events", dirty.raw_events(t), c["events"].clean),
+             ("feedback", dirty.raw_feedback(t), c["feedback"].clean),
+             ("training_sessions", dirty.raw_training(t), c["training"].clean),
+             ("calendar", dirty.raw_calendar(t), c["calendar"])]
+    parts = [raw.agg(F.count(F.lit(1)).alias("raw_rows")).join(clean.agg(F.count(F.lit(1)).alias("clean_rows")))
+             .select(F.lit(n).alias("table_name"), "raw_rows", "clean_rows") for n, raw, clean in pairs]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("rows_removed", F.col("raw_rows") - F.col("clean_rows"))
+
+
+@register("dedup_events", with_bind("SELECT event_id, event_timestamp, ingest_seq FROM e_dedup", CLEAN))
+def q_dedup_events(spark, sf):
+    return cleaned(spark, sf)["events"].stages["dedup"].select("event_id", "event_timestamp", "ingest_seq")
+
+
+@register("normalize_labels", with_bind("""
+SELECT feature_name AS raw_label, _feature AS normalized_label, COUNT(*) AS n
+FROM e_v GROUP BY feature_name, _feature""", CLEAN))
+def q_normalize_labels(spark, sf):
+    j = cleaned(spark, sf)["events"].stages["flagged"]
+    return j.groupBy(F.col("feature_name").alias("raw_label"), F.col("_feature").alias("normalized_label")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("parse_bool", with_bind(f"""
+SELECT raw_value, parsed, COUNT(*) AS n FROM (
+    SELECT successful_completion_flag AS raw_value,
+           {__import__('uptake.plans.clean_sql', fromlist=['to_bool']).to_bool('successful_completion_flag')} AS parsed
+    FROM e_dedup) x GROUP BY raw_value, parsed""", CLEAN))
+def q_parse_bool(spark, sf):
+    from uptake.functions import to_bool
+    d = cleaned(spark, sf)["events"].stages["dedup"]
+    return d.groupBy(F.col("successful_completion_flag").alias("raw_value"),
+                     to_bool("successful_completion_flag").alias("parsed")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("safe_timestamps", with_bind("SELECT event_id, _ts_raw AS event_timestamp_raw, event_timestamp FROM e_ts", CLEAN))
+def q_safe_timestamps(spark, sf):
+    return cleaned(spark, sf)["events"].stages["timestamps"].select(
+        "event_id", F.col("_ts_raw").alias("event_timestamp_raw"), "event_timestamp")
+
+
+@register("safe_dates", with_bind("""
+SELECT user_id, _assigned_access_date_raw AS assigned_access_date_raw, assigned_access_date FROM u_p""", CLEAN))
+def q_safe_dates(spark, sf):
+    return cleaned(spark, sf)["users"].stages["parsed"].select(
+        "user_id", F.col("_assigned_access_date_raw").alias("assigned_access_date_raw"), "assigned_access_date")
+
+
+@register("safe_numeric", with_bind("""
+SELECT event_id, estimated_minutes_saved AS minutes_raw, _min AS minutes, session_duration_seconds AS duration_raw,
+       _dur AS duration FROM e_v""", CLEAN))
+def q_safe_numeric(spark, sf):
+    return cleaned(spark, sf)["events"].stages["flagged"].select(
+        "event_id", F.col("estimated_minutes_saved").alias("minutes_raw"), F.col("_min").alias("minutes"),
+        F.col("session_duration_seconds").alias("duration_raw"), F.col("_dur").alias("duration"))
+
+
+@register("null_negatives", with_bind("""
+SELECT event_id, estimated_minutes_saved, session_duration_seconds FROM clean_events
+WHERE event_id IN (SELECT event_id FROM e_v WHERE _neg_min OR _neg_dur)""", CLEAN))
+def q_null_negatives(spark, sf):
+    c = cleaned(spark, sf)["events"]
+    neg = c.stages["flagged"].where(F.coalesce(F.col("_neg_min"), F.lit(False)) | F.coalesce(F.col("_neg_dur"), F.lit(False))).select("event_id")
+    return c.clean.join(neg, "event_id", "left_semi").select("event_id", "estimated_minutes_saved", "session_duration_seconds")
+
+
+@register("null_bad_ratings", with_bind("""
+SELECT feedback_id, rating_1_to_5 AS rating_raw, _rating AS rating_parsed, _bad_rating AS nulled FROM f_v
+WHERE _rating IS NULL OR _bad_rating""", CLEAN))
+def q_null_bad_ratings(spark, sf):
+    v = cleaned(spark, sf)["feedback"].stages["parsed"]
+    return v.where(F.col("_rating").isNull() | F.col("_bad_rating")).select(
+        "feedback_id", F.col("rating_1_to_5").alias("rating_raw"), F.col("_rating").alias("rating_parsed"),
+        F.col("_bad_rating").alias("nulled"))
+
+
+@register("date_order_rule", with_bind("""
+SELECT user_id, training_assigned_date, training_completed_date, _bad_order AS completion_nulled FROM u_p""", CLEAN))
+def q_date_order_rule(spark, sf):
+    return cleaned(spark, sf)["users"].stages["parsed"].select(
+        "user_id", "training_assigned_date", "training_completed_date", F.col("_bad_order").alias("completion_nulled"))
+
+
+@register("drop_pre_access", with_bind("""
+SELECT event_id, user_id, event_timestamp, _access AS assigned_access_date FROM e_j WHERE _pre""", CLEAN))
+def q_drop_pre_access(spark, sf):
+    return cleaned(spark, sf)["events"].stages["flagged"].where("_pre").select(
+        "event_id", "user_id", "event_timestamp", F.col("_access").alias("assigned_access_date"))
+
+
+@register("flag_no_access", with_bind("SELECT event_id, user_id FROM clean_events WHERE no_access_on_file", CLEAN))
+def q_flag_no_access(spark, sf):
+    return cleaned(spark, sf)["events"].clean.where("no_access_on_file").select("event_id", "user_id")
+
+
+@register("drop_after_window", with_bind("SELECT event_id, user_id, event_timestamp FROM e_j WHERE _after", CLEAN))
+def q_drop_after_window(spark, sf):
+    return cleaned(spark, sf)["events"].stages["flagged"].where("_after").select("event_id", "user_id", "event_timestamp")
+
+
+@register("attendance_consistency", with_bind("SELECT * FROM t_counts", CLEAN))
+def q_attendance_consistency(spark, sf):
+    return cleaned(spark, sf)["training"].stages["counts"]
+
+
+@register("label_variant_counts", with_bind("""
+SELECT 'users' AS table_name, 'business_unit' AS column_name, n_bu_variants AS variants_before,
+       n_bu_unmapped AS unmapped_after FROM u_counts
+UNION ALL SELECT 'usage_events', 'feature_name', n_feature_variants,
+       (SELECT COUNT(*) FILTER (WHERE _feature IS NOT NULL AND _feature NOT IN (SELECT feature_name FROM feature_catalog))
+        FROM e_v) FROM e_counts
+UNION ALL SELECT 'feedback', 'feature_name', n_feature_variants,
+       (SELECT COUNT(*) FILTER (WHERE _feature IS NOT NULL AND _feature NOT IN (SELECT feature_name FROM feature_catalog))
+        FROM f_v) FROM f_counts""", CLEAN))
+def q_label_variant_counts(spark, sf):
+    c = cleaned(spark, sf)
+    feats = list(CFG.feature_names)
+    pu = c["users"].stages["parsed"].agg(
+        F.count_if(cl._not_in(F.col("_bu_raw"), CFG.canonical_business_units)).alias("variants_before"),
+        F.count_if(cl._not_in(F.col("business_unit"), CFG.canonical_business_units)).alias("unmapped_after"),
+    ).select(F.lit("users").alias("table_name"), F.lit("business_unit").alias("column_name"), "*")
+
+    def feat(df, name):
+        return df.agg(
+            F.count_if("_f_variant").alias("variants_before"),
+            F.count_if(F.col("_feature").isNotNull() & ~F.col("_feature").isin(*feats)).alias("unmapped_after"),
+        ).select(F.lit(name).alias("table_name"), F.lit("feature_name").alias("column_name"), "*")
+
+    return pu.unionByName(feat(c["events"].stages["flagged"], "usage_events")).unionByName(
+        feat(c["feedback"].stages["parsed"], "feedback"))
+
+
+@register("missing_value_counts", with_bind("""
+SELECT 'users' AS table_name, 'assigned_access_date' AS column_name, n_missing_access AS missing FROM u_counts
+UNION ALL SELECT 'users', 'manager_champion_flag', n_missing_champion FROM u_counts
+UNION ALL SELECT 'usage_events', 'feature_name', n_missing_feature FROM e_counts
+UNION ALL SELECT 'feedback', 'feature_name', n_missing_feature FROM f_counts
+UNION ALL SELECT 'feedback', 'free_text_feedback', n_missing_text FROM f_counts""", CLEAN))
+def q_missing_value_counts(spark, sf):
+    c = cleaned(spark, sf)
+    u = c["users"].clean.agg(
+        F.count_if(F.col("assigned_access_date").isNull()).alias("a"), F.count_if(F.col("manager_champion_flag").isNull()).alias("b"))
+    e = c["events"].stages["flagged"].agg(F.count_if(F.col("_feature").isNull()).alias("a"))
+    f = c["feedback"].stages["parsed"].agg(F.count_if(F.col("_feature").isNull()).alias("a"),
+                                            F.count_if(cl.is_blank("free_text_feedback")).alias("b"))
+
+    def row(df, col, tbl, name):
+        return df.select(F.lit(tbl).alias("table_name"), F.lit(name).alias("column_name"), F.col(col).alias("missing"))
+
+    return (row(u, "a", "users", "assigned_access_date").unionByName(row(u, "b", "users", "manager_champion_flag"))
+            .unionByName(row(e, "a", "usage_events", "feature_name")).unionByName(row(f, "a", "feedback", "feature_name"))
+            .unionByName(row(f, "b", "feedback", "free_text_feedback")))
