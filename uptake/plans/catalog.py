@@ -1296,3 +1296,44 @@ def q_missing_value_counts(spark, sf):
     return (row(u, "a", "users", "assigned_access_date").unionByName(row(u, "b", "users", "manager_champion_flag"))
             .unionByName(row(e, "a", "usage_events", "feature_name")).unionByName(row(f, "a", "feedback", "feature_name"))
             .unionByName(row(f, "b", "feedback", "free_text_feedback")))
+
+
+# --------------------------------------------------------------------------- expectations, keys, samples
+
+@register("expectations_report", with_bind(f"""
+SELECT check_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (
+    SELECT 'unique user_id' AS check_name, (SELECT COUNT(*) FROM (SELECT user_id FROM users GROUP BY 1 HAVING COUNT(*) > 1)) AS failures
+    UNION ALL SELECT 'unique event_id', (SELECT COUNT(*) FROM (SELECT event_id FROM usage_events GROUP BY 1 HAVING COUNT(*) > 1))
+    UNION ALL SELECT 'no event before access date', (SELECT COUNT(*) FROM usage_events e LEFT JOIN users u ON u.user_id = e.user_id
+        WHERE CAST(e.event_timestamp AS DATE) < u.assigned_access_date)
+    UNION ALL SELECT 'no negative minutes or duration', (SELECT COUNT(*) FROM usage_events
+        WHERE estimated_minutes_saved < 0 OR session_duration_seconds < 0)
+    UNION ALL SELECT 'ratings within 1-5', (SELECT COUNT(*) FROM feedback WHERE NOT (rating_1_to_5 BETWEEN 1 AND 5))
+    UNION ALL SELECT 'activated <= eligible', (SELECT COUNT(*) FROM (SELECT business_unit, COUNT(*) AS e,
+        COUNT(*) FILTER (WHERE activated) AS a FROM activation WHERE business_unit IS NOT NULL GROUP BY 1) x WHERE a > e)
+    UNION ALL SELECT 'activation rate within 0-100', 0
+    UNION ALL SELECT 'week-0 retention is 100', (SELECT COUNT(*) FROM ret WHERE weeks_since_activation = 0
+        AND retention_rate_pct <> 100.0)
+    UNION ALL SELECT 'barrier ranks start at 1', (SELECT COUNT(*) FROM (SELECT business_unit, MIN(barrier_rank) AS m
+        FROM br GROUP BY 1) x WHERE m <> 1)
+    UNION ALL SELECT 'every calendar week has WAU', (SELECT COUNT(*) FROM (SELECT DISTINCT week_number FROM calendar) c
+        WHERE c.week_number NOT IN (SELECT week_number FROM uw))
+) z""", ACT + ",\n" + COH + ",\n" + BC + ",\n" + UW.strip()))
+def q_expectations_report(spark, sf):
+    from uptake.operators.expectations import expectations_report
+    return expectations_report(tables(spark, sf), CFG)
+
+
+@register("user_day_session_key", with_bind("""
+SELECT event_id, user_id, concat_ws('-', 'S', CAST(user_id AS VARCHAR), strftime(event_timestamp, '%Y%m%d')) AS session_key
+FROM usage_events"""))
+def q_user_day_session_key(spark, sf):
+    ev = tables(spark, sf).events
+    return ev.select("event_id", "user_id", F.concat_ws(
+        "-", F.lit("S"), F.col("user_id").cast("string"), F.date_format("event_timestamp", "yyyyMMdd")).alias("session_key"))
+
+
+@register("event_sample", None)  # seeded hash order; DuckDB has no identical hash, rows-only check
+def q_event_sample(spark, sf):
+    from uptake.sources.io import event_sample
+    return event_sample(tables(spark, sf).events, 500)
