@@ -302,3 +302,15 @@ def target_segments(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segments: S
         .select(F.lit("heavy_qualifying_feature_user").alias("reason"), "user_id")
     )
     return a.unionByName(b).unionByName(c).join(t.users.select("user_id", "business_unit"), "user_id", "left")
+
+
+def table_profile(t: Tables) -> DataFrame:
+    """R-17: rows and columns per table (column counts come from the schema)."""
+    named = [("users", t.users), ("usage_events", t.events), ("feedback", t.feedback), ("calendar", t.calendar),
+             ("feature_catalog", t.features), ("training_sessions", t.training)]
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(n).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count")) for n, df in named]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

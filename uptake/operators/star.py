@@ -62,8 +62,8 @@ def dim_date(t: Tables) -> DataFrame:
 
 
 def dim_user(t: Tables) -> DataFrame:
-    bu = F.broadcast(dim_business_unit(t))  # bounded: one row per unit
-    role = F.broadcast(dim_role(t).select("role_key", "role_name"))  # bounded: one row per role
+    bu = dim_business_unit(t)  # small, but data-derived: AQE broadcasts it when the measured size allows
+    role = dim_role(t).select("role_key", "role_name")
     u = t.users
     return (
         u.join(bu, u.business_unit == bu.business_unit_name, "left")
@@ -104,7 +104,7 @@ def fact_feedback(t: Tables) -> DataFrame:
 
 
 def fact_training(t: Tables) -> DataFrame:
-    bu = F.broadcast(dim_business_unit(t))
+    bu = dim_business_unit(t)
     tr = t.training
     return tr.join(bu, tr.business_unit == bu.business_unit_name, "left").select(
         "training_session_id", "business_unit_key", date_key("session_date").alias("date_key"), "training_format",

@@ -1337,3 +1337,20 @@ def q_user_day_session_key(spark, sf):
 def q_event_sample(spark, sf):
     from uptake.sources.io import event_sample
     return event_sample(tables(spark, sf).events, 500)
+
+
+@register("fact_training", with_bind("SELECT * FROM fact_training_attendance", STAR))
+def q_fact_training(spark, sf):
+    return _star(spark, sf)["fact_training_attendance"]
+
+
+@register("table_profile", with_bind("""
+SELECT 'users' AS table_name, COUNT(*) AS row_count, 13 AS column_count FROM users
+UNION ALL SELECT 'usage_events', COUNT(*), 12 FROM usage_events
+UNION ALL SELECT 'feedback', COUNT(*), 9 FROM feedback
+UNION ALL SELECT 'calendar', COUNT(*), 7 FROM calendar
+UNION ALL SELECT 'feature_catalog', COUNT(*), 6 FROM feature_catalog
+UNION ALL SELECT 'training_sessions', COUNT(*), 9 FROM training_sessions"""))
+def q_table_profile(spark, sf):
+    from uptake.operators.reports import table_profile
+    return table_profile(tables(spark, sf))
