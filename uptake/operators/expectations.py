@@ -29,12 +29,14 @@ def expectations_report(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Data
     ret = retention.retention_cohorts(t, cfg)
     ranks = feedback.barrier_ranking(t, cfg)
     wau = weekly_active_users(t, cfg)
-    ev = t.events.join(t.users.select("user_id", "assigned_access_date"), "user_id", "left")
+    # per (user, day) counts first: the users join then sees user-day rows, not raw events
+    ev = (t.events.groupBy("user_id", F.to_date("event_timestamp").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+          .join(t.users.select("user_id", "assigned_access_date"), "user_id", "left"))
     checks = [
         ("unique user_id", t.users.groupBy("user_id").count().where("count > 1").agg(F.count(F.lit(1)).alias("failures"))),
         ("unique event_id", t.events.groupBy("event_id").count().where("count > 1").agg(F.count(F.lit(1)).alias("failures"))),
-        ("no event before access date", ev.agg(F.count_if(
-            F.to_date("event_timestamp") < F.col("assigned_access_date")).alias("failures"))),
+        ("no event before access date", ev.agg(F.coalesce(F.sum(F.when(
+            F.col("d") < F.col("assigned_access_date"), F.col("n"))), F.lit(0)).alias("failures"))),
         ("no negative minutes or duration", t.events.agg(F.count_if(
             (F.col("estimated_minutes_saved") < 0) | (F.col("session_duration_seconds") < 0)).alias("failures"))),
         ("ratings within 1-5", t.feedback.agg(F.count_if(~F.col("rating_1_to_5").between(1, 5)).alias("failures"))),

@@ -9,6 +9,7 @@ from uptake.config import AdoptionConfig, DEFAULT_CONFIG, TIME_SAVED_DISCLAIMER
 from uptake.functions import half_up_ratio, hours_between, idiv
 from uptake.operators.common import Segment, not_null, seg_list
 from uptake.operators.population import eligible_users
+from uptake.operators.quantiles import exact_percentile
 from uptake.tables import Tables
 
 
@@ -33,13 +34,17 @@ def time_to_value(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
 
 
 def median_time_to_value(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Segment = None) -> DataFrame:
-    """users_with_first_value and exact median hours (1 decimal) per segment."""
+    """users_with_first_value and exact median hours (1 decimal) per segment.
+
+    The median is exact but computed with bounded per-task state
+    (:func:`uptake.operators.quantiles.exact_percentile`), so a segment that
+    holds a third of all users is never gathered into one aggregation buffer.
+    """
     cols = seg_list(segment)
-    return (
-        time_to_value(t, cfg).where(not_null(cols)).groupBy(*cols)
-        .agg(F.count(F.lit(1)).alias("users_with_first_value"),
-             F.round(F.median("hours_to_value"), 1).alias("median_hours_to_value"))
-    )
+    m = exact_percentile(time_to_value(t, cfg).where(not_null(cols)), "hours_to_value", cols, 0.5,
+                         accuracy=50_000, alias="median")
+    return m.select(*cols, F.col("n").alias("users_with_first_value"),
+                    F.round("median", 1).alias("median_hours_to_value"))
 
 
 def ttv_histogram(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
