@@ -36,7 +36,8 @@ CLEAN_SCHEMAS = {
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """SRC-1: every column as string, header row, NA tokens to null, plus an
     ingest order (file, position) for keep-first dedup. No schema inference."""
-    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+    reader = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     df = reader.csv(path)
