@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, CANONICAL_FEATURES, DEFAULT_CONFIG
+from uptake.operators.common import with_scalars
 from uptake.functions import (
     blank_to_null, is_blank, normalize_label, safe_date, safe_decimal, safe_double, safe_int, safe_timestamp, to_bool,
 )
@@ -127,7 +128,7 @@ def clean_users(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanRe
     p = p.withColumn("_bad_order", bad_order).withColumn(
         "training_completed_date", F.when(~F.col("_bad_order"), F.col("training_completed_date"))
     )
-    counts = p.agg(
+    counts = with_scalars(p.agg(
         F.count_if(_not_in(F.col("_bu_raw"), cfg.canonical_business_units)).alias("n_bu_variants"),
         F.count_if(_not_in(F.col("business_unit"), cfg.canonical_business_units)).alias("n_bu_unmapped"),
         F.count_if(_bad_parse(F.col("_hire_date_raw"), F.col("hire_date"))).alias("n_bad_hire"),
@@ -138,7 +139,7 @@ def clean_users(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanRe
         F.count_if(F.col("assigned_access_date").isNull()).alias("n_missing_access"),
         F.count_if(F.col("manager_champion_flag").isNull()).alias("n_missing_champion"),
         F.count_if("_bad_order").alias("n_bad_order"),
-    ).join(_raw_counts(raw, "user_id"))  # two one-row aggregates
+    ), _raw_counts(raw, "user_id"))
     clean = p.select(
         "user_id", "business_unit", "role", "region", "manager_level", "hire_date", "assigned_access_date",
         "rollout_wave", "training_assigned_date", "training_completed_date", "training_format",
@@ -185,7 +186,7 @@ def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame,
     )
     end = calendar.agg(F.max("date")).scalar()
     j = j.withColumn("_after", ~F.col("_pre") & (F.col("_date") > end))
-    counts = j.agg(
+    counts = with_scalars(with_scalars(j.agg(
         F.count_if(F.col("_f_variant")).alias("n_feature_variants"),
         F.count_if(F.col("_feature").isNull()).alias("n_missing_feature"),
         F.count_if(F.coalesce(F.col("_neg_dur"), F.lit(False))).alias("n_neg_duration"),
@@ -193,9 +194,7 @@ def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame,
         F.count_if("_pre").alias("n_pre_access"),
         F.count_if(~F.col("_pre") & F.col("_access").isNull()).alias("n_no_access"),
         F.count_if("_after").alias("n_after_window"),
-    ).join(_raw_counts(raw, "event_id")).join(
-        quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts"))
-    )
+    ), _raw_counts(raw, "event_id")), quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
     kept = j.where(~F.col("_pre") & ~F.col("_after"))
     clean = kept.select(
         "event_id", "user_id", "event_timestamp", "session_id", F.col("_feature").alias("feature_name"),
@@ -236,12 +235,12 @@ def clean_feedback(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Clea
         _not_in(F.coalesce(F.col("feature_name"), F.lit("")), (*cfg.feature_names, "")).alias("_f_variant"),
         blank_to_null(normalize_label(F.col("feature_name"), cfg.feature_names, cfg.feature_label_map)).alias("_feature"),
     )
-    counts = v.agg(
+    counts = with_scalars(with_scalars(v.agg(
         F.count_if("_bad_rating").alias("n_bad_rating"),
         F.count_if("_f_variant").alias("n_feature_variants"),
         F.count_if(F.col("_feature").isNull()).alias("n_missing_feature"),
         F.count_if(is_blank("free_text_feedback")).alias("n_missing_text"),
-    ).join(_raw_counts(raw, "feedback_id")).join(quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
+    ), _raw_counts(raw, "feedback_id")), quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
     clean = v.select(
         "feedback_id", "user_id", "feedback_timestamp",
         F.when(~F.col("_bad_rating"), F.col("_rating")).cast("int").alias("rating_1_to_5"),

@@ -88,3 +88,12 @@ def user_weeks(t: Tables, cfg: AdoptionConfig, extra: Sequence[Column] = ()) ->
 
 def zero_fill(df: DataFrame, cols: Sequence[str], value=0) -> DataFrame:
     return df.fillna(value, subset=list(cols))
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach every column of a one-row frame (an aggregate without grouping)
+    to each row of ``df`` as a scalar subquery: evaluated once, no join and
+    no row product. An empty ``one_row`` gives nulls, like SQL."""
+    cols = one_row.columns
+    s = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    return df.withColumn("_scalars", s).select(*[c for c in df.columns], *[F.col(f"_scalars.{c}").alias(c) for c in cols])

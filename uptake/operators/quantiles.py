@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from uptake.operators.common import with_scalars
+
 
 def exact_percentile(df: DataFrame, value: str, group: Sequence[str] = (), p: float = 0.5,
                      accuracy: int = 10_000, alias: str = "percentile") -> DataFrame:
@@ -45,22 +47,23 @@ def exact_percentile(df: DataFrame, value: str, group: Sequence[str] = (), p: fl
              F.when((F.lit(hi_p) == 1.0) | (F.col("n") <= 4 * accuracy), F.col("_max"))
              .otherwise(F.col("_b")[1]).alias("_hi"))
     pos = (F.col("n") - 1) * F.lit(p)
-    stats = stats.withColumn("_r1", F.floor(pos).cast("long")).withColumn("_r2", F.ceil(pos).cast("long")) \
-        .withColumn("_frac", pos - F.floor(pos))
-    j = vals.join(stats.select(*g, "_lo", "_hi"), g) if g else vals.join(stats.select("_lo", "_hi"))
-    below = j.groupBy(*g).agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-    cand = j.where(F.col("_v").between(F.col("_lo"), F.col("_hi"))).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = (Window.partitionBy(*g) if g else Window.partitionBy()).orderBy("_v")
-    cum = cand.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    cum = cum.withColumn("_start", F.col("_end") - F.col("_c"))
-    s = stats.join(below, g) if g else stats.crossJoin(below)
-    k = cum.join(s.select(*g, "_below", "_r1", "_r2"), g) if g else cum.crossJoin(s.select("_below", "_r1", "_r2"))
-    # rank r (0-based) sits in the row with start <= r - below < end
-    def pick(r):
-        rr = F.col(r) - F.col("_below")
-        return F.min(F.when((F.col("_start") <= rr) & (rr < F.col("_end")), F.col("_v")))
-    vals12 = k.groupBy(*g).agg(pick("_r1").alias("_v1"), pick("_r2").alias("_v2"))
-    out = s.join(vals12, g, "left") if g else s.crossJoin(vals12)
+    stats = stats.select(*g, "n", "_lo", "_hi", F.floor(pos).cast("long").alias("_r1"),
+                         F.ceil(pos).cast("long").alias("_r2"), (pos - F.floor(pos)).alias("_frac"))
+    keys = [*g, "n", "_r1", "_r2", "_frac"]  # all functionally dependent on the group
+    j = vals.join(stats, g) if g else with_scalars(vals, stats)  # stats: one row per group
+    # one aggregation: values below the bracket collapse into a single null-keyed
+    # row; values inside it are counted per distinct value; values above are dropped
+    cand = j.where(F.col("_v") <= F.col("_hi")).groupBy(
+        *keys, F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_k")
+    ).agg(F.count(F.lit(1)).alias("_c"))
+    w = (Window.partitionBy(*g) if g else Window.partitionBy()).orderBy(F.asc_nulls_first("_k"))
+    ranked = cand.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    start = F.col("_end") - F.col("_c")
+
+    def at(r):  # the 0-based rank r sits in the row with start <= r < end
+        return F.min(F.when((start <= F.col(r)) & (F.col(r) < F.col("_end")), F.col("_k")))
+
+    out = ranked.groupBy(*keys).agg(at("_r1").alias("_v1"), at("_r2").alias("_v2"))
     return out.select(
         *g, "n",
         (F.col("_v1") + (F.col("_v2") - F.col("_v1")) * F.col("_frac")).alias(alias),

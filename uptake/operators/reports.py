@@ -11,7 +11,7 @@ from uptake.config import AdoptionConfig, DEFAULT_CONFIG, WEEKLY_DISCLAIMER
 from uptake.functions import half_up_ratio, idiv, pct1
 from uptake.operators import activity, features, feedback, population, retention, training, value
 from uptake.operators.common import (
-    Segment, day_weeks, event_date, meaningful, not_null, seg_list, user_segment,
+    Segment, day_weeks, event_date, meaningful, not_null, seg_list, user_segment, with_scalars,
 )
 from uptake.tables import Tables
 
@@ -144,7 +144,7 @@ def headline_kpis(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str
         F.count_if(F.col("feature_adoption_rate") > feature_above).alias("features_above_threshold"),
         F.sum((F.col("total_estimated_hours_saved") * 10).cast("long")).alias("hours_tenths"),
     )
-    return a.join(wau).join(fs).select(  # three one-row aggregates
+    return with_scalars(with_scalars(a, wau), fs).select(  # three one-row aggregates
         "total_eligible_users", "total_activated_users",
         F.try_divide(F.col("total_activated_users").cast("double"), F.col("total_eligible_users").cast("double"))
         .alias("company_activation_rate"),
@@ -223,7 +223,7 @@ def priority_quadrant(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment:
         F.median("eligible_users").alias("m_elig"), F.median("activation_rate_pct").alias("m_act"),
         F.median("training_completion_rate_pct").alias("m_tr"), F.median("avg_rating").alias("m_rat"),
     )
-    j = pts.join(med)  # one-row medians
+    j = with_scalars(pts, med)  # medians across a handful of segment rows
     low_act = F.col("activation_rate_pct") < F.col("m_act")
     label = (
         F.when(low_act & (F.col("training_completion_rate_pct") < F.col("m_tr")), F.lit("Training gap"))
@@ -252,7 +252,7 @@ def executive_narrative(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Data
         F.coalesce(F.col("s.wau_change"), F.lit(0)).alias("wau_change")
     )
     top = feedback.top_barrier(t, cfg).select("top_barrier")
-    j = act.join(last).join(top, how="left")  # one-row inputs
+    j = with_scalars(with_scalars(act, last), top)  # one-row inputs
     sentence = F.concat(
         F.lit("This period, activation rate is "), F.format_string("%.1f%%", "activation_rate_pct"),
         F.lit(", weekly active users are "),

@@ -1145,7 +1145,8 @@ def q_rows_removed(spark, sf):
              ("feedback", dirty.raw_feedback(t), c["feedback"].clean),
              ("training_sessions", dirty.raw_training(t), c["training"].clean),
              ("calendar", dirty.raw_calendar(t), c["calendar"])]
-    parts = [raw.agg(F.count(F.lit(1)).alias("raw_rows")).join(clean.agg(F.count(F.lit(1)).alias("clean_rows")))
+    from uptake.operators.common import with_scalars
+    parts = [with_scalars(raw.agg(F.count(F.lit(1)).alias("raw_rows")), clean.agg(F.count(F.lit(1)).alias("clean_rows")))
              .select(F.lit(n).alias("table_name"), "raw_rows", "clean_rows") for n, raw, clean in pairs]
     out = parts[0]
     for p in parts[1:]:
