@@ -26,7 +26,8 @@ def test_run_cleaning_from_csv_matches_in_memory_pipeline(spark):
     assert out.users.count() == mem["users"].clean.count()
     assert out.events.count() == mem["events"].clean.count()
     assert out.feedback.count() == mem["feedback"].clean.count()
-    log = spark.read.option("header", True).csv(f"{out_dir}/data_quality_issues")
+    from uptake.sources.io import read_issue_log
+    log = read_issue_log(spark, f"{out_dir}/data_quality_issues")
     mem_log = mem["users"].issues.unionByName(mem["events"].issues).unionByName(mem["feedback"].issues) \
         .unionByName(mem["training"].issues)
     got = sorted((r.issue_type, int(r.affected_record_count)) for r in log.collect())

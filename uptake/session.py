@@ -43,8 +43,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset (local
-    tests) do we fall back to a fresh scratch folder.
+    The cluster's ``spark.checkpoint.dir`` wins. Only a local-mode session
+    (tests, the bench) may fall back to a fresh scratch folder; on a cluster a
+    machine-local folder would vanish with its executor, so we refuse.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder (HDFS/object store)")
     local = tempfile.mkdtemp(prefix="uptake-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -74,6 +74,13 @@ def write_issue_log(issues: DataFrame, path: str) -> None:
     issues.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def read_issue_log(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-4: read a written issue log back with its types."""
+    return spark.read.schema(
+        "table_order int, issue_order int, table_name string, issue_type string, affected_record_count long, "
+        "resolution string, status string").option("header", True).csv(path)
+
+
 def event_sample(events: DataFrame, n: int, seed: int = 42, key: str = "event_id") -> DataFrame:
     """SNK-5: a reproducible exact-size sample, sorted by time.
 
