@@ -40,3 +40,18 @@ def test_small_scale_runs(spark):
         fn, sql = REGISTRY[key]
         ok, msg = compare(fn(spark, SF_SMALL), con, sql)
         assert ok, f"{key}: {msg}"
+
+
+def test_result_types_match_oracle(spark, con):
+    """Same column types on both engines (the driver compares schemas too)."""
+    import scripts.check_types as ct
+    diffs = {}
+    for key, (fn, sql) in REGISTRY.items():
+        if sql is None:
+            continue
+        s = {f.name: ct.cat_spark(f.dataType) for f in fn(spark, SF_ORACLE).schema.fields}
+        rel = con.sql(sql)
+        d = {c: ct.cat_duck(t) for c, t in zip(rel.columns, rel.types)}
+        if s != d:
+            diffs[key] = {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+    assert not diffs, diffs

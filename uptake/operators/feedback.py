@@ -66,7 +66,7 @@ def barrier_ranking(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Se
     return c.select(
         *cols, "barrier_category", "mentions",
         pct1("mentions", F.sum("mentions").over(part)).alias("pct_of_barrier_mentions"),
-        F.rank().over(part.orderBy(F.desc("mentions"))).alias("barrier_rank"),
+        F.rank().over(part.orderBy(F.desc("mentions"))).cast("long").alias("barrier_rank"),
     )
 
 

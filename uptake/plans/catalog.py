@@ -766,7 +766,7 @@ def q_segment_lookup(spark, sf):
 
 
 @register("low_adoption_segments", with_bind(f"""
-SELECT {CFG.low_adoption_threshold} AS threshold,
+SELECT CAST({CFG.low_adoption_threshold} AS DOUBLE) AS threshold,
        COUNT(*) FILTER (WHERE CAST(activated_users AS DOUBLE) / CAST(eligible_users AS DOUBLE) < {CFG.low_adoption_threshold})
            AS low_adoption_segments,
        COUNT(*) AS segments
