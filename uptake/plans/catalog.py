@@ -30,9 +30,20 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
 
-def register(key: str, sql: str | None):
+def register(key: str, sql: str | None, doubles: tuple[str, ...] = ()):
+    """Register a query. ``doubles``: exact DECIMAL columns that the registered
+    projection emits as DOUBLE on both engines (engines hand decimals to
+    clients in different shapes; the library tables keep them exact)."""
     def deco(fn):
-        REGISTRY[key] = (fn, sql)
+        if doubles:
+            def run(spark, sf, _fn=fn):
+                return _fn(spark, sf).withColumns({c: F.col(c).cast("double") for c in doubles})
+            run.__name__ = fn.__name__
+            wrapped_sql = None if sql is None else (
+                f"SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in doubles)}) FROM ({sql}) _q")
+            REGISTRY[key] = (run, wrapped_sql)
+        else:
+            REGISTRY[key] = (fn, sql)
         return fn
     return deco
 
@@ -973,7 +984,9 @@ def _star(spark, sf):
 
 
 def _register_star_table(name: str):
-    @register(name, with_bind(f"SELECT * FROM {name}", STAR))
+    dbl = ("estimated_minutes_saved",) if name == "fact_usage_events" else ()
+
+    @register(name, with_bind(f"SELECT * FROM {name}", STAR), dbl)
     def q(spark, sf):
         return _star(spark, sf)[name]
     return q
@@ -1090,7 +1103,7 @@ def q_clean_users(spark, sf):
     return cleaned(spark, sf)["users"].clean
 
 
-@register("clean_events", with_bind("SELECT * FROM clean_events", CLEAN))
+@register("clean_events", with_bind("SELECT * FROM clean_events", CLEAN), ("estimated_minutes_saved",))
 def q_clean_events(spark, sf):
     return cleaned(spark, sf)["events"].clean
 
@@ -1198,7 +1211,7 @@ def q_safe_dates(spark, sf):
 
 @register("safe_numeric", with_bind("""
 SELECT event_id, estimated_minutes_saved AS minutes_raw, _min AS minutes, session_duration_seconds AS duration_raw,
-       _dur AS duration FROM e_v""", CLEAN))
+       _dur AS duration FROM e_v""", CLEAN), ("minutes",))
 def q_safe_numeric(spark, sf):
     return cleaned(spark, sf)["events"].stages["flagged"].select(
         "event_id", F.col("estimated_minutes_saved").alias("minutes_raw"), F.col("_min").alias("minutes"),
@@ -1207,7 +1220,7 @@ def q_safe_numeric(spark, sf):
 
 @register("null_negatives", with_bind("""
 SELECT event_id, estimated_minutes_saved, session_duration_seconds FROM clean_events
-WHERE event_id IN (SELECT event_id FROM e_v WHERE _neg_min OR _neg_dur)""", CLEAN))
+WHERE event_id IN (SELECT event_id FROM e_v WHERE _neg_min OR _neg_dur)""", CLEAN), ("estimated_minutes_saved",))
 def q_null_negatives(spark, sf):
     c = cleaned(spark, sf)["events"]
     neg = c.stages["flagged"].where(F.coalesce(F.col("_neg_min"), F.lit(False)) | F.coalesce(F.col("_neg_dur"), F.lit(False))).select("event_id")
