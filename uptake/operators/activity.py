@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
 from uptake.operators.common import (
-    Segment, event_date, last_event_date, meaningful, seg_list, user_segment, user_weeks, week_ends,
+    Segment, active_days, last_event_date, seg_list, user_segment, user_weeks, week_ends,
 )
 from uptake.tables import Tables
 
@@ -29,16 +29,16 @@ def weekly_active_users(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment
 
 def active_user_days(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     """Distinct (user_id, date) with a meaningful event: the trailing-window input."""
-    return meaningful(t.events, cfg).select("user_id", event_date().alias("date")).distinct()
+    return active_days(t, cfg).select("user_id", "date")
 
 
 def mau_trailing(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Distinct users active in the N dates ending at the as-of date (inclusive)."""
     as_of = last_event_date(t, cfg)
     n = cfg.trailing_window_days
-    d = event_date()
-    ev = meaningful(t.events, cfg).where((d > F.date_sub(as_of, n)) & (d <= as_of))
-    return ev.agg(F.count_distinct("user_id").alias("monthly_active_users")).select(
+    d = F.col("date")
+    days = active_user_days(t, cfg).where((d > F.date_sub(as_of, n)) & (d <= as_of))
+    return days.agg(F.count_distinct("user_id").alias("monthly_active_users")).select(
         as_of.alias("as_of_date"), F.lit(n).alias("trailing_days"), "monthly_active_users"
     )
 

@@ -60,12 +60,44 @@ def week_ends(t: Tables) -> DataFrame:
     )
 
 
+def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
+    """One row per (user_id, date) with any event: the shared event summary.
+
+    Every user-level metric (activation, time-to-value, dormancy, WAU,
+    retention, trailing windows) is derived from this one partially
+    aggregated pass over the events, so a query touching several of them
+    reads and shuffles the event table once (identical sub-plans are reused
+    by Spark's exchange reuse), and a user owning a third of the events is
+    reduced to one row per day before any shuffle.
+    """
+    ts = F.col("event_timestamp")
+    d = event_date()
+    m = F.col("event_type").isin(*cfg.meaningful_event_types)
+    q = F.coalesce(F.col("feature_name") == cfg.qualifying_feature, F.lit(False))
+    value_ok = F.col("event_type").isin(*cfg.value_event_types) & F.coalesce("successful_completion_flag", F.lit(False))
+    return t.events.groupBy("user_id", d.alias("date")).agg(
+        F.count_if(m).alias("n_meaningful"),
+        F.count_if(m & (ts == d.cast("timestamp_ntz"))).alias("n_meaningful_midnight"),
+        F.count_if(q).alias("n_qualifying"),
+        F.count_if(m & q).alias("n_meaningful_qualifying"),
+        F.sum(F.when(m, F.col("estimated_minutes_saved"))).alias("minutes_meaningful"),
+        F.min(F.when(value_ok, ts)).alias("first_value_ts"),
+        F.min(F.when(m, ts)).alias("first_meaningful_ts"),
+    )
+
+
+def active_days(t: Tables, cfg: AdoptionConfig) -> DataFrame:
+    """User-days with at least one meaningful event."""
+    return user_day_activity(t, cfg).where(F.col("n_meaningful") > 0)
+
+
 def last_event_date(t: Tables, cfg: AdoptionConfig) -> Column:
     """As-of date: the configured one, else the last event date in the data
-    (a scalar subquery evaluated once, no driver round trip)."""
+    (a scalar subquery over the user-day summary, evaluated once, no driver
+    round trip)."""
     if cfg.as_of_date:
         return F.lit(cfg.as_of_date).cast("date")
-    return t.events.agg(F.max(event_date()).alias("d")).scalar()
+    return user_day_activity(t, cfg).agg(F.max("date").alias("d")).scalar()
 
 
 def user_segment(t: Tables, segment: Segment) -> DataFrame:
@@ -73,16 +105,16 @@ def user_segment(t: Tables, segment: Segment) -> DataFrame:
     return t.users.select("user_id", *cols).where(not_null(cols))
 
 
-def user_weeks(t: Tables, cfg: AdoptionConfig, extra: Sequence[Column] = ()) -> DataFrame:
-    """Distinct (user_id, week_number, week_start_date) with a meaningful event.
-
-    The calendar join is a broadcast hash join on the event date (map side);
-    the single shuffle is the partial-aggregated group by user x week.
-    ``extra`` aggregates (e.g. minutes saved) ride along in the same pass.
-    """
-    ev = meaningful(t.events, cfg).withColumn("date", event_date())
-    return ev.join(day_weeks(t), "date").groupBy("user_id", "week_number", "week_start_date").agg(
-        F.count(F.lit(1)).alias("n_events"), *extra
+def user_weeks(t: Tables, cfg: AdoptionConfig) -> DataFrame:
+    """Distinct (user_id, week_number, week_start_date) with a meaningful event,
+    carrying the week's meaningful-event count, minutes and qualifying-feature
+    events. Built from the user-day summary; the calendar join is a broadcast
+    hash join (one row per day), and the (user, week) grouping reuses the
+    summary's user partitioning where the planner can."""
+    return active_days(t, cfg).join(day_weeks(t), "date").groupBy("user_id", "week_number", "week_start_date").agg(
+        F.sum("n_meaningful").alias("n_events"),
+        F.sum("minutes_meaningful").alias("minutes"),
+        F.sum("n_meaningful_qualifying").alias("n_qualifying"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
-from uptake.operators.common import Segment, event_date, meaningful, not_null, seg_list
+from uptake.operators.common import Segment, not_null, seg_list, user_day_activity
 from uptake.tables import Tables
 
 
@@ -18,35 +18,42 @@ def eligible_users(t: Tables) -> DataFrame:
     )
 
 
-def actions_in_window(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Meaningful actions per eligible user from access date to access + N days.
+def _counted_in_window(cfg: AdoptionConfig):
+    """Meaningful actions of one user-day row that fall in the activation window
+    (whole last day for boundary "date"; only its midnight for "instant")."""
+    last = F.date_add("assigned_access_date", cfg.activation_window_days)
+    d = F.col("date")
+    in_days = d >= F.col("assigned_access_date")
+    if cfg.activation_boundary == "instant":
+        return (F.when(in_days & (d < last), F.col("n_meaningful"))
+                .when(in_days & (d == last), F.col("n_meaningful_midnight")).otherwise(0))
+    return F.when(in_days & (d <= last), F.col("n_meaningful")).otherwise(0)
 
-    Events are first reduced to (user, day[, at-midnight]) counts, so the join
-    with users is user-day grain whatever the event volume or key skew.
-    boundary "date": the whole of day N counts; "instant": only its midnight.
+
+def _user_activation_inputs(t: Tables, cfg: AdoptionConfig) -> DataFrame:
+    """Per eligible user with any event: actions in window, qualifying-feature use.
+
+    The user-day summary is joined to eligible users on user_id and grouped by
+    user_id -- the grouping reuses the join's partitioning, so the events are
+    summarised and shuffled once for both inputs.
     """
-    ev = meaningful(t.events, cfg).withColumn("d", event_date())
-    per_day = ev.groupBy("user_id", "d").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("event_timestamp") == F.col("d").cast("timestamp_ntz")).alias("n_midnight"),
-    )
     el = eligible_users(t).select("user_id", "assigned_access_date")
-    last = F.date_add("assigned_access_date", cfg.activation_window_days)
-    j = per_day.join(el, "user_id").where(F.col("d") >= F.col("assigned_access_date"))
-    if cfg.activation_boundary == "instant":
-        counted = F.when(F.col("d") < last, F.col("n")).when(F.col("d") == last, F.col("n_midnight")).otherwise(0)
-    else:
-        counted = F.when(F.col("d") <= last, F.col("n")).otherwise(0)
-    return (
-        j.groupBy("user_id")
-        .agg(F.sum(counted).alias("meaningful_action_count"))
-        .where(F.col("meaningful_action_count") > 0)
+    return user_day_activity(t, cfg).join(el, "user_id").groupBy("user_id").agg(
+        F.sum(_counted_in_window(cfg)).cast("long").alias("meaningful_action_count"),
+        (F.sum("n_qualifying") > 0).alias("used_qualifying_feature"),
     )
 
 
+def actions_in_window(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Meaningful actions per eligible user from access date to access + N days
+    (users with at least one such action)."""
+    return _user_activation_inputs(t, cfg).where(F.col("meaningful_action_count") > 0).select(
+        "user_id", "meaningful_action_count")
+
+
 def qualifying_feature_users(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Distinct users with any event on the qualifying feature (any event type)."""
-    return t.events.where(F.col("feature_name") == cfg.qualifying_feature).select("user_id").distinct()
+    return user_day_activity(t, cfg).where(F.col("n_qualifying") > 0).select("user_id").distinct()
 
 
 def activation_users(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -56,11 +63,8 @@ def activation_users(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFra
                 AND meaningful actions in window >= min actions
     """
     el = eligible_users(t)
-    q = qualifying_feature_users(t, cfg).withColumn("used_qualifying_feature", F.lit(True))
-    a = actions_in_window(t, cfg)
     out = (
-        el.join(q, "user_id", "left")
-        .join(a, "user_id", "left")
+        el.join(_user_activation_inputs(t, cfg), "user_id", "left")
         .withColumn("meaningful_action_count", F.coalesce(F.col("meaningful_action_count"), F.lit(0)).cast("long"))
         .withColumn("used_qualifying_feature", F.coalesce(F.col("used_qualifying_feature"), F.lit(False)))
         .withColumn("completed_training", F.col("training_completed_date").isNotNull())

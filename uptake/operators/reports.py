@@ -11,7 +11,7 @@ from uptake.config import AdoptionConfig, DEFAULT_CONFIG, WEEKLY_DISCLAIMER
 from uptake.functions import half_up_ratio, idiv, pct1
 from uptake.operators import activity, features, feedback, population, retention, training, value
 from uptake.operators.common import (
-    Segment, day_weeks, event_date, meaningful, not_null, seg_list, user_segment, with_scalars,
+    Segment, active_days, day_weeks, not_null, seg_list, user_segment, with_scalars,
 )
 from uptake.tables import Tables
 
@@ -19,16 +19,13 @@ from uptake.tables import Tables
 def weekly_insights(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str = "business_unit") -> DataFrame:
     """One row per (week, segment) with activity, value and feedback blocks.
 
-    All event blocks come from ONE user x week aggregation of meaningful
-    events (WAU, minutes saved in cents, qualifying-feature use), joined to
+    All event blocks come from ONE user x week rollup of the user-day summary
+    (WAU, minutes saved in cents, qualifying-feature use), joined to
     the users table at user x week grain; feedback is pre-aggregated per user
     x week the same way. Prior-week values come from LAG over the segment's
     weekly rows.
     """
-    uw = activity.user_weeks(t, cfg, extra=[
-        F.sum("estimated_minutes_saved").alias("minutes"),
-        F.max((F.col("feature_name") == cfg.qualifying_feature).cast("int")).alias("pl"),
-    ])
+    uw = activity.user_weeks(t, cfg).withColumn("pl", (F.col("n_qualifying") > 0).cast("int"))
     users = t.users.select("user_id", segment)
     j = uw.join(users, "user_id")
     company = j.groupBy("week_number").agg(F.count(F.lit(1)).alias("company_wau"))
@@ -183,7 +180,7 @@ def low_adoption_segments(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segme
 def adoption_funnel(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """eligible -> completed training -> >= 1 meaningful action -> activated."""
     act = population.activation_users(t, cfg)
-    ever = meaningful(t.events, cfg).select("user_id").distinct().withColumn("ever_active", F.lit(True))
+    ever = active_days(t, cfg).select("user_id").distinct().withColumn("ever_active", F.lit(True))
     one = act.join(ever, "user_id", "left").agg(
         F.count(F.lit(1)).alias("s1"),
         F.count_if("completed_training").alias("s2"),

@@ -9,7 +9,7 @@ from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
 from uptake.operators.activity import trailing_active_by_week
 from uptake.operators.common import (
-    Segment, day_weeks, event_date, last_event_date, meaningful, not_null, seg_list, week_ends,
+    Segment, active_days, day_weeks, event_date, last_event_date, not_null, seg_list, week_ends,
 )
 from uptake.operators.population import activation_users
 from uptake.tables import Tables
@@ -19,8 +19,8 @@ def user_active_weeks(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFr
     """One row per active user: cohort_week (first active week) and the set of
     active weeks. collect_set is merged map-side and bounded by the number of
     calendar weeks, so a hot user stays one small row."""
-    ev = meaningful(t.events, cfg).withColumn("date", event_date()).join(day_weeks(t), "date")
-    return ev.groupBy("user_id").agg(F.collect_set("week_number").alias("weeks")).select(
+    days = active_days(t, cfg).join(day_weeks(t), "date")
+    return days.groupBy("user_id").agg(F.collect_set("week_number").alias("weeks")).select(
         "user_id", F.array_min("weeks").alias("cohort_week"), "weeks"
     )
 
@@ -45,7 +45,7 @@ def retention_cohorts(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFr
 
 def activation_week(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per user: first meaningful event and the calendar week it falls in."""
-    first = meaningful(t.events, cfg).groupBy("user_id").agg(F.min("event_timestamp").alias("first_meaningful_ts"))
+    first = active_days(t, cfg).groupBy("user_id").agg(F.min("first_meaningful_ts").alias("first_meaningful_ts"))
     return first.withColumn("date", event_date("first_meaningful_ts")).join(day_weeks(t), "date", "left").select(
         "user_id", "first_meaningful_ts", F.col("week_number").alias("activation_week")
     )
@@ -85,9 +85,9 @@ def dormant_users(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Segm
     as-of date (default: last event date over all events)."""
     cols = seg_list(segment)
     as_of = last_event_date(t, cfg)
-    d = event_date()
+    d = F.col("date")
     recent = (
-        meaningful(t.events, cfg)
+        active_days(t, cfg)
         .where((d > F.date_sub(as_of, cfg.trailing_window_days)) & (d <= as_of))
         .select("user_id").distinct().withColumn("recent", F.lit(True))
     )

@@ -7,17 +7,16 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG, TIME_SAVED_DISCLAIMER
 from uptake.functions import half_up_ratio, hours_between, idiv
-from uptake.operators.common import Segment, not_null, seg_list
+from uptake.operators.common import Segment, not_null, seg_list, user_day_activity
 from uptake.operators.population import eligible_users
 from uptake.operators.quantiles import exact_percentile
 from uptake.tables import Tables
 
 
 def first_value_event(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
-    ev = t.events.where(
-        F.col("event_type").isin(*cfg.value_event_types) & F.coalesce("successful_completion_flag", F.lit(False))
-    )
-    return ev.groupBy("user_id").agg(F.min("event_timestamp").alias("first_value_ts"))
+    """Per user: the first successful value event (from the user-day summary)."""
+    return user_day_activity(t, cfg).where(F.col("first_value_ts").isNotNull()).groupBy("user_id").agg(
+        F.min("first_value_ts").alias("first_value_ts"))
 
 
 def time_to_value(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
