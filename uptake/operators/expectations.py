@@ -50,3 +50,18 @@ def expectations_report(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Data
          .join(wau, "week_number", "left_anti").agg(F.count(F.lit(1)).alias("failures"))),
     ]
     return reduce(DataFrame.unionByName, [_check(n, d) for n, d in checks])
+
+
+def null_segment_counts(t: Tables, segments) -> DataFrame:
+    """D18: segment metrics drop users whose segment value is null; report how
+    many users and events that removes, per segment column. Events are
+    pre-counted per user before meeting the users table."""
+    per_user = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    u = t.users.join(per_user, "user_id", "left")
+    parts = [
+        u.agg(F.count_if(F.col(c).isNull()).alias("users_dropped"),
+              F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("n"))), F.lit(0)).cast("long").alias("events_dropped"))
+        .select(F.lit(c).alias("segment_column"), "users_dropped", "events_dropped")
+        for c in segments
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -1371,3 +1371,18 @@ UNION ALL SELECT 'training_sessions', COUNT(*), 9 FROM training_sessions"""))
 def q_table_profile(spark, sf):
     from uptake.operators.reports import table_profile
     return table_profile(tables(spark, sf))
+
+
+@register("null_segment_counts", with_bind("""
+SELECT 'business_unit' AS segment_column, COUNT(*) FILTER (WHERE business_unit IS NULL) AS users_dropped,
+       (SELECT COUNT(*) FROM usage_events e JOIN users u ON u.user_id = e.user_id WHERE u.business_unit IS NULL)
+           AS events_dropped
+FROM users
+UNION ALL SELECT 'role', COUNT(*) FILTER (WHERE role IS NULL),
+       (SELECT COUNT(*) FROM usage_events e JOIN users u ON u.user_id = e.user_id WHERE u.role IS NULL) FROM users
+UNION ALL SELECT 'rollout_wave', COUNT(*) FILTER (WHERE rollout_wave IS NULL),
+       (SELECT COUNT(*) FROM usage_events e JOIN users u ON u.user_id = e.user_id WHERE u.rollout_wave IS NULL)
+FROM users"""))
+def q_null_segment_counts(spark, sf):
+    from uptake.operators.expectations import null_segment_counts
+    return null_segment_counts(tables(spark, sf), ["business_unit", "role", "rollout_wave"])
