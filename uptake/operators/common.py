@@ -70,6 +70,8 @@ def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     by Spark's exchange reuse), and a user owning a third of the events is
     reduced to one row per day before any shuffle.
     """
+    if t.user_day is not None:
+        return t.user_day
     ts = F.col("event_timestamp")
     d = event_date()
     m = F.col("event_type").isin(*cfg.meaningful_event_types)
@@ -91,13 +93,59 @@ def active_days(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     return user_day_activity(t, cfg).where(F.col("n_meaningful") > 0)
 
 
+def precompute(t: Tables, cfg: AdoptionConfig) -> Tables:
+    """Materialise the user-day summary once (in the shared checkpoint folder)
+    so every report of a batch run reads it instead of the events."""
+    from uptake.session import materialize
+    return t.replace(user_day=materialize(user_day_activity(t.replace(user_day=None), cfg), "user_day"))
+
+
 def last_event_date(t: Tables, cfg: AdoptionConfig) -> Column:
-    """As-of date: the configured one, else the last event date in the data
-    (a scalar subquery over the user-day summary, evaluated once, no driver
-    round trip)."""
+    """As-of date: the configured one, else the last event date in the data.
+
+    A scalar subquery evaluated once: a max over the timestamp column alone,
+    partially aggregated per task (one value each), no shuffle of event rows.
+    """
     if cfg.as_of_date:
         return F.lit(cfg.as_of_date).cast("date")
-    return user_day_activity(t, cfg).agg(F.max("date").alias("d")).scalar()
+    if t.user_day is not None:
+        return t.user_day.agg(F.max("date").alias("d")).scalar()
+    return t.events.agg(F.max(event_date()).alias("d")).scalar()
+
+
+def user_summary(t: Tables, cfg: AdoptionConfig) -> DataFrame:
+    """One row per user (in the users table) with at least one event: every
+    per-user fact the user-level metrics need, from ONE aggregation.
+
+    meaningful_action_count  meaningful actions in the activation window
+    used_qualifying_feature  any event on the qualifying feature
+    first_value_ts           first successful value event
+    last_active_date         last date with a meaningful action, on or before
+                             the configured as-of date when one is set
+
+    The user-day summary is joined to the users' access dates on user_id and
+    grouped by user_id, which reuses the join's partitioning. Computing all
+    facts in one frame keeps metrics that combine them (activation +
+    dormancy, scorecards) on a single pass over the events.
+    """
+    acc = t.users.select("user_id", "assigned_access_date")
+    d = F.col("date")
+    last = F.date_add("assigned_access_date", cfg.activation_window_days)
+    in_days = d >= F.col("assigned_access_date")
+    if cfg.activation_boundary == "instant":
+        counted = (F.when(in_days & (d < last), F.col("n_meaningful"))
+                   .when(in_days & (d == last), F.col("n_meaningful_midnight")).otherwise(0))
+    else:
+        counted = F.when(in_days & (d <= last), F.col("n_meaningful")).otherwise(0)
+    active = F.col("n_meaningful") > 0
+    if cfg.as_of_date:
+        active = active & (d <= F.lit(cfg.as_of_date).cast("date"))
+    return user_day_activity(t, cfg).join(acc, "user_id").groupBy("user_id").agg(
+        F.sum(counted).cast("long").alias("meaningful_action_count"),
+        (F.sum("n_qualifying") > 0).alias("used_qualifying_feature"),
+        F.min("first_value_ts").alias("first_value_ts"),
+        F.max(F.when(active, d)).alias("last_active_date"),
+    )
 
 
 def user_segment(t: Tables, segment: Segment) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
-from uptake.operators.common import Segment, not_null, seg_list, user_day_activity
+from uptake.operators.common import Segment, not_null, seg_list, user_day_activity, user_summary
 from uptake.tables import Tables
 
 
@@ -18,36 +18,12 @@ def eligible_users(t: Tables) -> DataFrame:
     )
 
 
-def _counted_in_window(cfg: AdoptionConfig):
-    """Meaningful actions of one user-day row that fall in the activation window
-    (whole last day for boundary "date"; only its midnight for "instant")."""
-    last = F.date_add("assigned_access_date", cfg.activation_window_days)
-    d = F.col("date")
-    in_days = d >= F.col("assigned_access_date")
-    if cfg.activation_boundary == "instant":
-        return (F.when(in_days & (d < last), F.col("n_meaningful"))
-                .when(in_days & (d == last), F.col("n_meaningful_midnight")).otherwise(0))
-    return F.when(in_days & (d <= last), F.col("n_meaningful")).otherwise(0)
-
-
-def _user_activation_inputs(t: Tables, cfg: AdoptionConfig) -> DataFrame:
-    """Per eligible user with any event: actions in window, qualifying-feature use.
-
-    The user-day summary is joined to eligible users on user_id and grouped by
-    user_id -- the grouping reuses the join's partitioning, so the events are
-    summarised and shuffled once for both inputs.
-    """
-    el = eligible_users(t).select("user_id", "assigned_access_date")
-    return user_day_activity(t, cfg).join(el, "user_id").groupBy("user_id").agg(
-        F.sum(_counted_in_window(cfg)).cast("long").alias("meaningful_action_count"),
-        (F.sum("n_qualifying") > 0).alias("used_qualifying_feature"),
-    )
-
-
 def actions_in_window(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Meaningful actions per eligible user from access date to access + N days
-    (users with at least one such action)."""
-    return _user_activation_inputs(t, cfg).where(F.col("meaningful_action_count") > 0).select(
+    (users with at least one such action). Boundary "date": the whole of day
+    N counts; "instant": only its midnight."""
+    el = eligible_users(t).select("user_id")
+    return user_summary(t, cfg).join(el, "user_id").where(F.col("meaningful_action_count") > 0).select(
         "user_id", "meaningful_action_count")
 
 
@@ -64,7 +40,7 @@ def activation_users(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFra
     """
     el = eligible_users(t)
     out = (
-        el.join(_user_activation_inputs(t, cfg), "user_id", "left")
+        el.join(user_summary(t, cfg), "user_id", "left")
         .withColumn("meaningful_action_count", F.coalesce(F.col("meaningful_action_count"), F.lit(0)).cast("long"))
         .withColumn("used_qualifying_feature", F.coalesce(F.col("used_qualifying_feature"), F.lit(False)))
         .withColumn("completed_training", F.col("training_completed_date").isNotNull())

@@ -11,7 +11,7 @@ from uptake.config import AdoptionConfig, DEFAULT_CONFIG, WEEKLY_DISCLAIMER
 from uptake.functions import half_up_ratio, idiv, pct1
 from uptake.operators import activity, features, feedback, population, retention, training, value
 from uptake.operators.common import (
-    Segment, active_days, day_weeks, not_null, seg_list, user_segment, with_scalars,
+    Segment, active_days, day_weeks, last_event_date, not_null, seg_list, user_segment, with_scalars,
 )
 from uptake.tables import Tables
 
@@ -70,20 +70,31 @@ def _frac(pct_col: str) -> Column:
 
 
 def segment_scorecard(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str = "business_unit") -> DataFrame:
-    """Activation, median time-to-value, training completion and dormancy per segment."""
-    act_users = population.activation_users(t, cfg)
-    act = population.activation_rate(t, cfg, segment, activation=act_users)
+    """Activation, median time-to-value, training completion and dormancy per segment.
+
+    Eligible / activated / dormant counts come from ONE aggregation over the
+    activation frame (which carries each user's last active date), so
+    activation and dormancy share a single pass over the events; the median
+    and the training block are the other two branches.
+    """
+    act = population.activation_users(t, cfg).where(F.col(segment).isNotNull())
+    as_of = last_event_date(t, cfg)
+    recent = F.coalesce(F.col("last_active_date") > F.date_sub(as_of, cfg.trailing_window_days), F.lit(False))
+    counts = act.groupBy(segment).agg(
+        F.count(F.lit(1)).alias("eligible_users"),
+        F.count_if("activated").alias("activated_users"),
+        F.count_if(F.col("activated") & ~recent).alias("dormant_users"),
+    )
     ttv = value.median_time_to_value(t, cfg, segment)
     tr = training.training_completion(t, segment)
-    dorm = retention.dormant_users(t, cfg, segment, activation=act_users)
     return (
-        act.join(ttv, segment, "left").join(tr, segment, "left").join(dorm.drop("activated_users"), segment, "left")
+        counts.join(ttv, segment, "left").join(tr, segment, "left")
         .select(
             segment, "eligible_users", "activated_users",
-            _frac("activation_rate_pct").alias("activation_rate"),
+            (pct1("activated_users", "eligible_users") / F.lit(100.0)).alias("activation_rate"),
             "median_hours_to_value",
             _frac("training_completion_rate_pct").alias("training_completion_rate"),
-            _frac("dormancy_rate_pct").alias("dormancy_rate"),
+            (pct1("dormant_users", "activated_users") / F.lit(100.0)).alias("dormancy_rate"),
         )
     )
 

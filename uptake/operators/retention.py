@@ -82,21 +82,19 @@ def retention_w1_w4(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFram
 def dormant_users(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Segment = "business_unit",
                   activation: DataFrame | None = None) -> DataFrame:
     """Activated users with no meaningful action in the N dates up to the
-    as-of date (default: last event date over all events)."""
+    as-of date (default: last event date over all events).
+
+    Recency comes from the activation frame's ``last_active_date`` (same
+    per-user summary), so dormancy adds no second pass over the events.
+    """
     cols = seg_list(segment)
     as_of = last_event_date(t, cfg)
-    d = F.col("date")
-    recent = (
-        active_days(t, cfg)
-        .where((d > F.date_sub(as_of, cfg.trailing_window_days)) & (d <= as_of))
-        .select("user_id").distinct().withColumn("recent", F.lit(True))
-    )
     act = activation if activation is not None else activation_users(t, cfg)
-    a = act.where(F.col("activated") & not_null(cols)).select("user_id", *cols)
+    recent = F.coalesce(F.col("last_active_date") > F.date_sub(as_of, cfg.trailing_window_days), F.lit(False))
     return (
-        a.join(recent, "user_id", "left")
+        act.where(F.col("activated") & not_null(cols))
         .groupBy(*cols)
-        .agg(F.count(F.lit(1)).alias("activated_users"), F.count_if(F.col("recent").isNull()).alias("dormant_users"))
+        .agg(F.count(F.lit(1)).alias("activated_users"), F.count_if(~recent).alias("dormant_users"))
         .withColumn("dormancy_rate_pct", pct1("dormant_users", "activated_users"))
     )
 

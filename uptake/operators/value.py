@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG, TIME_SAVED_DISCLAIMER
 from uptake.functions import half_up_ratio, hours_between, idiv
-from uptake.operators.common import Segment, not_null, seg_list, user_day_activity
+from uptake.operators.common import Segment, not_null, seg_list, user_day_activity, user_summary
 from uptake.operators.population import eligible_users
 from uptake.operators.quantiles import exact_percentile
 from uptake.tables import Tables
@@ -25,8 +25,9 @@ def time_to_value(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     eligible users only with ``cfg.ttv_eligible_only``."""
     pop = eligible_users(t) if cfg.ttv_eligible_only else t.users.where(F.col("assigned_access_date").isNotNull())
     access_ts = F.col("assigned_access_date").cast("timestamp_ntz")
+    fv = user_summary(t, cfg).select("user_id", "first_value_ts")
     return (
-        pop.join(first_value_event(t, cfg), "user_id")
+        pop.join(fv, "user_id")
         .where(F.col("first_value_ts") >= access_ts)
         .withColumn("hours_to_value", hours_between("assigned_access_date", "first_value_ts"))
     )

@@ -25,6 +25,9 @@ class Tables:
     calendar: DataFrame
     features: DataFrame
     training: DataFrame
+    # optional precomputed per-(user, day) event summary (see
+    # operators.common.precompute); must be built with the same config
+    user_day: DataFrame | None = None
 
     def where(
         self,
@@ -47,9 +50,10 @@ class Tables:
                 users=kept,
                 events=t.events.join(ids, "user_id", "left_semi"),
                 feedback=t.feedback.join(ids, "user_id", "left_semi"),
+                user_day=None,
             )
         if events is not None:
-            t = replace(t, events=t.events.where(events))
+            t = replace(t, events=t.events.where(events), user_day=None)
         if feedback is not None:
             t = replace(t, feedback=t.feedback.where(feedback))
         return t
