@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uptake.config import AdoptionConfig, DEFAULT_CONFIG
+from uptake.config import ALL_EVENT_TYPES, AdoptionConfig, DEFAULT_CONFIG
 from uptake.operators import feedback, population, retention
 from uptake.operators.activity import weekly_active_users
 from uptake.tables import Tables
@@ -23,8 +23,41 @@ def _check(name: str, failures: DataFrame) -> DataFrame:
                            (F.col("failures") == 0).alias("passed"))
 
 
-def expectations_report(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """One row per invariant with its number of violating rows."""
+# E-2 default: every table has at least one row (bounds are inclusive; None = unbounded)
+DEFAULT_ROW_BOUNDS = {name: (1, None) for name in
+                      ("users", "events", "feedback", "calendar", "features", "training")}
+
+
+def row_count_failures(df: DataFrame, bounds: tuple[int | None, int | None]) -> DataFrame:
+    """1 failure when the table's row count is outside [lo, hi] (one partial
+    count per task, no shuffle of rows)."""
+    lo, hi = bounds
+    n = F.count(F.lit(1))
+    ok = F.lit(True)
+    if lo is not None:
+        ok = ok & (n >= lo)
+    if hi is not None:
+        ok = ok & (n <= hi)
+    return df.agg(F.when(ok, 0).otherwise(1).alias("failures"))
+
+
+def values_outside(df: DataFrame, col: str, allowed) -> DataFrame:
+    """Non-null values of ``col`` outside the canonical set."""
+    c = F.col(col)
+    return df.agg(F.count_if(c.isNotNull() & ~c.isin(*allowed)).alias("failures"))
+
+
+def expectations_report(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG,
+                        row_bounds: dict[str, tuple[int | None, int | None]] | None = None) -> DataFrame:
+    """One row per invariant with its number of violating rows.
+
+    E-2 row counts per table (``row_bounds``: table -> (min, max)), E-3 unique
+    keys, E-4 canonical value sets (null allowed), E-5 numeric bounds, E-6
+    cross-table date order, E-7 metric invariants.
+    """
+    bounds = DEFAULT_ROW_BOUNDS if row_bounds is None else row_bounds
+    frames = {"users": t.users, "events": t.events, "feedback": t.feedback, "calendar": t.calendar,
+              "features": t.features, "training": t.training}
     act = population.activation_rate(t, cfg, "business_unit")
     ret = retention.retention_cohorts(t, cfg)
     ranks = feedback.barrier_ranking(t, cfg)
@@ -48,7 +81,13 @@ def expectations_report(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Data
          .agg(F.count_if(F.col("m") != 1).alias("failures"))),
         ("every calendar week has WAU", t.calendar.select("week_number").distinct()
          .join(wau, "week_number", "left_anti").agg(F.count(F.lit(1)).alias("failures"))),
+        ("business_unit in canonical set", values_outside(t.users, "business_unit", cfg.canonical_business_units)),
+        ("event_type in canonical set", values_outside(t.events, "event_type", ALL_EVENT_TYPES)),
+        ("event feature_name in canonical set", values_outside(t.events, "feature_name", cfg.feature_names)),
+        ("feedback feature_name in canonical set", values_outside(t.feedback, "feature_name", cfg.feature_names)),
+        ("barrier_category in canonical set", values_outside(t.feedback, "barrier_category", cfg.barrier_categories)),
     ]
+    checks += [(f"{name} row count in range", row_count_failures(frames[name], b)) for name, b in bounds.items()]
     return reduce(DataFrame.unionByName, [_check(n, d) for n, d in checks])
 
 

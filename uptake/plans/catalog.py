@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uptake.config import DEFAULT_CONFIG, TESTDATA_CONFIG, TIME_SAVED_DISCLAIMER, WEEKLY_DISCLAIMER
+from uptake.config import ALL_EVENT_TYPES, DEFAULT_CONFIG, TESTDATA_CONFIG, TIME_SAVED_DISCLAIMER, WEEKLY_DISCLAIMER
 from uptake.operators import activity, features, feedback, population, reports, retention, training, value
 from uptake.plans import sqlparts as sp
 from uptake.plans.bind_sql import half_up_ratio, pct1, q, with_bind
@@ -1335,6 +1335,24 @@ SELECT check_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed
         FROM br GROUP BY 1) x WHERE m <> 1)
     UNION ALL SELECT 'every calendar week has WAU', (SELECT COUNT(*) FROM (SELECT DISTINCT week_number FROM calendar) c
         WHERE c.week_number NOT IN (SELECT week_number FROM uw))
+    UNION ALL SELECT 'business_unit in canonical set', (SELECT COUNT(*) FROM users
+        WHERE business_unit IS NOT NULL AND business_unit NOT IN {in_list(CFG.canonical_business_units)})
+    UNION ALL SELECT 'event_type in canonical set', (SELECT COUNT(*) FROM usage_events
+        WHERE event_type IS NOT NULL AND event_type NOT IN {in_list(ALL_EVENT_TYPES)})
+    UNION ALL SELECT 'event feature_name in canonical set', (SELECT COUNT(*) FROM usage_events
+        WHERE feature_name IS NOT NULL AND feature_name NOT IN {in_list(CFG.feature_names)})
+    UNION ALL SELECT 'feedback feature_name in canonical set', (SELECT COUNT(*) FROM feedback
+        WHERE feature_name IS NOT NULL AND feature_name NOT IN {in_list(CFG.feature_names)})
+    UNION ALL SELECT 'barrier_category in canonical set', (SELECT COUNT(*) FROM feedback
+        WHERE barrier_category IS NOT NULL AND barrier_category NOT IN {in_list(CFG.barrier_categories)})
+    UNION ALL SELECT 'users row count in range', CASE WHEN (SELECT COUNT(*) FROM users) >= 1 THEN 0 ELSE 1 END
+    UNION ALL SELECT 'events row count in range', CASE WHEN (SELECT COUNT(*) FROM usage_events) >= 1 THEN 0 ELSE 1 END
+    UNION ALL SELECT 'feedback row count in range', CASE WHEN (SELECT COUNT(*) FROM feedback) >= 1 THEN 0 ELSE 1 END
+    UNION ALL SELECT 'calendar row count in range', CASE WHEN (SELECT COUNT(*) FROM calendar) >= 1 THEN 0 ELSE 1 END
+    UNION ALL SELECT 'features row count in range',
+        CASE WHEN (SELECT COUNT(*) FROM feature_catalog) >= 1 THEN 0 ELSE 1 END
+    UNION ALL SELECT 'training row count in range',
+        CASE WHEN (SELECT COUNT(*) FROM training_sessions) >= 1 THEN 0 ELSE 1 END
 ) z""", ACT + ",\n" + COH + ",\n" + BC + ",\n" + UW.strip()))
 def q_expectations_report(spark, sf):
     from uptake.operators.expectations import expectations_report
