@@ -14,3 +14,10 @@ def test_row_count_bounds(spark):
     assert row_count_failures(df, (1, 4)).collect()[0].failures == 1
     assert row_count_failures(df, (5, 5)).collect()[0].failures == 0
     assert row_count_failures(spark.range(0), (1, None)).collect()[0].failures == 1
+
+
+def test_required_columns_reports_missing(spark):
+    from uptake.operators.expectations import required_columns
+    df = spark.createDataFrame([(1, "a")], "user_id long, business_unit string")
+    assert required_columns(df, ["user_id", "business_unit"]) == []
+    assert required_columns(df, ["user_id", "role", "rollout_wave"]) == ["role", "rollout_wave"]
