@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import blank_to_null, normalize_label, safe_decimal, safe_double, safe_timestamp, to_bool
+from uptake.session import ensure_checkpoint_dir
 
 
 def dedup_stream(events: DataFrame, delay: str = "1 hour", ts: str = "event_timestamp") -> DataFrame:
@@ -42,14 +43,28 @@ def clean_stream(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFr
 
 
 def split_writer(clean_path: str, quarantine_path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink: append valid rows and quarantined rows separately."""
+    """foreachBatch sink: valid rows and quarantined rows go to separate tables.
+
+    Idempotent per micro-batch: each epoch overwrites its own ``epoch_id=N``
+    folder, so a batch that is replayed after a failure replaces its first
+    attempt instead of appending duplicates. Readers see ``epoch_id`` as a
+    partition column.
+    """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.where("_valid").drop("_valid", "event_timestamp_raw").write.mode("append").parquet(clean_path)
+        batch.where("_valid").drop("_valid", "event_timestamp_raw").write.mode("overwrite") \
+            .parquet(f"{clean_path}/epoch_id={epoch_id}")
         batch.where(~F.col("_valid")).select("event_id", "user_id", "event_timestamp_raw") \
-            .write.mode("append").parquet(quarantine_path)
+            .write.mode("overwrite").parquet(f"{quarantine_path}/epoch_id={epoch_id}")
     return write
 
 
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """Checkpoint location for a streaming query, under the shared folder the
+    cluster names in ``spark.checkpoint.dir`` (a local scratch folder only in
+    local mode; see ``session.ensure_checkpoint_dir``)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+
+
 def weekly_active_stream(events: DataFrame, users: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG,
                          segment: str = "business_unit", delay: str = "1 day") -> DataFrame:
     """X-3: approximate WAU per Monday-start week and segment.
