@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.operators import cleaning as cl
-from uptake.operators import reports
+from uptake.operators import activity, reports, retention, value
+from uptake.operators.common import precompute
 from uptake.session import ensure_checkpoint_dir, materialize
 from uptake.sources.io import load_tables, read_raw_csv, write_issue_log
 from uptake.tables import Tables
@@ -63,11 +64,19 @@ REPORTS = {
     "weekly_insights": reports.weekly_insights, "segment_scorecard": reports.segment_scorecard,
     "feature_scorecard": reports.feature_scorecard, "barrier_matrix": reports.barrier_matrix,
     "wau_matrix": reports.wau_matrix, "adoption_funnel": reports.adoption_funnel,
+    "headline_kpis": reports.headline_kpis, "retention_cohorts": retention.retention_cohorts,
+    "dormancy_by_segment": retention.dormant_users, "dormancy_trend": retention.dormancy_trend,
+    "wau_by_segment": lambda t, cfg: activity.weekly_active_users(t, cfg, "business_unit"),
+    "time_saved_by_feature": value.time_saved_by_feature,
 }
 
 
 def run_reports(spark: SparkSession, clean_dir: str, out_dir: str, cfg: AdoptionConfig = DEFAULT_CONFIG) -> None:
-    t = load_tables(spark, clean_dir)
+    """Write every report table. The per-(user, day) event summary that all
+    event metrics share is written once to the checkpoint folder first, so
+    the reports read it instead of re-scanning and re-shuffling the events
+    (and a lost executor costs a re-read, not a re-aggregation)."""
+    t = precompute(load_tables(spark, clean_dir), cfg)
     for name, fn in REPORTS.items():
         fn(t, cfg).write.mode("overwrite").parquet(f"{out_dir}/{name}")
 
