@@ -135,15 +135,19 @@ def headline_kpis(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str
                   below: float = 0.75, wau_from_week: int = 12, feature_above: float = 0.5) -> DataFrame:
     """One row of workbook KPIs. The average completion rate is the
     unweighted mean of segment rates; sums of rounded values are done on
-    integer tenths so they are exact."""
-    sc = segment_scorecard(t, cfg, segment)
+    integer tenths so they are exact.
+
+    Only the scorecard's activation counts are needed, so they are computed
+    directly (no median / dormancy branches)."""
+    act = population.activation_users(t, cfg).where(F.col(segment).isNotNull()).groupBy(segment).agg(
+        F.count(F.lit(1)).alias("eligible_users"), F.count_if("activated").alias("activated_users"))
     tr = training.training_completion(t, segment)
-    a = sc.join(tr.select(segment, "training_completion_rate_pct"), segment, "left").agg(
+    a = act.join(tr.select(segment, "training_completion_rate_pct"), segment, "left").agg(
         F.sum("eligible_users").cast("long").alias("total_eligible_users"),
         F.sum("activated_users").cast("long").alias("total_activated_users"),
         F.sum((F.col("training_completion_rate_pct") * 10).cast("long")).alias("tr_tenths"),
         F.count("training_completion_rate_pct").alias("tr_n"),
-        F.count_if(F.col("activation_rate") < below).alias("segments_below_threshold"),
+        F.count_if(pct1("activated_users", "eligible_users") / F.lit(100.0) < below).alias("segments_below_threshold"),
     )
     wau = activity.weekly_active_users(t, cfg).where(F.col("week_number") >= wau_from_week).agg(
         F.sum("weekly_active_users").cast("long").alias("total_wau_from_week")
