@@ -8,9 +8,14 @@ from __future__ import annotations
 
 from uptake.config import CANONICAL_FEATURES, FEATURE_CATALOG
 from uptake.sources.testbind import (
-    BARRIER_BY_PRIORITY, EVENT_TYPE_MAP, PLATFORMS, ROLES, SEGMENTS, SESSION_TOPICS, THIN_CUTOFF, TRAINING_FORMATS,
+    BACKGROUND_EVENT_TYPE, BARRIER_BY_PRIORITY, EVENT_TYPE_MAP, PLATFORMS, ROLES, SEGMENTS, SESSION_TOPICS,
+    TRAINING_FORMATS, USAGE_CUTOFF,
 )
 
+# user-days that carry usage actions (the rest are background app_opened rows)
+USAGE = (f"((e.user_id * 7 + CAST(day(e.ts) AS INTEGER) * 11) % 10 < e.user_id % 3 + 3"
+         f" AND (e.user_id % 4 <> 0 OR e.ts < TIMESTAMP '{USAGE_CUTOFF}'))")
+
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -77,25 +82,25 @@ usage_events AS (
         e.user_id,
         e.ts AS event_timestamp,
         concat_ws('-', 'S', CAST(e.user_id AS VARCHAR), strftime(e.ts, '%Y%m%d')) AS session_id,
-        CASE WHEN TRY_CAST(regexp_extract(e.props, '([0-9]+)', 1) AS INTEGER) % 9 < 8
+        CASE WHEN {USAGE} AND TRY_CAST(regexp_extract(e.props, '([0-9]+)', 1) AS INTEGER) % 9 < 8
              THEN {case_pick("TRY_CAST(regexp_extract(e.props, '([0-9]+)', 1) AS INTEGER) % 9", CANONICAL_FEATURES)}
         END AS feature_name,
-        COALESCE({case_map('e.event_type', EVENT_TYPE_MAP)},
-                 CASE WHEN e.event_type = 'purchase' THEN
-                      CASE WHEN e.event_id % 4 = 0 THEN 'output_exported' ELSE 'feature_completed' END END,
-                 e.event_type) AS event_type,
-        (e.event_type = 'purchase' AND e.event_id % 4 = 0) AS output_exported_flag,
+        CASE WHEN {USAGE} THEN
+             COALESCE({case_map('e.event_type', EVENT_TYPE_MAP)},
+                      CASE WHEN e.event_type = 'purchase' THEN
+                           CASE WHEN e.event_id % 4 = 0 THEN 'output_exported' ELSE 'feature_completed' END END,
+                      e.event_type)
+             ELSE {q(BACKGROUND_EVENT_TYPE)} END AS event_type,
+        ({USAGE} AND e.event_type = 'purchase' AND e.event_id % 4 = 0) AS output_exported_flag,
         (e.event_type <> 'error' AND e.event_id % 14 <> 0) AS successful_completion_flag,
-        CASE WHEN e.event_type IN ('click', 'purchase') AND e.event_id % 14 <> 0
+        CASE WHEN {USAGE} AND e.event_type IN ('click', 'purchase') AND e.event_id % 14 <> 0
              THEN CAST(e.value AS DECIMAL(18,2)) END AS estimated_minutes_saved,
         CAST(e.event_id % 600 + 5 AS INTEGER) AS session_duration_seconds,
-        (e.event_type = 'error') AS error_flag,
+        ({USAGE} AND e.event_type = 'error') AS error_flag,
         {case_pick('e.event_id % 3', PLATFORMS)} AS platform
     FROM events e
     LEFT JOIN users u ON u.user_id = e.user_id
-    WHERE (e.user_id * 7 + CAST(day(e.ts) AS INTEGER) * 11) % 10 < e.user_id % 3 + 3
-      AND (e.user_id % 4 <> 0 OR e.ts < TIMESTAMP {q(THIN_CUTOFF)})
-      AND (u.assigned_access_date IS NULL OR CAST(e.ts AS DATE) >= u.assigned_access_date)
+    WHERE u.assigned_access_date IS NULL OR CAST(e.ts AS DATE) >= u.assigned_access_date
 ),
 feedback AS (
     SELECT

@@ -31,7 +31,9 @@ BARRIER_BY_PRIORITY = {
     "4-NOT SPECIFIED": "No barrier reported",
     "5-LOW": "Tool performance issue",
 }
-THIN_CUTOFF = "2024-01-22 00:00:00"
+# users with user_id % 4 = 0 stop using the product after this instant
+USAGE_CUTOFF = "2024-01-22 00:00:00"
+BACKGROUND_EVENT_TYPE = "app_opened"  # raw events outside the usage pattern
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,36 +71,42 @@ def bind_users(customer: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
 
 
 def bind_events(events: DataFrame, users: DataFrame) -> DataFrame:
-    """Thin the raw stream, map its vocabulary, drop events before access."""
+    """Map the raw stream to usage events and drop events before access.
+
+    Every raw event is kept. Raw activity is dense (every user on every day),
+    so only a fixed pattern of user-days carries usage actions; the other
+    events become background ``app_opened`` rows with no feature, no export
+    and no estimate. Activation, dormancy and retention stay informative and
+    every query still processes the whole events table.
+    """
     uid, eid, ts, et = F.col("user_id"), F.col("event_id"), F.col("ts"), F.col("event_type")
-    thin = ((uid * 7 + F.dayofmonth(ts) * 11) % 10 < uid % 3 + 3) & (
-        (uid % 4 != 0) | (ts < F.lit(THIN_CUTOFF).cast("timestamp_ntz"))
+    usage = ((uid * 7 + F.dayofmonth(ts) * 11) % 10 < uid % 3 + 3) & (
+        (uid % 4 != 0) | (ts < F.lit(USAGE_CUTOFF).cast("timestamp_ntz"))
     )
     j = F.regexp_extract("props", "([0-9]+)", 1).try_cast("int")
-    mapped = F.coalesce(
+    mapped = F.when(usage, F.coalesce(
         F.try_element_at(F.create_map(*[x for kv in EVENT_TYPE_MAP.items() for x in map(F.lit, kv)]), et),
         F.when(et == "purchase", F.when(eid % 4 == 0, F.lit("output_exported")).otherwise(F.lit("feature_completed"))),
         et,
-    )
+    )).otherwise(F.lit(BACKGROUND_EVENT_TYPE))
     ok = (et != "error") & (eid % 14 != 0)
     access = users.select("user_id", "assigned_access_date")
     return (
-        events.where(thin)
-        .join(access, "user_id", "left")
+        events.join(access, "user_id", "left")
         .where(F.col("assigned_access_date").isNull() | (ts.cast("date") >= F.col("assigned_access_date")))
         .select(
             eid.alias("event_id"),
             uid.alias("user_id"),
             ts.alias("event_timestamp"),
             F.concat_ws("-", F.lit("S"), uid.cast("string"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
-            F.when(j % 9 < 8, _pick(CANONICAL_FEATURES, j % 9)).alias("feature_name"),
+            F.when(usage & (j % 9 < 8), _pick(CANONICAL_FEATURES, j % 9)).alias("feature_name"),
             mapped.alias("event_type"),
             (mapped == "output_exported").alias("output_exported_flag"),
             ok.alias("successful_completion_flag"),
-            F.when(et.isin("click", "purchase") & (eid % 14 != 0), F.col("value").cast("decimal(18,2)"))
+            F.when(usage & et.isin("click", "purchase") & (eid % 14 != 0), F.col("value").cast("decimal(18,2)"))
             .alias("estimated_minutes_saved"),
             (eid % 600 + 5).cast("int").alias("session_duration_seconds"),
-            (et == "error").alias("error_flag"),
+            (usage & (et == "error")).alias("error_flag"),
             _pick(PLATFORMS, eid % 3).alias("platform"),
         )
     )
