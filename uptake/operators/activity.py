@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
 from uptake.operators.common import (
-    Segment, active_days, last_event_date, seg_list, user_segment, user_weeks, week_ends,
+    Segment, active_days, bounded_broadcast, last_event_date, seg_list, user_segment, user_weeks, week_ends,
 )
 from uptake.tables import Tables
 
@@ -60,7 +60,7 @@ def trailing_active_by_week(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) ->
         F.explode(F.when(first_end <= last, F.sequence(first_end, last, F.expr("INTERVAL 7 DAYS")))
                   .otherwise(F.array().cast("array<date>"))).alias("week_end_date"),
     )
-    we = F.broadcast(week_ends(t).select("week_number", "week_end_date"))
+    we = bounded_broadcast(week_ends(t).select("week_number", "week_end_date"), t.calendar)
     return cand.join(we, "week_end_date").select("user_id", "week_number", "week_end_date").distinct()
 
 

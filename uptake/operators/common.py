@@ -7,13 +7,16 @@ Scale rules followed throughout:
   a user owning a third of all events costs one pre-aggregated row per
   partition, not a third of the join.
 * Only bounded tables are broadcast: the calendar (one row per day) and the
-  feature catalog. Everything that grows with the data is joined by shuffle and
-  left to AQE, which converts to broadcast at runtime when the measured size
-  allows and splits skewed partitions.
+  feature catalog, and only after their row count is checked against
+  ``MAX_BROADCAST_ROWS`` (``bounded_broadcast``); past the bound they are
+  joined by shuffle like everything that grows with the data, which is left
+  to AQE: it converts to broadcast at runtime when the measured size allows
+  and splits skewed partitions.
 """
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,9 +51,34 @@ def event_date(col: str = "event_timestamp") -> Column:
     return F.to_date(F.col(col))
 
 
+# Explicit broadcast hints only for tables checked to have at most this many
+# rows (a calendar of 100k days spans ~270 years; the feature catalog is a
+# fixed list). Rows here are a few narrow columns, so the bound is a few MB.
+MAX_BROADCAST_ROWS = 100_000
+_FITS: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Counted once per frame
+    object with ``limit(max_rows + 1)``, so a large input stops early; meant
+    for the small dimension-like tables (cached calendar, literal catalog)."""
+    hit = _FITS.get(df)
+    if hit is None:
+        hit = _FITS[df] = df.limit(max_rows + 1).count() <= max_rows
+    return hit
+
+
+def bounded_broadcast(df: DataFrame, source: DataFrame | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``source`` (default ``df``; the table ``df`` is a
+    projection or aggregate of) passes the row-count check, else ``df`` as is:
+    a shuffle join that AQE may still turn into a broadcast from measured sizes."""
+    return F.broadcast(df) if fits_broadcast(source if source is not None else df, max_rows) else df
+
+
 def day_weeks(t: Tables) -> DataFrame:
-    """date -> (week_number, week_start_date); one row per day, broadcast-safe."""
-    return F.broadcast(t.calendar.select("date", "week_number", "week_start_date"))
+    """date -> (week_number, week_start_date); one row per day, broadcast
+    after the size check."""
+    return bounded_broadcast(t.calendar.select("date", "week_number", "week_start_date"), t.calendar)
 
 
 def week_ends(t: Tables) -> DataFrame:

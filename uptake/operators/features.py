@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
-from uptake.operators.common import Segment, day_weeks, event_date, not_null, seg_list
+from uptake.operators.common import Segment, bounded_broadcast, day_weeks, event_date, not_null, seg_list
 from uptake.operators.population import eligible_users
 from uptake.tables import Tables
 
@@ -55,7 +55,7 @@ def core_feature_adoption(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segme
     cols = seg_list(segment)
     el = eligible_users(t).select("user_id", *cols).where(not_null(cols))
     core = t.features.where(F.col("core_feature_flag")).select("feature_name")
-    adopters = adopter_pairs(t, cfg).join(F.broadcast(core), "feature_name", "left_semi").select("user_id").distinct()
+    adopters = adopter_pairs(t, cfg).join(bounded_broadcast(core, t.features), "feature_name", "left_semi").select("user_id").distinct()
     flagged = el.join(adopters.withColumn("adopted", F.lit(True)), "user_id", "left")
     return flagged.groupBy(*cols).agg(
         F.count(F.lit(1)).alias("eligible_users"), F.count_if(F.col("adopted").isNotNull()).alias("core_adopters")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from uptake.config import UNKNOWN_FEATURE
 from uptake.functions import date_key
+from uptake.operators.common import bounded_broadcast
 from uptake.tables import Tables
 
 
@@ -78,7 +79,8 @@ def dim_user(t: Tables) -> DataFrame:
 
 
 def _feature_key(df: DataFrame, t: Tables) -> DataFrame:
-    f = F.broadcast(dim_feature(t).where(F.col("feature_key") > 0).select("feature_key", F.col("feature_name").alias("_fn")))
+    f = bounded_broadcast(dim_feature(t).where(F.col("feature_key") > 0).select("feature_key", F.col("feature_name").alias("_fn")),
+                          t.features)
     return df.join(f, df.feature_name == f._fn, "left").withColumn(
         "feature_key", F.coalesce("feature_key", F.lit(-1)).cast("int")
     )

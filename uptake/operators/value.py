@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG, TIME_SAVED_DISCLAIMER
 from uptake.functions import half_up_ratio, hours_between, idiv
-from uptake.operators.common import Segment, not_null, seg_list, user_day_activity, user_summary
+from uptake.operators.common import Segment, bounded_broadcast, not_null, seg_list, user_day_activity, user_summary
 from uptake.operators.population import eligible_users
 from uptake.operators.quantiles import exact_percentile
 from uptake.tables import Tables
@@ -61,7 +61,7 @@ def _cents(c):
 def time_saved_by_feature(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """All events carrying an estimate, per catalog feature (unknown feature
     excluded; features with events but no estimate are listed with nulls)."""
-    cat = F.broadcast(t.features.select("feature_name"))
+    cat = bounded_broadcast(t.features.select("feature_name"), t.features)
     agg = t.events.join(cat, "feature_name").groupBy("feature_name").agg(
         F.count("estimated_minutes_saved").alias("successful_actions_with_estimate"),
         _cents(F.sum("estimated_minutes_saved")).alias("cents"),
