@@ -21,9 +21,9 @@ def weekly_insights(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: st
 
     All event blocks come from ONE user x week rollup of the user-day summary
     (WAU, minutes saved in cents, qualifying-feature use), joined to
-    the users table at user x week grain; feedback is pre-aggregated per user
-    x week the same way. Prior-week values come from LAG over the segment's
-    weekly rows.
+    the users table at user x week grain; feedback is pre-aggregated once per
+    user x week x reported barrier and feeds both the feedback block and the
+    top barrier. Prior-week values come from LAG over the segment's weekly rows.
     """
     uw = activity.user_weeks(t, cfg).withColumn("pl", (F.col("n_qualifying") > 0).cast("int"))
     users = t.users.select("user_id", segment)
@@ -34,14 +34,30 @@ def weekly_insights(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: st
         F.coalesce(F.sum("minutes"), F.lit(0)).alias("minutes"),
         F.coalesce(F.sum("pl"), F.lit(0)).cast("long").alias("prompt_library_users"),
     )
-    fb = feedback.weekly_feedback(t, segment)
+    # feedback: ONE pre-aggregation per (user, week, reported barrier) and one
+    # users join feed both the weekly block and the barrier counts
     fbw = t.feedback.withColumn("date", F.to_date("feedback_timestamp")).join(day_weeks(t), "date")
-    bar = fbw.where(F.col("barrier_category").isNotNull() & (F.col("barrier_category") != cfg.no_barrier_label))
-    bar = (
-        bar.groupBy("user_id", "week_number", "barrier_category").agg(F.count(F.lit(1)).alias("m"))
+    b = F.col("barrier_category")
+    fj = (
+        fbw.groupBy("user_id", "week_number", F.when(b.isNotNull() & (b != cfg.no_barrier_label), b).alias("barrier"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count("rating_1_to_5").alias("rated"),
+            F.sum("rating_1_to_5").cast("long").alias("rating_sum"),
+            F.count_if(F.coalesce("would_recommend_flag", F.lit(False))).alias("recommended"),
+        )
         .join(user_segment(t, segment), "user_id")
-        .groupBy("week_number", segment, "barrier_category").agg(F.sum("m").alias("mentions"))
     )
+    fb = fj.groupBy("week_number", segment).agg(
+        F.sum("n").alias("n"), F.sum("rated").alias("rated"), F.sum("rating_sum").alias("rating_sum"),
+        F.sum("recommended").alias("recommended"),
+    ).select(
+        "week_number", segment, F.col("n").alias("feedback_submissions"),
+        half_up_ratio("rating_sum", "rated", 2).alias("avg_rating"),
+        pct1("recommended", "n").alias("recommendation_rate_pct"),
+    )
+    bar = fj.where(F.col("barrier").isNotNull()).groupBy(
+        "week_number", segment, F.col("barrier").alias("barrier_category")).agg(F.sum("n").alias("mentions"))
     top = feedback.top_barrier(t, cfg, ["week_number", segment], counts=bar)
     w = Window.partitionBy(segment).orderBy("week_number")
     prior = F.lag("weekly_active_users").over(w)
