@@ -40,7 +40,7 @@ def run_cleaning(spark: SparkSession, raw_dir: str, out_dir: str, cfg: AdoptionC
     calendar = cl.clean_calendar(raw("calendar").drop("ingest_seq"))
     users = cl.clean_users(raw("users"), cfg)
     users_clean = materialize(users.clean, "clean_users")
-    events = cl.clean_events(raw("events"), users_clean, calendar, cfg)
+    events = cl.clean_events(raw("events"), users_clean, calendar, cfg, persist=materialize)
     feedback = cl.clean_feedback(raw("feedback"), cfg)
     training = cl.clean_training(raw("training").drop("ingest_seq"), cfg)
     fr = raw("features").drop("ingest_seq")

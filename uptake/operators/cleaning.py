@@ -11,6 +11,7 @@ on step order exactly as the sequential definition does.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -47,17 +48,22 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
 
 
-def dedup_keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+def dedup_keep_first(df: DataFrame, key: str, order: list[str], copies_col: str | None = None) -> DataFrame:
     """CL-02: one row per key, the first in ingest order.
 
     Done as an aggregation (min_by over a struct of the row), which is merged
     map-side: a key copied a million times is reduced in every partition
-    before the shuffle instead of landing whole in one window task.
+    before the shuffle instead of landing whole in one window task. With
+    ``copies_col`` the same aggregation also counts each key's raw rows, so
+    the duplicate count needs no second pass over the raw input.
     """
     cols = [c for c in df.columns if c != key]
     ordering = F.struct(*[F.col(c) for c in order])
-    return df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_r")).select(
-        key, *[F.col(f"_r.{c}").alias(c) for c in cols]
+    aggs = [F.min_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_r")]
+    if copies_col:
+        aggs.append(F.count(F.lit(1)).alias(copies_col))
+    return df.groupBy(key).agg(*aggs).select(
+        key, *[F.col(f"_r.{c}").alias(c) for c in cols], *([copies_col] if copies_col else [])
     )
 
 
@@ -77,8 +83,10 @@ def issue_log(counts: DataFrame, issues: list[Issue], table: str, table_order: i
     return counts.select(F.inline(F.array(*rows))).where("_keep").drop("_keep")
 
 
-def _raw_counts(raw: DataFrame, key: str) -> DataFrame:
-    return raw.agg(F.count(F.lit(1)).alias("n_raw"), F.count_distinct(key).alias("n_keys")).withColumn(
+def _dup_counts(d: DataFrame, key: str) -> DataFrame:
+    """Raw rows, distinct non-null keys and duplicates, from the deduplicated
+    frame's ``_copies`` column (one small aggregate over the dedup output)."""
+    return d.agg(F.sum("_copies").alias("n_raw"), F.count(key).alias("n_keys")).withColumn(
         "n_dupe", F.col("n_raw") - F.col("n_keys")
     )
 
@@ -110,7 +118,7 @@ def _bad_parse(raw: Column, parsed: Column) -> Column:
 
 
 def clean_users(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
-    d = dedup_keep_first(standardize_columns(raw), "user_id", ["ingest_seq"])
+    d = dedup_keep_first(standardize_columns(raw), "user_id", ["ingest_seq"], copies_col="_copies")
     bu = normalize_label(F.col("business_unit"), cfg.canonical_business_units, cfg.business_unit_label_map)
     dates = ["hire_date", "assigned_access_date", "training_assigned_date", "training_completed_date"]
     p = d.select(
@@ -139,7 +147,7 @@ def clean_users(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanRe
         F.count_if(F.col("assigned_access_date").isNull()).alias("n_missing_access"),
         F.count_if(F.col("manager_champion_flag").isNull()).alias("n_missing_champion"),
         F.count_if("_bad_order").alias("n_bad_order"),
-    ), _raw_counts(raw, "user_id"))
+    ), _dup_counts(d, "user_id"))
     clean = p.select(
         "user_id", "business_unit", "role", "region", "manager_level", "hire_date", "assigned_access_date",
         "rollout_wave", "training_assigned_date", "training_completed_date", "training_format",
@@ -165,11 +173,20 @@ EVENT_ISSUES = [
 
 
 def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame,
-                 cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
+                 cfg: AdoptionConfig = DEFAULT_CONFIG,
+                 persist: Callable[[DataFrame, str], DataFrame] | None = None) -> CleanResult:
     """users: the CLEAN users table (for the access-date rule); calendar: the
-    clean calendar (its last date bounds the window)."""
-    d = dedup_keep_first(standardize_columns(raw), "event_id", ["ingest_seq"])
+    clean calendar (its last date bounds the window).
+
+    ``persist`` (e.g. ``session.materialize``) writes the deduplicated,
+    timestamp-parsed stage once; the clean table, the quarantine and the
+    issue counts then all read it instead of each re-reading the raw input
+    and repeating the dedup shuffle.
+    """
+    d = dedup_keep_first(standardize_columns(raw), "event_id", ["ingest_seq"], copies_col="_copies")
     ts = d.withColumn("_ts_raw", F.col("event_timestamp")).withColumn("event_timestamp", safe_timestamp("event_timestamp"))
+    if persist is not None:
+        ts = persist(ts, "events_dedup")
     quarantine = ts.where(F.col("event_timestamp").isNull()).select("event_id", "user_id", F.col("_ts_raw").alias("event_timestamp_raw"))
     v = ts.where(F.col("event_timestamp").isNotNull())
     feat = blank_to_null(normalize_label(F.col("feature_name"), cfg.feature_names, cfg.feature_label_map))
@@ -194,7 +211,7 @@ def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame,
         F.count_if("_pre").alias("n_pre_access"),
         F.count_if(~F.col("_pre") & F.col("_access").isNull()).alias("n_no_access"),
         F.count_if("_after").alias("n_after_window"),
-    ), _raw_counts(raw, "event_id")), quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
+    ), _dup_counts(ts, "event_id")), quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
     kept = j.where(~F.col("_pre") & ~F.col("_after"))
     clean = kept.select(
         "event_id", "user_id", "event_timestamp", "session_id", F.col("_feature").alias("feature_name"),
@@ -223,7 +240,7 @@ FEEDBACK_ISSUES = [
 
 
 def clean_feedback(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
-    d = dedup_keep_first(standardize_columns(raw), "feedback_id", ["ingest_seq"])
+    d = dedup_keep_first(standardize_columns(raw), "feedback_id", ["ingest_seq"], copies_col="_copies")
     ts = d.withColumn("_ts_raw", F.col("feedback_timestamp")).withColumn(
         "feedback_timestamp", safe_timestamp("feedback_timestamp"))
     quarantine = ts.where(F.col("feedback_timestamp").isNull()).select(
@@ -240,7 +257,7 @@ def clean_feedback(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Clea
         F.count_if("_f_variant").alias("n_feature_variants"),
         F.count_if(F.col("_feature").isNull()).alias("n_missing_feature"),
         F.count_if(is_blank("free_text_feedback")).alias("n_missing_text"),
-    ), _raw_counts(raw, "feedback_id")), quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
+    ), _dup_counts(d, "feedback_id")), quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
     clean = v.select(
         "feedback_id", "user_id", "feedback_timestamp",
         F.when(~F.col("_bad_rating"), F.col("_rating")).cast("int").alias("rating_1_to_5"),
