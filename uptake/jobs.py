@@ -23,7 +23,7 @@ from uptake.operators import cleaning as cl
 from uptake.operators import activity, reports, retention, value
 from uptake.operators.common import precompute
 from uptake.session import ensure_checkpoint_dir, materialize
-from uptake.sources.io import load_tables, read_raw_csv, write_issue_log
+from uptake.sources.io import load_tables, read_raw_csv, write_events, write_issue_log
 from uptake.tables import Tables
 
 RAW_FILES = {"users": "users", "events": "usage_events", "feedback": "feedback", "training": "training_sessions",
@@ -51,8 +51,7 @@ def run_cleaning(spark: SparkSession, raw_dir: str, out_dir: str, cfg: AdoptionC
                calendar=calendar, features=features, training=training.clean)
     for name in ("users", "feedback", "calendar", "features", "training"):
         getattr(t, name).write.mode("overwrite").parquet(f"{out_dir}/{name}")
-    t.events.withColumn("event_date", F.to_date("event_timestamp")).write.mode("overwrite") \
-        .partitionBy("event_date").parquet(f"{out_dir}/events")
+    write_events(t.events, f"{out_dir}/events")
     events.quarantine.write.mode("overwrite").parquet(f"{out_dir}/quarantine_events")
     issues = (users.issues.unionByName(events.issues).unionByName(feedback.issues).unionByName(training.issues)
               .orderBy("table_order", "issue_order"))
