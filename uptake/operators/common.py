@@ -105,7 +105,11 @@ def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     m = F.col("event_type").isin(*cfg.meaningful_event_types)
     q = F.coalesce(F.col("feature_name") == cfg.qualifying_feature, F.lit(False))
     value_ok = F.col("event_type").isin(*cfg.value_event_types) & F.coalesce("successful_completion_flag", F.lit(False))
-    return t.events.groupBy("user_id", d.alias("date")).agg(
+    # Events without a date cannot be placed in time (cleaning quarantines
+    # them). Stating the filter here, rather than leaving Catalyst to infer it
+    # from a calendar join in some branches only, keeps every branch's
+    # summary sub-plan identical, so exchange reuse runs it once.
+    return t.events.where(d.isNotNull() & F.col("user_id").isNotNull()).groupBy("user_id", d.alias("date")).agg(
         F.count_if(m).alias("n_meaningful"),
         F.count_if(m & (ts == d.cast("timestamp_ntz"))).alias("n_meaningful_midnight"),
         F.count_if(q).alias("n_qualifying"),

@@ -27,12 +27,19 @@ def weekly_insights(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: st
     """
     uw = activity.user_weeks(t, cfg).withColumn("pl", (F.col("n_qualifying") > 0).cast("int"))
     users = t.users.select("user_id", segment)
-    j = uw.join(users, "user_id")
-    company = j.groupBy("week_number").agg(F.count(F.lit(1)).alias("company_wau"))
-    seg = j.where(F.col(segment).isNotNull()).groupBy("week_number", "week_start_date", segment).agg(
-        F.count(F.lit(1)).alias("weekly_active_users"),
-        F.coalesce(F.sum("minutes"), F.lit(0)).alias("minutes"),
-        F.coalesce(F.sum("pl"), F.lit(0)).cast("long").alias("prompt_library_users"),
+    # one aggregation per (week, segment) INCLUDING the null segment: a user
+    # has one segment value, so the company WAU of a week is the sum of its
+    # segment rows (a window over weeks x segments, bounded) -- no second
+    # branch over the user-week rows
+    seg = (
+        uw.join(users, "user_id")
+        .groupBy("week_number", "week_start_date", segment).agg(
+            F.count(F.lit(1)).alias("weekly_active_users"),
+            F.coalesce(F.sum("minutes"), F.lit(0)).alias("minutes"),
+            F.coalesce(F.sum("pl"), F.lit(0)).cast("long").alias("prompt_library_users"),
+        )
+        .withColumn("company_wau", F.sum("weekly_active_users").over(Window.partitionBy("week_number")))
+        .where(F.col(segment).isNotNull())
     )
     # feedback: ONE pre-aggregation per (user, week, reported barrier) and one
     # users join feed both the weekly block and the barrier counts
@@ -63,8 +70,7 @@ def weekly_insights(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: st
     prior = F.lag("weekly_active_users").over(w)
     cents = (F.col("minutes") * 100).cast("long")
     return (
-        seg.join(company, "week_number")
-        .join(fb, ["week_number", segment], "left")
+        seg.join(fb, ["week_number", segment], "left")
         .join(top, ["week_number", segment], "left")
         .select(
             "week_number", "week_start_date", segment, "weekly_active_users",
