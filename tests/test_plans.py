@@ -42,7 +42,7 @@ def no_auto_broadcast(spark):
 
 
 # distinct events scans allowed (default 1: one shared pass)
-MAX_EVENT_SCANS = {"barrier_ranking": 0, "dormancy_by_segment": 2, "segment_scorecard": 3, "dormancy_trend": 2,
+MAX_EVENT_SCANS = {"barrier_ranking": 0, "dormancy_by_segment": 2, "segment_scorecard": 3,
                    "headline_kpis": 4}
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,25 +45,28 @@ def mau_trailing(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     )
 
 
-def trailing_active_by_week(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Distinct (user_id, week_number, week_end_date): user active in the
-    trailing window that ends on the week's last calendar date.
+def trailing_active_by_week(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, days: DataFrame | None = None,
+                            keep: Sequence[str] = ()) -> DataFrame:
+    """Distinct (user_id, *keep, week_number, week_end_date): user active in
+    the trailing window that ends on the week's last calendar date.
 
     Each active user-day is expanded to the week ends it falls under, i.e.
     the week-end dates e with date <= e <= date + N - 1 (at most ceil(N/7)
     per day). This replaces a range join of every day with every week.
+    ``days`` (default: every active user-day) are (user_id, date, *keep)
+    rows; ``keep`` columns must be functionally dependent on the user.
     """
     n = cfg.trailing_window_days
-    days = active_user_days(t, cfg)
+    days = days if days is not None else active_user_days(t, cfg)
     first_end = F.date_add(F.date_trunc("week", "date").cast("date"), 6)
     last = F.date_add("date", n - 1)
     cand = days.select(
-        "user_id",
+        "user_id", *keep,
         F.explode(F.when(first_end <= last, F.sequence(first_end, last, F.expr("INTERVAL 7 DAYS")))
                   .otherwise(F.array().cast("array<date>"))).alias("week_end_date"),
     )
     we = bounded_broadcast(week_ends(t).select("week_number", "week_end_date"), t.calendar)
-    return cand.join(we, "week_end_date").select("user_id", "week_number", "week_end_date").distinct()
+    return cand.join(we, "week_end_date").select("user_id", *keep, "week_number", "week_end_date").distinct()
 
 
 def mau_by_week(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Segment = None) -> DataFrame:

@@ -145,6 +145,19 @@ def last_event_date(t: Tables, cfg: AdoptionConfig) -> Column:
     return t.events.agg(F.max(event_date()).alias("d")).scalar()
 
 
+def counted_in_window(cfg: AdoptionConfig) -> Column:
+    """Meaningful actions of one user-day summary row (joined to the user's
+    ``assigned_access_date``) that fall in the activation window: the whole
+    last day for boundary "date", only its midnight for "instant"."""
+    d = F.col("date")
+    last = F.date_add("assigned_access_date", cfg.activation_window_days)
+    in_days = d >= F.col("assigned_access_date")
+    if cfg.activation_boundary == "instant":
+        return (F.when(in_days & (d < last), F.col("n_meaningful"))
+                .when(in_days & (d == last), F.col("n_meaningful_midnight")).otherwise(0))
+    return F.when(in_days & (d <= last), F.col("n_meaningful")).otherwise(0)
+
+
 def user_summary(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     """One row per user (in the users table) with at least one event: every
     per-user fact the user-level metrics need, from ONE aggregation.
@@ -162,13 +175,7 @@ def user_summary(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     """
     acc = t.users.select("user_id", "assigned_access_date")
     d = F.col("date")
-    last = F.date_add("assigned_access_date", cfg.activation_window_days)
-    in_days = d >= F.col("assigned_access_date")
-    if cfg.activation_boundary == "instant":
-        counted = (F.when(in_days & (d < last), F.col("n_meaningful"))
-                   .when(in_days & (d == last), F.col("n_meaningful_midnight")).otherwise(0))
-    else:
-        counted = F.when(in_days & (d <= last), F.col("n_meaningful")).otherwise(0)
+    counted = counted_in_window(cfg)
     active = F.col("n_meaningful") > 0
     if cfg.as_of_date:
         active = active & (d <= F.lit(cfg.as_of_date).cast("date"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
 from uptake.operators.activity import trailing_active_by_week
 from uptake.operators.common import (
-    Segment, active_days, day_weeks, event_date, last_event_date, not_null, seg_list, week_ends,
+    Segment, active_days, counted_in_window, day_weeks, event_date, last_event_date, not_null, seg_list,
+    user_day_activity, week_ends,
 )
-from uptake.operators.population import activation_users
+from uptake.operators.population import activation_users, eligible_users
 from uptake.tables import Tables
 
 
@@ -102,12 +103,25 @@ def dormant_users(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Segm
 def dormancy_trend(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Segment = None) -> DataFrame:
     """Dormancy as of every week end: activated users minus those active in
     the trailing window ending that day. Counts are combined per segment, so
-    no user x week grid is ever materialised."""
+    no user x week grid is ever materialised.
+
+    One pass over the events: the user-day summary is joined to the eligible
+    users, the activation decision is a window over each user's day rows (at
+    most one row per day, so bounded even for a hot user; the window reuses
+    the join's user partitioning), and both the activated base and the
+    trailing activity are read from that one frame.
+    """
     cols = seg_list(segment)
-    act = activation_users(t, cfg).where(F.col("activated") & not_null(cols)).select("user_id", *cols)
-    base = act.groupBy(*cols).agg(F.count(F.lit(1)).alias("activated_users"))
+    el = eligible_users(t).where(not_null(cols)).select(
+        "user_id", "assigned_access_date", "training_completed_date", *cols)
+    u = Window.partitionBy("user_id")
+    met = F.col("training_completed_date").isNotNull() | (F.sum("n_qualifying").over(u) > 0)
+    activated = met & (F.sum(counted_in_window(cfg)).over(u) >= cfg.activation_min_actions)
+    days = user_day_activity(t, cfg).join(el, "user_id").withColumn("_activated", activated).where("_activated")
+    base = days.groupBy(*cols).agg(F.count_distinct("user_id").alias("activated_users"))
     active = (
-        trailing_active_by_week(t, cfg).join(act, "user_id")
+        trailing_active_by_week(t, cfg, days=days.where(F.col("n_meaningful") > 0).select("user_id", "date", *cols),
+                                keep=cols)
         .groupBy("week_number", *cols).agg(F.count(F.lit(1)).alias("active_activated"))
     )
     weeks = week_ends(t).agg(
