@@ -205,10 +205,6 @@ def user_weeks(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     )
 
 
-def zero_fill(df: DataFrame, cols: Sequence[str], value=0) -> DataFrame:
-    return df.fillna(value, subset=list(cols))
-
-
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach every column of a one-row frame (an aggregate without grouping)
     to each row of ``df`` as a scalar subquery: evaluated once, no join and

@@ -7,18 +7,12 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG, TIME_SAVED_DISCLAIMER
 from uptake.functions import half_up_ratio, hours_between, idiv
-from uptake.operators.common import Segment, bounded_broadcast, not_null, seg_list, user_day_activity, user_summary
+from uptake.operators.common import Segment, bounded_broadcast, not_null, seg_list, user_summary
 from uptake.operators.population import eligible_users
 from uptake.operators.quantiles import exact_percentile
 from uptake.tables import Tables
 
 
-def first_value_event(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Per user: the first successful value event (from the user-day summary)."""
-    return user_day_activity(t, cfg).where(F.col("first_value_ts").isNotNull()).groupBy("user_id").agg(
-        F.min("first_value_ts").alias("first_value_ts"))
-
-
 def time_to_value(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per user: hours from access date (midnight) to the first successful
     value event at or after it. Population: anyone with an access date, or
