@@ -38,3 +38,21 @@ def test_pct1_is_exact_half_up(spark, pairs):
     got = [r.p for r in df.collect()]
     want = [float((Decimal(100 * a) / Decimal(b)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP)) for a, b in pairs]
     assert got == want
+
+
+def test_dedup_keep_first_with_a_hot_key(spark):
+    """One key holding most rows: the first copy in ingest order is kept and
+    the copy count is exact (the aggregation merges the hot key map-side)."""
+    from pyspark.sql import functions as F
+    from uptake.operators.cleaning import _dup_counts, dedup_keep_first
+
+    hot = spark.range(20000).select(F.lit("k0").alias("event_id"), F.col("id").cast("string").alias("v"),
+                                    F.struct((20000 - F.col("id")).alias("seq")).alias("ingest_seq"))
+    cold = spark.range(1, 51).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("event_id"),
+                                     F.lit("x").alias("v"), F.struct(F.lit(1).cast("long").alias("seq")).alias("ingest_seq"))
+    d = dedup_keep_first(hot.unionByName(cold).repartition(8), "event_id", ["ingest_seq"], copies_col="_copies")
+    rows = {r.event_id: (r.v, r._copies) for r in d.collect()}
+    assert len(rows) == 51
+    assert rows["k0"] == ("19999", 20000)  # smallest ingest_seq (1) belongs to id 19999
+    c = _dup_counts(d, "event_id").collect()[0]
+    assert (c.n_raw, c.n_keys, c.n_dupe) == (20050, 51, 19999)
