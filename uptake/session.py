@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall-clock timestamps, ANSI arithmetic,
 # adaptive execution (runtime broadcast conversion, skew-join splitting,
-# partition coalescing) and parquet aggregate pushdown for MIN/MAX/COUNT.
+# partition coalescing, splitting heavy partitions of rebalanced writes) and
+# parquet aggregate pushdown for MIN/MAX/COUNT.
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
