@@ -102,7 +102,11 @@ def _joined(spans):
 def report(docs: DataFrame) -> DataFrame:
     """Counts, digest of the base spans and all spans of each document."""
     base = F.filter("found", lambda s: s["kind"] != "owned")
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+
+    def count(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in KINDS]
     examples = F.size(F.filter("found", lambda s: ~s["live"])).cast("long").alias("n_examples")
     return find_secrets(docs).select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
                                      _joined(F.col("found")).alias("spans"), examples)
