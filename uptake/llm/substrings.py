@@ -97,9 +97,8 @@ def repeated_spans(docs: DataFrame, width: int = 35, gram: int = GRAM) -> DataFr
 
     # one occurrence of each open factor is cut into windows; each text is read once for all its factors
     wanted = open_.groupBy("na", "nb").agg(F.collect_list(F.struct("anchor", "fa", "fb", "n", "start", "size")).alias("cuts"))
-    # copies of a text need reading once: one row per text name
-    source = (texts.select("name.*", "text").join(wanted.select(F.col("na").alias("a"), F.col("nb").alias("b")), ["a", "b"], "left_semi")
-              .groupBy("a", "b").agg(F.max("text").alias("text")))
+    # copies of a text need reading once: they are combined before the shuffle
+    source = texts.select("name.*", "text").groupBy("a", "b").agg(F.max("text").alias("text"))
     source = source.join(wanted, (F.col("a") == F.col("na")) & (F.col("b") == F.col("nb"))).select("text", "cuts")
 
     def cut(cols: dict[str, list]) -> dict[str, list]:
