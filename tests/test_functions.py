@@ -56,3 +56,28 @@ def test_dedup_keep_first_with_a_hot_key(spark):
     assert rows["k0"] == ("19999", 20000)  # smallest ingest_seq (1) belongs to id 19999
     c = _dup_counts(d, "event_id").collect()[0]
     assert (c.n_raw, c.n_keys, c.n_dupe) == (20050, 51, 19999)
+
+
+def test_tabs_and_line_ends_are_stripped(spark):
+    from uptake.functions.labels import blank_to_null, normalize_label, to_bool
+    df = spark.createDataFrame([("\tTechnology\n", "true\t", "\t")], "l string, b string, e string")
+    r = df.select(normalize_label("l", ["Technology"], {}).alias("l"), to_bool("b").alias("b"), blank_to_null("e").alias("e")).first()
+    assert (r["l"], r["b"], r["e"]) == ("Technology", True, None)
+
+
+def test_integer_division_is_exact(spark):
+    from pyspark.sql import functions as F
+    from uptake.functions.numeric import idiv
+    cases = [(90071992547409930, 10), (2000000000000000007, 3), (9 * 10 ** 18, 7), (5, 0), (0, 4)]
+    got = [r[0] for r in spark.createDataFrame(cases, "n long, d long").select(idiv(F.col("n"), F.col("d"))).collect()]
+    assert got == [n // d if d else None for n, d in cases]
+
+
+def test_csv_written_by_another_program_reads_back(spark, tmp_path):
+    import csv
+    from uptake.sources.io import read_raw_csv
+    rows = [['1', 'She said "hi", ok'], ['2', 'two\nlines, "quoted"'], ['3', 'plain']]
+    with open(tmp_path / "x.csv", "w", newline="") as f:
+        csv.writer(f).writerows([["id", "note"], *rows])
+    got = read_raw_csv(spark, str(tmp_path / "x.csv")).select("id", "note").orderBy("id").collect()
+    assert [list(r) for r in got] == rows

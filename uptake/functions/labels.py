@@ -14,14 +14,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c) -> Column:
+    """Without white space (tabs and line ends too) at both ends."""
+    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+
+
 def is_blank(c) -> Column:
     c = _col(c)
-    return c.isNull() | (F.trim(c) == "")
+    return c.isNull() | (strip(c) == "")
 
 
 def blank_to_null(c) -> Column:
     c = _col(c)
-    return F.when(F.trim(c) != "", c)
+    return F.when(strip(c) != "", c)
 
 
 def normalize_label(c, canonical: Iterable[str], variants: Mapping[str, str]) -> Column:
@@ -38,8 +43,8 @@ def normalize_label(c, canonical: Iterable[str], variants: Mapping[str, str]) ->
     for k in sorted(lookup):
         kv += [F.lit(k), F.lit(lookup[k])]
     mapping = F.create_map(*kv)
-    key = F.lower(F.trim(c))
-    return F.when(is_blank(c), c).otherwise(F.coalesce(F.try_element_at(mapping, key), F.trim(c)))
+    key = F.lower(strip(c))
+    return F.when(is_blank(c), c).otherwise(F.coalesce(F.try_element_at(mapping, key), strip(c)))
 
 
 def to_bool(c) -> Column:
@@ -47,7 +52,7 @@ def to_bool(c) -> Column:
 
     Deliberately not ``try_cast(... as boolean)``, which also accepts t/f/y/n.
     """
-    key = F.lower(F.trim(_col(c).cast("string")))
+    key = F.lower(strip(_col(c).cast("string")))
     return (
         F.when(key.isin(*TRUE_TOKENS), F.lit(True))
         .when(key.isin(*FALSE_TOKENS), F.lit(False))

@@ -18,7 +18,7 @@ def _col(c) -> Column:
 def idiv(num, den) -> Column:
     """Exact integer floor division of non-negative longs (null if den is 0/null)."""
     n, d = _col(num).cast("long"), F.nullif(_col(den).cast("long"), F.lit(0))
-    return ((n - F.pmod(n, d)) / d).cast("long")
+    return F.call_function("div", n, d)
 
 
 def half_up_ratio(num, den, digits: int = 1) -> Column:

@@ -202,7 +202,8 @@ def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame,
         "_pre", F.col("_access").isNotNull() & (F.col("_date") < F.col("_access"))
     )
     end = calendar.agg(F.max("date")).scalar()
-    j = j.withColumn("_after", ~F.col("_pre") & (F.col("_date") > end))
+    # without a last calendar date no event lies after it
+    j = j.withColumn("_after", F.coalesce(~F.col("_pre") & (F.col("_date") > end), F.lit(False)))
     counts = with_scalars(with_scalars(j.agg(
         F.count_if(F.col("_f_variant")).alias("n_feature_variants"),
         F.count_if(F.col("_feature").isNull()).alias("n_missing_feature"),

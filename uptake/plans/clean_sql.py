@@ -231,7 +231,7 @@ e_j0 AS (
 ),
 e_j AS (
     SELECT *, _access IS NOT NULL AND _date < _access AS _pre,
-        NOT (_access IS NOT NULL AND _date < _access) AND _date > (SELECT MAX(date) FROM calendar) AS _after
+        COALESCE(NOT (_access IS NOT NULL AND _date < _access) AND _date > (SELECT MAX(date) FROM calendar), FALSE) AS _after
     FROM e_j0
 ),
 e_counts AS (

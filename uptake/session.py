@@ -18,6 +18,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a hot user's rows are split even where that costs another shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

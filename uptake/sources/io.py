@@ -33,10 +33,14 @@ CLEAN_SCHEMAS = {
 }
 
 
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """SRC-1: every column as string, header row, NA tokens to null, plus an
-    ingest order (file, position) for keep-first dedup. No schema inference."""
+    ingest order (file, position) for keep-first dedup. No schema inference.
+
+    Quotes inside quoted text are doubled. Quoted text may hold line ends; files known to have none can be read with
+    ``multi_line=False``, which splits large files over tasks."""
     reader = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+              .option("escape", '"').option("multiLine", multi_line)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
