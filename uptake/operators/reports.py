@@ -130,16 +130,31 @@ def feature_scorecard(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFr
     )
 
 
+def _pivot_values(df: DataFrame, column: str, listed: list[str]) -> list[str]:
+    """Columns of a pivot: the listed values, then all others present, so that no row is lost.
+
+    ``df`` is a small table (users, or rows already aggregated); the columns of a result must be known to plan it.
+    """
+    present = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().orderBy(column).collect()
+    return [*listed, *(r[0] for r in present if r[0] not in listed)]
+
+
+def _segment_values(t: Tables, cfg: AdoptionConfig, segment: str) -> list[str]:
+    listed = list(cfg.canonical_business_units) if segment == "business_unit" else []
+    return _pivot_values(user_segment(t, segment), segment, listed)
+
+
 def barrier_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str = "business_unit") -> DataFrame:
     """Segment x barrier mention counts, one column per barrier, 0-filled."""
     values = [b for b in cfg.barrier_categories if b != cfg.no_barrier_label]
     c = feedback.barrier_counts(t, cfg, [segment])
+    values = _pivot_values(c, "barrier_category", values)
     return c.groupBy(segment).pivot("barrier_category", values).agg(F.sum("mentions")).fillna(0, subset=values)
 
 
 def feature_usage_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str = "business_unit") -> DataFrame:
     """Feature x segment count of adoption events, 0-filled."""
-    values = list(cfg.canonical_business_units)
+    values = _segment_values(t, cfg, segment)
     ev = t.events.where(F.col("event_type").isin(*cfg.adoption_event_types) & F.col("feature_name").isNotNull())
     pre = ev.groupBy("user_id", "feature_name").agg(F.count(F.lit(1)).alias("n"))
     j = pre.join(user_segment(t, segment), "user_id")
@@ -148,7 +163,7 @@ def feature_usage_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segmen
 
 def wau_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str = "business_unit") -> DataFrame:
     """Week x segment WAU, 0-filled."""
-    values = list(cfg.canonical_business_units)
+    values = _segment_values(t, cfg, segment)
     w = activity.weekly_active_users(t, cfg, segment)
     return w.groupBy("week_number").pivot(segment, values).agg(F.sum("weekly_active_users")).fillna(0, subset=values)
 
