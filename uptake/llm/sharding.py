@@ -16,6 +16,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,16 +30,22 @@ REACH = 12.0  #: standard deviations around the mean that a draw looks at; less
 
 def _ln_fact(n: Column) -> Column:
     """Natural logarithm of n!, by Stirling's series after a shift of ten."""
-    m = n + 10.0
-    series = (m + 0.5) * F.log(m) - m + 0.5 * math.log(2 * math.pi) + 1 / (12 * m) - 1 / (360 * m * m * m)
-    shift = sum((F.log(n + float(k)) for k in range(2, 11)), F.log(n + 1.0))
-    return series - shift
+    def series(m: Column) -> Column:
+        shift = sum((F.log(m - float(k)) for k in range(1, 10)), F.log(m))
+        return (m + 0.5) * F.log(m) - m + 0.5 * math.log(2 * math.pi) + 1 / (12 * m) - 1 / (360 * m * m * m) - shift
+
+    return _let(n + 10.0, series)
 
 
 def _ln_choose(n: Column, k: Column) -> Column:
     return _ln_fact(n) - _ln_fact(k) - _ln_fact(n - k)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, where higher-order functions keep Spark from sharing it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def hypergeometric(good: Column, total: Column, drawn: Column, u: Column) -> Column:
     """The number of ``good`` among ``drawn`` items out of ``total``, as the quantile at ``u``.
 
@@ -47,22 +54,29 @@ def hypergeometric(good: Column, total: Column, drawn: Column, u: Column) -> Col
     low, high = F.greatest(F.lit(0).cast("long"), drawn + good - total), F.least(good, drawn)
     g, t, d = good.cast("double"), total.cast("double"), drawn.cast("double")
     mean = F.when(total > 0, d * g / t).otherwise(0.0)
-    sd = F.when(total > 1, F.sqrt(F.greatest(F.lit(0.0), mean * (1 - g / t) * (t - d) / (t - 1)))).otherwise(0.0)
-    lo = F.greatest(low, F.floor(mean - REACH * sd - 3).cast("long"))
-    hi = F.greatest(lo, F.least(high, F.ceil(mean + REACH * sd + 3).cast("long")))
-    x = lo.cast("double")
-    first = F.exp(_ln_choose(g, x) + _ln_choose(t - g, d - x) - _ln_choose(t, d))
 
-    def step(s: Column, k: Column) -> Column:
-        kd = k.cast("double")
-        nxt = s["p"] * (g - kd) * (d - kd) / ((kd + 1) * (t - g - d + kd + 1))
-        return F.struct(
-            F.when(s["c"] < u, k + 1).otherwise(s["x"]).alias("x"),
-            (s["c"] + F.when(s["c"] < u, nxt).otherwise(0.0)).alias("c"), nxt.alias("p"))
+    def around(m: Column) -> Column:
+        sd = F.when(total > 1, F.sqrt(F.greatest(F.lit(0.0), m["mean"] * (1 - g / t) * (t - d) / (t - 1)))).otherwise(0.0)
+        reach = REACH * sd + 3
+        return F.struct(m["low"].alias("low"), m["high"].alias("high"),
+                        F.greatest(m["low"], F.floor(m["mean"] - reach).cast("long")).alias("lo"),
+                        F.least(m["high"], F.ceil(m["mean"] + reach).cast("long")).alias("hi"))
+
+    def quantile(b: Column) -> Column:
+        x = b["lo"].cast("double")
+        first = F.exp(_ln_choose(g, x) + _ln_choose(t - g, d - x) - _ln_choose(t, d))
+
+        def step(s: Column, k: Column) -> Column:
+            kd = k.cast("double")
+            nxt = s["p"] * (g - kd) * (d - kd) / ((kd + 1) * (t - g - d + kd + 1))
+            return F.when(s["c"] < u, F.struct((k + 1).alias("x"), (s["c"] + nxt).alias("c"), nxt.alias("p"))).otherwise(s)
+
+        ran = _let(first, lambda p: F.aggregate(
+            F.when(b["hi"] > b["lo"], F.sequence(b["lo"], b["hi"] - 1)).otherwise(F.array().cast("array<long>")),
+            F.struct(b["lo"].alias("x"), p.alias("c"), p.alias("p")), step))
+        return F.when(b["high"] <= b["low"], b["low"]).otherwise(F.least(b["high"], ran["x"]))
 
-    ran = F.aggregate(F.when(hi > lo, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<long>")),
-                      F.struct(lo.alias("x"), first.alias("c"), first.alias("p")), step)
-    return F.when(high <= low, low).otherwise(F.least(high, ran["x"]))
+    return _let(_let(F.struct(low.alias("low"), high.alias("high"), mean.alias("mean")), around), quantile)
 
 
 def matrix(sizes: DataFrame, parts: int, shard_rows: list[int], seed: int = 0) -> DataFrame:
@@ -81,9 +95,9 @@ def matrix(sizes: DataFrame, parts: int, shard_rows: list[int], seed: int = 0) -
 
         def draw(s: Column, i: Column) -> Column:
             cap = F.element_at(F.col("caps"), i)
-            got = hypergeometric(cap, s["left"], s["want"], unit(F.lit(k), F.col("part"), i, seed=seed))
-            return F.struct((s["left"] - cap).alias("left"), (s["want"] - got).alias("want"),
-                            F.concat(s["got"], F.array(got)).alias("got"))
+            drawn = F.struct(cap.alias("cap"), hypergeometric(cap, s["left"], s["want"], unit(F.lit(k), F.col("part"), i, seed=seed)).alias("got"))
+            return _let(drawn, lambda g: F.struct((s["left"] - g["cap"]).alias("left"), (s["want"] - g["got"]).alias("want"),
+                                                  F.concat(s["got"], F.array(g["got"])).alias("got")))
 
         got = F.aggregate(F.sequence(F.lit(1), F.lit(shards)),
                           F.struct(total.alias("left"), F.col("left_n").alias("want"), F.array().cast("array<long>").alias("got")),
