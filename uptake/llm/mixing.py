@@ -58,27 +58,33 @@ def _rate(lam: Column) -> Column:
 
 def solve(hist: DataFrame, goals: DataFrame) -> DataFrame:
     """``(src, lam, full)``: the dual variable of each source; ``full`` where its target is all it can give."""
-    duals = goals.select("src", "target", (F.col("source_size") > 0).alias("any"), (F.col("target") >= CAP * F.col("source_size")).alias("full"),
-                         F.lit(0.0).alias("lam"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"), F.lit(False).alias("done"))
+    kind = goals.select("src", "target", (F.col("source_size") > 0).alias("any"),
+                        (F.col("target") >= CAP * F.col("source_size")).alias("full"), F.lit(0.0).alias("lam"))
+    # a source without words, or one that gives all it can, has nothing to solve
+    settled = kind.where("full or not any").select("src", "lam", "full")
+    none = F.lit(None).cast("double")
+    duals = kind.where("any and not full").select(F.col("src").alias("s"), "target", "lam", none.alias("lo"), none.alias("hi"))
     for _ in range(ROUNDS):
         for _ in range(STEPS):
-            at = hist.join(duals.select(F.col("src").alias("s"), "lam", "full").hint("shuffle_merge"), F.col("src").eqNullSafe(F.col("s")))
-            r = _rate(F.col("lam"))
-            sums = at.groupBy("src").agg(
-                F.sum(F.col("n") * F.col("size") * r).alias("got"),
-                F.sum(F.col("n") * F.col("size") * F.col("z") * r * (1 - r / CAP)).alias("slope")).withColumnRenamed("src", "s")
-            d = duals.join(sums, F.col("src").eqNullSafe(F.col("s")), "left").drop("s")
+            # the duals ride along, so that a step reads those of the step before once
+            r = CAP / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("lam") * F.col("z")))))
+            given = F.col("n") * F.col("size") * F.col("r")
+            d = (hist.join(duals, F.col("src").eqNullSafe(F.col("s"))).withColumn("r", r).groupBy("s").agg(
+                *[F.max(c).alias(c) for c in ("target", "lam", "lo", "hi")], F.sum(given).alias("got"),
+                F.sum(given * F.col("z") * (1 - F.col("r") / CAP)).alias("slope")))
             over = F.col("got") > F.col("target")
-            lo, hi = F.when(over, F.col("lo")).otherwise(F.col("lam")), F.when(over, F.col("lam")).otherwise(F.col("hi"))
-            step = F.col("lam") + F.greatest(F.lit(-4.0), F.least(F.lit(4.0), (F.col("target") - F.col("got")) / F.greatest(F.col("slope"), F.lit(1e-300))))
-            inside = (F.coalesce(step > lo, F.lit(True))) & (F.coalesce(step < hi, F.lit(True)))
-            near = F.col("full") | ~F.col("any") | F.col("got").isNull() | (F.abs(F.col("got") - F.col("target")) <= TOLERANCE * F.col("target"))
-            duals = d.select("src", "target", "any", "full", F.when(near, F.col("lam")).when(inside, step).otherwise((lo + hi) / 2).alias("lam"),
-                             lo.alias("lo"), hi.alias("hi"), near.alias("done"))
+            d = d.withColumns({"lo": F.when(over, F.col("lo")).otherwise(F.col("lam")),
+                               "hi": F.when(over, F.col("lam")).otherwise(F.col("hi")),
+                               "step": F.col("lam") + F.greatest(F.lit(-4.0), F.least(F.lit(4.0), (F.col("target") - F.col("got")) / F.greatest(F.col("slope"), F.lit(1e-300)))),
+                               "done": F.abs(F.col("got") - F.col("target")) <= TOLERANCE * F.col("target")})
+            inside = F.coalesce(F.col("step") > F.col("lo"), F.lit(True)) & F.coalesce(F.col("step") < F.col("hi"), F.lit(True))
+            duals = d.select("s", "target", F.when(F.col("done"), F.col("lam")).when(inside, F.col("step")).otherwise((F.col("lo") + F.col("hi")) / 2).alias("lam"),
+                             "lo", "hi", "done")
         duals = materialize(duals, "duals")
         if duals.where("not done").isEmpty():
             break
-    return duals.select("src", "lam", "full")
+        duals = duals.drop("done")
+    return settled.unionByName(duals.select(F.col("s").alias("src"), "lam", F.lit(False).alias("full")))
 
 
 def mix(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
