@@ -51,10 +51,14 @@ def split_writer(clean_path: str, quarantine_path: str) -> Callable[[DataFrame,
     partition column.
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.where("_valid").drop("_valid", "event_timestamp_raw").write.mode("overwrite") \
-            .parquet(f"{clean_path}/epoch_id={epoch_id}")
-        batch.where(~F.col("_valid")).select("event_id", "user_id", "event_timestamp_raw") \
-            .write.mode("overwrite").parquet(f"{quarantine_path}/epoch_id={epoch_id}")
+        batch.persist()  # both sinks read it; it is computed once
+        try:
+            batch.where("_valid").drop("_valid", "event_timestamp_raw").write.mode("overwrite") \
+                .parquet(f"{clean_path}/epoch_id={epoch_id}")
+            batch.where(~F.col("_valid")).select("event_id", "user_id", "event_timestamp_raw") \
+                .write.mode("overwrite").parquet(f"{quarantine_path}/epoch_id={epoch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
