@@ -3,7 +3,7 @@
 A text is encoded in blocks against each language's dictionary; the language whose dictionary gives the fewest bytes
 wins. The score is the relative margin to the runner-up, and a text whose margin is narrow is rejected.
 
-The dictionaries are learnt from a bounded sample of labelled rows (``SAMPLE_DOCS`` rows per language, in hash order,
+The dictionaries are learnt from a bounded sample of labelled rows (``SAMPLE_DOCS`` different texts per language, in hash order,
 ``EXCERPT`` characters from each), so model and broadcast are bounded by the number of languages.
 
 Defined results: ``und`` with score 0, rejected, for a null text, a text without a letter, or when nothing could be
@@ -27,16 +27,14 @@ LEVEL = 3
 MIN_MARGIN = 0.004  #: relative margin under which a text is rejected
 
 
-def learn(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
+def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Dictionary bytes by language, from rows with a label and a text."""
     labelled = rows.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy("h", "key")
-    # only keys are ranked, and each task keeps its first rows per language before the shuffle
-    picked = (labelled.select(F.col(lang).alias("lang"), F.xxhash64(F.col(key).cast("string"), text).alias("h"), F.col(key).alias("key"))
-              .withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE_DOCS).select("lang", "h").distinct())
-    texts = (labelled.select(F.col(lang).alias("lang"), F.xxhash64(F.col(key).cast("string"), text).alias("h"),
-                             F.substring(text, 1, EXCERPT).alias("t")).join(picked, ["lang", "h"])
-             .dropDuplicates(["lang", "h"]))
+    order = Window.partitionBy("lang").orderBy("h")
+    named = labelled.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("h"), F.substring(text, 1, EXCERPT).alias("t"))
+    # copies of a text count once; only hashes are ranked, and each task keeps its first ones per language
+    picked = named.select("lang", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE_DOCS)
+    texts = named.join(picked.select("lang", "h"), ["lang", "h"]).dropDuplicates(["lang", "h"])
     found: dict[str, list] = {}
     for r in texts.orderBy("lang", "h").collect():
         found.setdefault(r["lang"], []).append(r["t"])
