@@ -308,6 +308,25 @@ def test_quality_measures(spark, data):
     assert not any(r["kept"] and r["base_failed"] for r in rows)
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_quality_rejects_labelled_junk(spark, size):
+    rows = {r["doc_id"]: r for r in queries.op8_quality(spark, f"/root/testdata/{size}").collect()}
+    labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet").collect()
+    judged = [(r["quality"], rows[r["doc_id"]]["kept"]) for r in labels if not rows[r["doc_id"]]["base_failed"]]
+    junk, clean = [k for q, k in judged if q == 0], [k for q, k in judged if q == 1]
+    assert len(junk) > 20 and sum(junk) <= 0.03 * len(junk)
+    assert len(clean) > 200 and sum(clean) >= 0.995 * len(clean)
+
+
+def test_quality_kinds_of_defects():
+    """Defects of two kinds that never meet: neither makes the model take texts with the other for good."""
+    kinds = np.array([[1, 0, 0, 0], [0, 1, 1, 1]])
+    votes = np.array([[1, 1, 1, 1], [-1, 1, 1, 1], [1, -1, -1, 1], [1, 1, -1, 0]])
+    shares, rates = quality.fit_kinds(votes, np.array([9000., 400., 500., 100.]), kinds)
+    p = quality.posterior(votes, shares, rates, kinds)[:, 0]
+    assert p[0] > 0.9 and (p[1:] < 0.5).all() and abs(shares[0] - 0.9) < 0.05
+
+
 def test_em_recovers_accuracies():
     rng = np.random.default_rng(1)
     acc = np.array([0.95, 0.9, 0.8, 0.7, 0.85])
