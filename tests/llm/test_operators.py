@@ -250,6 +250,18 @@ def test_secrets_ownership(spark):
     assert all(got[i] == "" for i in range(50)) and got[100] == got[101] == f"owned:3:{4 + len(tok)}"
 
 
+def test_secrets_of_one_owner_in_many_documents(spark):
+    """A live token stays the owner's however many documents and copies of them hold it; a second owner makes it an example."""
+    tok = "Zx9Qw7Er5Ty3Ui1Op0AsDfGhJk"
+    rows = [(i, f"page {i % 20} has {tok}A here", "o1") for i in range(40)] + [(100 + i, f"page {i} has {tok}B here", f"o{i % 2}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.report(docs).collect()}
+    text = {i: t for i, t, _ in rows}
+    assert all(got[i] == f"owned:{text[i].index(tok)}:{text[i].index(tok) + 27}" for i in range(40)) and not any(got[100 + i] for i in range(6))
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert all(clean[i] == f"page {i % 20} has <SECRET> here" for i in range(40)) and all(clean[100 + i] == text[100 + i] for i in range(6))
+
+
 def test_redaction_leaves_no_base_span(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     out = secrets.redact(docs)

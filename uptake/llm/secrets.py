@@ -3,7 +3,8 @@
 Every text is scanned for assignments to secret-like names, cloud access keys and long hexadecimal runs (the base
 kinds), and for random-looking tokens. Values of all of them are hashed, and for each hash the distinct repositories
 and owners that hold it are counted over the corpus: one that many owners hold is a widely copied example, one of few
-owners looks live. Random-looking tokens that look live are reported as kind ``owned``, beside all base spans.
+owners looks live, in however many of their repositories and copies it lies. Random-looking tokens that look live are
+reported as kind ``owned``, beside all base spans. Redaction replaces all reported spans, so base spans always go.
 
 Counts go through distinct (hash, owner) and (hash, repository) rows, combined before each shuffle, so a value found in
 a third of all documents never lies in one task; the verdict joins back under skew splitting.
@@ -35,7 +36,6 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 TOKEN = r"[A-Za-z0-9+/_-]{24,}"  #: what may be a random-looking token
 MIN_ENTROPY = 3.7  #: bits a character that such a token has at least
 MAX_OWNERS = 1  #: owners that a live-looking value has at most
-MAX_REPOS = 3  #: repositories that a live-looking value has at most
 
 
 def _random_looking(t: str) -> bool:
@@ -63,7 +63,7 @@ def scan(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def find_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", max_owners: int = MAX_OWNERS,
-                 max_repos: int = MAX_REPOS, keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None) -> DataFrame:
     """One row per document: ``row`` (its number in this run), the columns ``keep`` and ``found``, an array by start.
 
     Elements of ``found``: start, kind, end, owners, repos, live. Tokens that do not look live are left out.
@@ -85,7 +85,7 @@ def find_secrets(docs: DataFrame, repo: str = "doc_id", owner: str = "source", m
     by = lambda c: (each.select("value", c).distinct().groupBy("value")
                     .agg((F.count(c) + F.max(F.col(c).isNull().cast("long"))).alias(f"{c}s")))
     held = by("owner").join(by("repo"), "value")
-    verdict = (each.join(held, "value").withColumn("live", (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos))
+    verdict = (each.join(held, "value").withColumn("live", F.col("owners") <= max_owners)
                .where("live or kind <> 'owned'"))
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     spans = verdict.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
