@@ -110,6 +110,29 @@ def test_d7_stickiness_never_exceeds_100(spark):
     assert (r.weekly_active_users, r.monthly_active_users, r.stickiness_pct) == (1, 1, 100.0)
 
 
+@pytest.mark.parametrize("start, end, ends", [
+    (D(2024, 1, 1), D(2024, 1, 15), {1: D(2024, 1, 7), 2: D(2024, 1, 14), 3: D(2024, 1, 15)}),  # ends on a Monday
+    (D(2024, 1, 1), D(2024, 1, 17), {1: D(2024, 1, 7), 2: D(2024, 1, 14), 3: D(2024, 1, 17)}),  # ends on a Wednesday
+    (D(2024, 1, 3), D(2024, 1, 19), {1: D(2024, 1, 9), 2: D(2024, 1, 16), 3: D(2024, 1, 19)}),  # weeks begin on a Wednesday
+])
+def test_partial_and_shifted_weeks_keep_their_activity(spark, start, end, ends):
+    evs = [ev(f"a{i}", "a", T(2024, 1, 3 + i)) for i in range(3)] + [ev("a9", "a", T(end.year, end.month, end.day, 9))]
+    evs += [ev(f"b{i}", "b", T(2024, 1, 3 + i)) for i in range(3)]
+    bounds = spark.createDataFrame([(start, end)], "s date, e date")
+    t = make(spark, [user("a"), user("b")], evs).replace(calendar=calendar_from_bounds(bounds))
+    mau = {r.week_number: (r.as_of_date, r.monthly_active_users) for r in activity.mau_by_week(t, CFG).collect()}
+    assert mau == {k: (e, 2) for k, e in ends.items()}
+    seven = {r.week_number: r.monthly_active_users for r in activity.mau_by_week(t, CFG.with_(trailing_window_days=7)).collect()}
+    assert seven == {k: n for k, e in ends.items()
+                     if (n := sum(any(e - dt.timedelta(7) < d <= e for d in x) for x in (
+                         [D(2024, 1, 3), D(2024, 1, 4), D(2024, 1, 5), end], [D(2024, 1, 3), D(2024, 1, 4), D(2024, 1, 5)])))}
+    for seg in (None, "business_unit"):
+        last = [r for r in activity.stickiness(t, CFG, seg).collect() if r.week_number == 3]
+        assert [(r.weekly_active_users, r.monthly_active_users, r.stickiness_pct) for r in last] == [(1, 2, 50.0)]
+    trend = {r.week_number: (r.activated_users, r.dormant_users) for r in retention.dormancy_trend(t, CFG).collect()}
+    assert trend == {1: (2, 0), 2: (2, 0), 3: (2, 0)}
+
+
 def test_d9_recommendation_excludes_null_flags(spark):
     users = [user("a")]
     fb = [("1", "a", T(2024, 1, 2), 5, None, None, True), ("2", "a", T(2024, 1, 2), 4, None, None, None),

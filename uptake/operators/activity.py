@@ -50,23 +50,27 @@ def trailing_active_by_week(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, day
     """Distinct (user_id, *keep, week_number, week_end_date): user active in
     the trailing window that ends on the week's last calendar date.
 
-    Each active user-day is expanded to the week ends it falls under, i.e.
-    the week-end dates e with date <= e <= date + N - 1 (at most ceil(N/7)
-    per day). This replaces a range join of every day with every week.
+    Each active user-day is expanded to the Sundays from its own to that of
+    date + N - 1 (at most ceil(N/7) + 1 per day) and joined to the calendar's
+    week ends e by the Sunday on or after e; of these, those with
+    date <= e <= date + N - 1 stay, whatever weekday a week ends on (the last
+    one ends with the calendar). This replaces a range join of every day with
+    every week.
     ``days`` (default: every active user-day) are (user_id, date, *keep)
     rows; ``keep`` columns must be functionally dependent on the user.
     """
     n = cfg.trailing_window_days
     days = days if days is not None else active_user_days(t, cfg)
-    first_end = F.date_add(F.date_trunc("week", "date").cast("date"), 6)
+
+    def sunday(c):
+        return F.date_add(F.date_trunc("week", c).cast("date"), 6)
+
     last = F.date_add("date", n - 1)
-    cand = days.select(
-        "user_id", *keep,
-        F.explode(F.when(first_end <= last, F.sequence(first_end, last, F.expr("INTERVAL 7 DAYS")))
-                  .otherwise(F.array().cast("array<date>"))).alias("week_end_date"),
-    )
-    we = bounded_broadcast(week_ends(t).select("week_number", "week_end_date"), t.calendar)
-    return cand.join(we, "week_end_date").select("user_id", *keep, "week_number", "week_end_date").distinct()
+    cand = days.select("user_id", "date", *keep,
+                       F.explode(F.sequence(sunday("date"), sunday(last), F.expr("INTERVAL 7 DAYS"))).alias("sunday"))
+    we = bounded_broadcast(week_ends(t).select("week_number", "week_end_date", sunday("week_end_date").alias("sunday")), t.calendar)
+    return cand.join(we, "sunday").where(F.col("week_end_date").between(F.col("date"), last)).select(
+        "user_id", *keep, "week_number", "week_end_date").distinct()
 
 
 def mau_by_week(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Segment = None) -> DataFrame:
