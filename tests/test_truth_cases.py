@@ -152,6 +152,15 @@ def test_d10_d11_feature_adoption_eligible_only_and_full_catalog(spark):
     assert len(rows) == 8 and rows["Knowledge Search"].adopted_users == 1 and rows["Meeting Notes"].adopted_users == 0
 
 
+def test_role_matrix_has_every_feature_of_the_catalog(spark):
+    t = make(spark, [user("a"), user("b")], [ev("1", "a", T(2024, 1, 2), "feature_completed", feat="Ninth Feature")])
+    ninth = t.features.limit(1).withColumn("feature_id", F.lit("F9")).withColumn("feature_name", F.lit("Ninth Feature"))
+    m = features.role_feature_matrix(t.replace(features=t.features.unionByName(ninth)), CFG)
+    assert m.columns == ["role", *CFG.feature_names, "Ninth Feature"]
+    row = m.collect()[0]
+    assert float(row["Ninth Feature"]) == 50.0 and all(float(row[f]) == 0.0 for f in CFG.feature_names)
+
+
 def test_d12_completion_requires_assignment(spark):
     users = [user("a"), user("b", assigned=None), user("c", trained=False)]
     t = make(spark, users, [])

@@ -75,6 +75,15 @@ def bounded_broadcast(df: DataFrame, source: DataFrame | None = None, max_rows:
     return F.broadcast(df) if fits_broadcast(source if source is not None else df, max_rows) else df
 
 
+def pivot_values(df: DataFrame, column: str, listed: list[str]) -> list[str]:
+    """Columns of a pivot: the listed values, then all others present, so that no row is lost.
+
+    ``df`` is a small table (users, or rows already aggregated); the columns of a result must be known to plan it.
+    """
+    present = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().orderBy(column).collect()
+    return [*listed, *(r[0] for r in present if r[0] not in listed)]
+
+
 def day_weeks(t: Tables) -> DataFrame:
     """date -> (week_number, week_start_date); one row per day, broadcast
     after the size check."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
-from uptake.operators.common import Segment, bounded_broadcast, day_weeks, event_date, not_null, seg_list
+from uptake.operators.common import Segment, bounded_broadcast, day_weeks, event_date, not_null, pivot_values, seg_list
 from uptake.operators.population import eligible_users
 from uptake.tables import Tables
 
@@ -63,9 +63,10 @@ def core_feature_adoption(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segme
 
 
 def role_feature_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, row: str = "role") -> DataFrame:
-    """Adoption rate (%) with one row per ``row`` value and one column per feature."""
+    """Adoption rate (%) with one row per ``row`` value and one column per feature (the listed, then all others of the catalog)."""
     long = feature_adoption(t, cfg, [row])
-    return long.groupBy(row).pivot("feature_name", list(cfg.feature_names)).agg(
+    names = pivot_values(t.features, "feature_name", list(cfg.feature_names))
+    return long.groupBy(row).pivot("feature_name", names).agg(
         F.first("feature_adoption_rate_pct")
     )
 

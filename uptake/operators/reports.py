@@ -11,7 +11,7 @@ from uptake.config import AdoptionConfig, DEFAULT_CONFIG, WEEKLY_DISCLAIMER
 from uptake.functions import half_up_ratio, idiv, pct1
 from uptake.operators import activity, features, feedback, population, retention, training, value
 from uptake.operators.common import (
-    Segment, active_days, day_weeks, last_event_date, not_null, seg_list, user_segment, with_scalars,
+    Segment, active_days, day_weeks, last_event_date, not_null, pivot_values, seg_list, user_segment, with_scalars,
 )
 from uptake.tables import Tables
 
@@ -130,25 +130,16 @@ def feature_scorecard(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFr
     )
 
 
-def _pivot_values(df: DataFrame, column: str, listed: list[str]) -> list[str]:
-    """Columns of a pivot: the listed values, then all others present, so that no row is lost.
-
-    ``df`` is a small table (users, or rows already aggregated); the columns of a result must be known to plan it.
-    """
-    present = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().orderBy(column).collect()
-    return [*listed, *(r[0] for r in present if r[0] not in listed)]
-
-
 def _segment_values(t: Tables, cfg: AdoptionConfig, segment: str) -> list[str]:
     listed = list(cfg.canonical_business_units) if segment == "business_unit" else []
-    return _pivot_values(user_segment(t, segment), segment, listed)
+    return pivot_values(user_segment(t, segment), segment, listed)
 
 
 def barrier_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str = "business_unit") -> DataFrame:
     """Segment x barrier mention counts, one column per barrier, 0-filled."""
     values = [b for b in cfg.barrier_categories if b != cfg.no_barrier_label]
     c = feedback.barrier_counts(t, cfg, [segment])
-    values = _pivot_values(c, "barrier_category", values)
+    values = pivot_values(c, "barrier_category", values)
     return c.groupBy(segment).pivot("barrier_category", values).agg(F.sum("mentions")).fillna(0, subset=values)
 
 
