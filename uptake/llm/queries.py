@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uptake.llm import embeddings, langid, mixing, packing, quality, secrets, sharding, simhash, substrings, warc
+from uptake.llm import (
+    conversations, embeddings, exact, langid, mixing, packing, quality, search, secrets, sharding, simhash, substrings, warc,
+)
 from uptake.llm.common import table, text_of
+from uptake.llm.sql import SQL
 
 SHARDS = 40
 
@@ -79,7 +82,28 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.regexp_extract("refers_to", r"<urn:page:(-?\d+)>", 1), F.lit("")).cast("long").alias("refers_to"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are equal without white space, and the row that stays of each."""
+    return exact.duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of all conversations, after the damage that the contract states."""
+    rows = conversations.damage(table(spark, sf_dir, "conversations"))
+    report, pieces = conversations.repair(rows, F.col("gone"))
+    sha = conversations.digests(pieces).withColumnRenamed("conv_id", "c")
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return report.join(sha, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
+        *report.columns, F.coalesce("sha", empty).alias("repaired_sha256"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10).select(
+        "item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+
+
 #: name -> (query, DuckDB SQL, or None where SQL cannot express it and tests hold it against brute force)
-LLM_REGISTRY = {f.__name__: (f, None) for f in (
+LLM_REGISTRY = {f.__name__: (f, SQL.get(f.__name__)) for f in (
     op1_packing, op2_sharding, op3_language, op4_embedding_dedup, op5_simhash, op6_secrets, op7_mixing, op8_quality,
-    op9_substrings, op10_warc)}
+    op9_substrings, op10_warc, op11_exact_dedup, op12_conversations, op13_search)}
