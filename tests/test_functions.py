@@ -44,18 +44,29 @@ def test_dedup_keep_first_with_a_hot_key(spark):
     """One key holding most rows: the first copy in ingest order is kept and
     the copy count is exact (the aggregation merges the hot key map-side)."""
     from pyspark.sql import functions as F
-    from uptake.operators.cleaning import _dup_counts, dedup_keep_first
+    from uptake.operators.cleaning import _duplicates, dedup_keep_first
 
     hot = spark.range(20000).select(F.lit("k0").alias("event_id"), F.col("id").cast("string").alias("v"),
-                                    F.struct((20000 - F.col("id")).alias("seq")).alias("ingest_seq"))
+                                    (20000 - F.col("id")).alias("ingest_seq"))
     cold = spark.range(1, 51).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("event_id"),
-                                     F.lit("x").alias("v"), F.struct(F.lit(1).cast("long").alias("seq")).alias("ingest_seq"))
-    d = dedup_keep_first(hot.unionByName(cold).repartition(8), "event_id", ["ingest_seq"], copies_col="_copies")
+                                     F.lit("x").alias("v"), F.lit(1).cast("long").alias("ingest_seq"))
+    d = dedup_keep_first(hot.unionByName(cold).repartition(8), "event_id", copies_col="_copies")
     rows = {r.event_id: (r.v, r._copies) for r in d.collect()}
     assert len(rows) == 51
     assert rows["k0"] == ("19999", 20000)  # smallest ingest_seq (1) belongs to id 19999
-    c = _dup_counts(d, "event_id").collect()[0]
-    assert (c.n_raw, c.n_keys, c.n_dupe) == (20050, 51, 19999)
+    assert d.agg(_duplicates("event_id")).first()[0] == 19999
+
+
+def test_minutes_keep_their_digits(spark):
+    from decimal import Decimal
+    from uptake.functions import half_up_decimal, safe_decimal
+    texts = ["12.345", "0.004", "-1.5", " 7 ", "1e2", "abc", "NaN", "Infinity", None, "", "12.", "123456789012.123456"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in texts], "m string").select(safe_decimal("m")).collect()]
+    want = ["12.345", "0.004", "-1.5", "7", "100", None, None, None, None, None, "12", "123456789012.123456"]
+    assert got == [None if w is None else Decimal(w) for w in want]
+    sums = spark.createDataFrame([(Decimal("29.999999"), 60), (Decimal("3.000000"), 60), (Decimal("2.999999"), 60), (Decimal("1"), 0)],
+                                 "m decimal(28,6), d long")
+    assert [r[0] for r in sums.select(half_up_decimal("m", "d", 1)).collect()] == [0.5, 0.1, 0.0, None]
 
 
 def test_tabs_and_line_ends_are_stripped(spark):
@@ -75,7 +86,7 @@ def test_integer_division_is_exact(spark):
 
 def test_csv_written_by_another_program_reads_back(spark, tmp_path):
     import csv
-    from uptake.sources.io import read_raw_csv
+    from uptake.sources.csv_records import read_raw_csv
     rows = [['1', 'She said "hi", ok'], ['2', 'two\nlines, "quoted"'], ['3', 'plain']]
     with open(tmp_path / "x.csv", "w", newline="") as f:
         csv.writer(f).writerows([["id", "note"], *rows])

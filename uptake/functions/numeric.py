@@ -35,6 +35,17 @@ def half_up_ratio(num, den, digits: int = 1) -> Column:
     return F.when(n < 0, -pos(-n)).otherwise(pos(n))
 
 
+def half_up_decimal(num, den, digits: int = 1) -> Column:
+    """``half_up_ratio`` of a decimal (a sum of minutes) by an integer: exact at any scale and beyond the range of longs."""
+    n, d = _col(num), F.nullif(_col(den).cast("long"), F.lit(0))
+    scale = 10 ** digits
+
+    def pos(x):
+        return F.call_function("div", x * (2 * scale) + d, d * 2).cast("double") / F.lit(float(scale))
+
+    return F.when(n < 0, -pos(-n)).otherwise(pos(n))
+
+
 def pct1(num, den) -> Column:
     """Percentage with one decimal: round(100 * num / den, 1)."""
     return half_up_ratio(_col(num).cast("long") * 100, den, 1)

@@ -28,8 +28,14 @@ def safe_double(c) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
 
 
-def safe_decimal(c, precision: int = 18, scale: int = 2) -> Column:
-    return safe_double(c).try_cast(f"decimal({precision},{scale})")
+def safe_decimal(c, precision: int = 18, scale: int = 6) -> Column:
+    """Exact decimal of a numeral, six decimals by default (a long inside Spark); what is no finite number is null.
+
+    Plain numerals are read as decimals, so no digit passes through a binary double; other forms ('1e3') do.
+    """
+    kind = f"decimal({precision},{scale})"
+    text = _col(c).cast("string")
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+(\.[0-9]*)?\s*$"), text.try_cast(kind)).otherwise(safe_double(c).try_cast(kind))
 
 
 def safe_int(c) -> Column:

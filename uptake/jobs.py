@@ -1,6 +1,7 @@
-"""Batch jobs: clean raw exports, then compute the report tables.
+"""Batch jobs: clean raw exports, publish the star schema, compute the report tables.
 
     python -m uptake.jobs clean   --raw DIR --out DIR
+    python -m uptake.jobs star    --clean DIR --out DIR
     python -m uptake.jobs reports --clean DIR --out DIR
 
 ``clean`` reads the raw CSV exports (all strings), runs the cleaning
@@ -16,14 +17,15 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.operators import cleaning as cl
-from uptake.operators import activity, reports, retention, value
+from uptake.operators import activity, reports, retention, star, value
 from uptake.operators.common import precompute
 from uptake.session import ensure_checkpoint_dir, materialize
-from uptake.sources.io import load_tables, read_raw_csv, write_events, write_issue_log
+from uptake.sources.csv_records import read_raw_csv
+from uptake.sources.io import load_tables, write_issue_log, write_tables
+from uptake.sources.publish import current, publish, read_current
 from uptake.tables import Tables
 
 RAW_FILES = {"users": "users", "events": "usage_events", "feedback": "feedback", "training": "training_sessions",
@@ -31,34 +33,52 @@ RAW_FILES = {"users": "users", "events": "usage_events", "feedback": "feedback",
 
 
 def run_cleaning(spark: SparkSession, raw_dir: str, out_dir: str, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Tables:
-    """CL-26: clean all six raw tables and write them (events partitioned by day)."""
+    """CL-26: clean all six raw tables and write them (events partitioned by day).
+
+    Raw files are parsed once, into the staging tables that all later steps read. Each table's flagged rows are written
+    once, and the counts of the quality log are observed in that pass.
+    """
     ensure_checkpoint_dir(spark)
 
     def raw(name):
-        return read_raw_csv(spark, f"{raw_dir}/{RAW_FILES[name]}")
-
-    calendar = cl.clean_calendar(raw("calendar").drop("ingest_seq"))
-    users = cl.clean_users(raw("users"), cfg)
-    users_clean = materialize(users.clean, "clean_users")
-    events = cl.clean_events(raw("events"), users_clean, calendar, cfg, persist=materialize)
-    feedback = cl.clean_feedback(raw("feedback"), cfg)
-    training = cl.clean_training(raw("training").drop("ingest_seq"), cfg)
-    fr = raw("features").drop("ingest_seq")
-    features = fr.select("feature_id", "feature_name", "feature_category", "target_persona",
-                         F.call_function("try_to_date", F.col("release_date"), F.lit("yyyy-MM-dd")).alias("release_date"),
-                         cl.to_bool("core_feature_flag").alias("core_feature_flag"))
-    t = Tables(users=users_clean, events=events.clean.drop("no_access_on_file"), feedback=feedback.clean,
-               calendar=calendar, features=features, training=training.clean)
-    for name in ("users", "feedback", "calendar", "features", "training"):
-        getattr(t, name).write.mode("overwrite").parquet(f"{out_dir}/{name}")
-    write_events(t.events, f"{out_dir}/events")
-    events.quarantine.write.mode("overwrite").parquet(f"{out_dir}/quarantine_events")
-    issues = (users.issues.unionByName(events.issues).unionByName(feedback.issues).unionByName(training.issues)
+        return materialize(read_raw_csv(spark, f"{raw_dir}/{RAW_FILES[name]}"), f"staging_{name}")
+
+    calendar = materialize(cl.clean_calendar(raw("calendar").drop("ingest_seq")), "clean_calendar")
+    features = cl.clean_features(raw("features").drop("ingest_seq"))
+    users, _, user_log = cl.clean_users(raw("users"), cfg).written("flagged_users")
+    events, bad_events, event_log = cl.clean_events(raw("events"), users, calendar, cfg).written("flagged_events")
+    feedback, bad_feedback, feedback_log = cl.clean_feedback(raw("feedback"), cfg).written("flagged_feedback")
+    training, _, training_log = cl.clean_training(raw("training").drop("ingest_seq"), cfg).written("flagged_training")
+    t = Tables(users=users, events=events.drop("no_access_on_file"), feedback=feedback, calendar=calendar,
+               features=features, training=training)
+    write_tables(t, out_dir)
+    bad_events.write.mode("overwrite").parquet(f"{out_dir}/quarantine_events")
+    bad_feedback.write.mode("overwrite").parquet(f"{out_dir}/quarantine_feedback")
+    issues = (user_log.unionByName(event_log).unionByName(feedback_log).unionByName(training_log)
               .orderBy("table_order", "issue_order"))
     write_issue_log(issues, f"{out_dir}/data_quality_issues")
     return load_tables(spark, out_dir)
 
 
+def load_star(spark: SparkSession, t: Tables, out_dir: str) -> dict:
+    """SNK-4: the star schema of clean tables as one transaction; returns the manifest.
+
+    Key maps of the version before are extended by new members, all dimensions, facts and key maps are written to a new
+    version, and it becomes the current one only if no key, foreign key or not-null rule is broken;
+    ``publish.PublishError`` leaves the old version as it is. Facts of events are partitioned by date key.
+    """
+    known = read_current(spark, out_dir) if current(spark, out_dir) else None
+    maps = {n: materialize(m, n) for n, m in star.key_maps(t, known).items()}
+    return publish(spark, out_dir, {**maps, **star.keyed_star(t, maps)}, check=star.violations,
+                   partition_by={"fact_usage_events": ["date_key"]})
+
+
+def run_star(spark: SparkSession, clean_dir: str, out_dir: str) -> dict:
+    """Publish the star schema of the clean layer under ``out_dir``."""
+    ensure_checkpoint_dir(spark)
+    return load_star(spark, load_tables(spark, clean_dir), out_dir)
+
+
 REPORTS = {
     "weekly_insights": reports.weekly_insights, "segment_scorecard": reports.segment_scorecard,
     "feature_scorecard": reports.feature_scorecard, "barrier_matrix": reports.barrier_matrix,
@@ -86,9 +106,10 @@ def main(argv=None) -> None:
     c = sub.add_parser("clean")
     c.add_argument("--raw", required=True)
     c.add_argument("--out", required=True)
-    r = sub.add_parser("reports")
-    r.add_argument("--clean", required=True)
-    r.add_argument("--out", required=True)
+    for name in ("star", "reports"):
+        r = sub.add_parser(name)
+        r.add_argument("--clean", required=True)
+        r.add_argument("--out", required=True)
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"uptake-{a.cmd}").getOrCreate()
     from uptake.session import JOB_CONF
@@ -96,6 +117,8 @@ def main(argv=None) -> None:
         spark.conf.set(k, v)
     if a.cmd == "clean":
         run_cleaning(spark, a.raw, a.out)
+    elif a.cmd == "star":
+        run_star(spark, a.clean, a.out)
     else:
         run_reports(spark, a.clean, a.out)
 

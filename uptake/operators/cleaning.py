@@ -14,23 +14,61 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, CANONICAL_FEATURES, DEFAULT_CONFIG
-from uptake.operators.common import with_scalars
 from uptake.functions import (
-    blank_to_null, is_blank, normalize_label, safe_date, safe_decimal, safe_double, safe_int, safe_timestamp, to_bool,
+    blank_to_null, is_blank, normalize_label, safe_date, safe_decimal, safe_double, safe_int, safe_timestamp, strip, to_bool,
 )
+from uptake.session import materialize
 
 
 @dataclass
 class CleanResult:
-    clean: DataFrame
-    issues: DataFrame
-    quarantine: DataFrame | None = None
+    """A cleaning plan.
+
+    ``flagged`` holds every deduplicated row with its parsed values and flags, ``metrics`` the aggregates over it that
+    the issue log needs (name -> column), and ``finish`` splits a flagged frame into the clean and the quarantined rows.
+    ``issues`` counts lazily, in a pass of its own; ``written`` writes the flagged rows once and observes the counts in
+    that same pass.
+    """
+
+    flagged: DataFrame
+    metrics: dict[str, Column]
+    finish: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
+    log: tuple[list[Issue], str, int]
     stages: dict = field(default_factory=dict)
 
+    @property
+    def clean(self) -> DataFrame:
+        return self.finish(self.flagged)[0]
+
+    @property
+    def quarantine(self) -> DataFrame | None:
+        return self.finish(self.flagged)[1]
+
+    @property
+    def counts(self) -> DataFrame:
+        return self.flagged.agg(*[c.alias(n) for n, c in self.metrics.items()])
+
+    @property
+    def issues(self) -> DataFrame:
+        return issue_log(self.counts, *self.log)
+
+    def written(self, name: str) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+        """Clean rows, quarantined rows and issue log from one pass over the input.
+
+        The flagged rows are written to the shared folder and the log's counts are observed on them as they are written.
+        Nothing is shuffled between the observation and the write, so the counts come from the tasks whose output was
+        committed, once each, whatever stages had to run again.
+        """
+        seen = Observation(name)
+        flagged = materialize(self.flagged.observe(seen, *[c.alias(n) for n, c in self.metrics.items()]), name)
+        counts = flagged.sparkSession.createDataFrame(
+            [tuple(int(seen.get[n] or 0) for n in self.metrics)], ", ".join(f"{n} long" for n in self.metrics))
+        return *self.finish(flagged), issue_log(counts, *self.log)
+
 
 @dataclass(frozen=True)
 class Issue:
@@ -48,23 +86,20 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
 
 
-def dedup_keep_first(df: DataFrame, key: str, order: list[str], copies_col: str | None = None) -> DataFrame:
+def dedup_keep_first(df: DataFrame, key: str, order: str = "ingest_seq", copies_col: str | None = None) -> DataFrame:
     """CL-02: one row per key, the first in ingest order.
 
-    Done as an aggregation (min_by over a struct of the row), which is merged
-    map-side: a key copied a million times is reduced in every partition
-    before the shuffle instead of landing whole in one window task. With
-    ``copies_col`` the same aggregation also counts each key's raw rows, so
-    the duplicate count needs no second pass over the raw input.
+    ``order`` is a number that no two rows of a key share, such as the ingest position of ``sources.csv``. The least
+    position of each key is a hash aggregation, merged map-side, of two narrow columns; the winning rows are joined back
+    by key and position, so that no key, however often it was copied, brings more than one row into the join's result
+    and no task sorts or buffers the copies of a key. ``copies_col`` adds each key's number of raw rows.
     """
-    cols = [c for c in df.columns if c != key]
-    ordering = F.struct(*[F.col(c) for c in order])
-    aggs = [F.min_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_r")]
+    aggs = [F.min(order).alias("_first")]
     if copies_col:
         aggs.append(F.count(F.lit(1)).alias(copies_col))
-    return df.groupBy(key).agg(*aggs).select(
-        key, *[F.col(f"_r.{c}").alias(c) for c in cols], *([copies_col] if copies_col else [])
-    )
+    first = df.groupBy(F.col(key).alias("_key")).agg(*aggs)
+    return df.join(first, df[key].eqNullSafe(first["_key"]) & (df[order] == first["_first"])).select(
+        *[df[c] for c in df.columns], *([copies_col] if copies_col else []))
 
 
 def issue_log(counts: DataFrame, issues: list[Issue], table: str, table_order: int) -> DataFrame:
@@ -83,12 +118,9 @@ def issue_log(counts: DataFrame, issues: list[Issue], table: str, table_order: i
     return counts.select(F.inline(F.array(*rows))).where("_keep").drop("_keep")
 
 
-def _dup_counts(d: DataFrame, key: str) -> DataFrame:
-    """Raw rows, distinct non-null keys and duplicates, from the deduplicated
-    frame's ``_copies`` column (one small aggregate over the dedup output)."""
-    return d.agg(F.sum("_copies").alias("n_raw"), F.count(key).alias("n_keys")).withColumn(
-        "n_dupe", F.col("n_raw") - F.col("n_keys")
-    )
+def _duplicates(key: str) -> Column:
+    """Raw rows less distinct non-null keys, over the deduplicated rows."""
+    return F.coalesce(F.sum("_copies"), F.lit(0)) - F.count(key)
 
 
 def _not_in(c: Column, values) -> Column:
@@ -118,42 +150,46 @@ def _bad_parse(raw: Column, parsed: Column) -> Column:
 
 
 def clean_users(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
-    d = dedup_keep_first(standardize_columns(raw), "user_id", ["ingest_seq"], copies_col="_copies")
+    d = dedup_keep_first(standardize_columns(raw), "user_id", copies_col="_copies")
     bu = normalize_label(F.col("business_unit"), cfg.canonical_business_units, cfg.business_unit_label_map)
     dates = ["hire_date", "assigned_access_date", "training_assigned_date", "training_completed_date"]
     p = d.select(
         "user_id",
         F.col("business_unit").alias("_bu_raw"), bu.alias("business_unit"),
-        *[F.trim(c).alias(c) for c in ("role", "region", "manager_level")],
+        *[strip(c).alias(c) for c in ("role", "region", "manager_level")],
         *[F.col(c).alias(f"_{c}_raw") for c in dates],
         *[safe_date(c).alias(c) for c in dates],
         safe_int("rollout_wave").alias("rollout_wave"),
-        F.trim("training_format").alias("training_format"),
+        strip("training_format").alias("training_format"),
         to_bool("manager_champion_flag").alias("manager_champion_flag"),
-        to_bool("eligible_for_access_flag").alias("eligible_for_access_flag"),
+        to_bool("eligible_for_access_flag").alias("eligible_for_access_flag"), "_copies",
     )
     bad_order = F.coalesce(F.col("training_completed_date") < F.col("training_assigned_date"), F.lit(False))
     p = p.withColumn("_bad_order", bad_order).withColumn(
         "training_completed_date", F.when(~F.col("_bad_order"), F.col("training_completed_date"))
     )
-    counts = with_scalars(p.agg(
-        F.count_if(_not_in(F.col("_bu_raw"), cfg.canonical_business_units)).alias("n_bu_variants"),
-        F.count_if(_not_in(F.col("business_unit"), cfg.canonical_business_units)).alias("n_bu_unmapped"),
-        F.count_if(_bad_parse(F.col("_hire_date_raw"), F.col("hire_date"))).alias("n_bad_hire"),
-        F.count_if(_bad_parse(F.col("_assigned_access_date_raw"), F.col("assigned_access_date"))).alias("n_bad_access"),
-        F.count_if(_bad_parse(F.col("_training_assigned_date_raw"), F.col("training_assigned_date"))).alias("n_bad_tr_assigned"),
-        F.count_if(_bad_parse(F.col("_training_completed_date_raw"), F.col("training_completed_date"))
-                   & ~F.col("_bad_order")).alias("n_bad_tr_completed"),
-        F.count_if(F.col("assigned_access_date").isNull()).alias("n_missing_access"),
-        F.count_if(F.col("manager_champion_flag").isNull()).alias("n_missing_champion"),
-        F.count_if("_bad_order").alias("n_bad_order"),
-    ), _dup_counts(d, "user_id"))
-    clean = p.select(
-        "user_id", "business_unit", "role", "region", "manager_level", "hire_date", "assigned_access_date",
-        "rollout_wave", "training_assigned_date", "training_completed_date", "training_format",
-        "manager_champion_flag", "eligible_for_access_flag",
-    )
-    return CleanResult(clean, issue_log(counts, USER_ISSUES, "users", 1), stages={"dedup": d, "parsed": p})
+    metrics = {
+        "n_dupe": _duplicates("user_id"),
+        "n_bu_variants": F.count_if(_not_in(F.col("_bu_raw"), cfg.canonical_business_units)),
+        "n_bu_unmapped": F.count_if(_not_in(F.col("business_unit"), cfg.canonical_business_units)),
+        "n_bad_hire": F.count_if(_bad_parse(F.col("_hire_date_raw"), F.col("hire_date"))),
+        "n_bad_access": F.count_if(_bad_parse(F.col("_assigned_access_date_raw"), F.col("assigned_access_date"))),
+        "n_bad_tr_assigned": F.count_if(_bad_parse(F.col("_training_assigned_date_raw"), F.col("training_assigned_date"))),
+        "n_bad_tr_completed": F.count_if(_bad_parse(F.col("_training_completed_date_raw"), F.col("training_completed_date"))
+                                         & ~F.col("_bad_order")),
+        "n_missing_access": F.count_if(F.col("assigned_access_date").isNull()),
+        "n_missing_champion": F.count_if(F.col("manager_champion_flag").isNull()),
+        "n_bad_order": F.count_if("_bad_order"),
+    }
+
+    def finish(flagged: DataFrame) -> tuple[DataFrame, None]:
+        return flagged.select(
+            "user_id", "business_unit", "role", "region", "manager_level", "hire_date", "assigned_access_date",
+            "rollout_wave", "training_assigned_date", "training_completed_date", "training_format",
+            "manager_champion_flag", "eligible_for_access_flag",
+        ), None
+
+    return CleanResult(p, metrics, finish, (USER_ISSUES, "users", 1), stages={"dedup": d, "parsed": p})
 
 
 # --------------------------------------------------------------------------- events
@@ -172,59 +208,53 @@ EVENT_ISSUES = [
 ]
 
 
-def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame,
-                 cfg: AdoptionConfig = DEFAULT_CONFIG,
-                 persist: Callable[[DataFrame, str], DataFrame] | None = None) -> CleanResult:
+def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
     """users: the CLEAN users table (for the access-date rule); calendar: the
-    clean calendar (its last date bounds the window).
-
-    ``persist`` (e.g. ``session.materialize``) writes the deduplicated,
-    timestamp-parsed stage once; the clean table, the quarantine and the
-    issue counts then all read it instead of each re-reading the raw input
-    and repeating the dedup shuffle.
-    """
-    d = dedup_keep_first(standardize_columns(raw), "event_id", ["ingest_seq"], copies_col="_copies")
+    clean calendar (its last date bounds the window)."""
+    d = dedup_keep_first(standardize_columns(raw), "event_id", copies_col="_copies")
     ts = d.withColumn("_ts_raw", F.col("event_timestamp")).withColumn("event_timestamp", safe_timestamp("event_timestamp"))
-    if persist is not None:
-        ts = persist(ts, "events_dedup")
-    quarantine = ts.where(F.col("event_timestamp").isNull()).select("event_id", "user_id", F.col("_ts_raw").alias("event_timestamp_raw"))
-    v = ts.where(F.col("event_timestamp").isNotNull())
     feat = blank_to_null(normalize_label(F.col("feature_name"), cfg.feature_names, cfg.feature_label_map))
     dur, mins = safe_double("session_duration_seconds"), safe_decimal("estimated_minutes_saved")
-    v = v.select(
-        "*",
+    false = F.lit(False)
+    v = ts.select(
+        "*", F.col("event_timestamp").isNotNull().alias("_dated"), F.to_date("event_timestamp").alias("_date"),
         _not_in(F.coalesce(F.col("feature_name"), F.lit("")), (*cfg.feature_names, "")).alias("_f_variant"),
         feat.alias("_feature"), (dur < 0).alias("_neg_dur"), (mins < 0).alias("_neg_min"), dur.alias("_dur"), mins.alias("_min"),
     )
-    access = users.select("user_id", F.col("assigned_access_date").alias("_access"))
-    j = v.join(access, v.user_id == access.user_id.cast("string"), "left").drop(access.user_id)
-    j = j.withColumn("_date", F.to_date("event_timestamp")).withColumn(
-        "_pre", F.col("_access").isNotNull() & (F.col("_date") < F.col("_access"))
-    )
+    access = users.select(F.col("user_id").cast("string").alias("_user"), F.col("assigned_access_date").alias("_access"))
+    j = v.join(access, v.user_id == access["_user"], "left").drop("_user")
+    j = j.withColumn("_pre", F.coalesce(F.col("_date") < F.col("_access"), false))
     end = calendar.agg(F.max("date")).scalar()
     # without a last calendar date no event lies after it
-    j = j.withColumn("_after", F.coalesce(~F.col("_pre") & (F.col("_date") > end), F.lit(False)))
-    counts = with_scalars(with_scalars(j.agg(
-        F.count_if(F.col("_f_variant")).alias("n_feature_variants"),
-        F.count_if(F.col("_feature").isNull()).alias("n_missing_feature"),
-        F.count_if(F.coalesce(F.col("_neg_dur"), F.lit(False))).alias("n_neg_duration"),
-        F.count_if(F.coalesce(F.col("_neg_min"), F.lit(False))).alias("n_neg_minutes"),
-        F.count_if("_pre").alias("n_pre_access"),
-        F.count_if(~F.col("_pre") & F.col("_access").isNull()).alias("n_no_access"),
-        F.count_if("_after").alias("n_after_window"),
-    ), _dup_counts(ts, "event_id")), quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
-    kept = j.where(~F.col("_pre") & ~F.col("_after"))
-    clean = kept.select(
-        "event_id", "user_id", "event_timestamp", "session_id", F.col("_feature").alias("feature_name"),
-        F.trim("event_type").alias("event_type"),
-        to_bool("successful_completion_flag").alias("successful_completion_flag"),
-        F.when(~F.col("_neg_min"), F.col("_min")).alias("estimated_minutes_saved"),
-        F.when(~F.col("_neg_dur"), F.col("_dur")).alias("session_duration_seconds"),
-        F.trim("platform").alias("platform"),
-        F.col("_access").isNull().alias("no_access_on_file"),
-    )
-    stages = {"dedup": d, "timestamps": ts, "flagged": j}
-    return CleanResult(clean, issue_log(counts, EVENT_ISSUES, "usage_events", 2), quarantine, stages)
+    j = j.withColumn("_after", F.coalesce(~F.col("_pre") & (F.col("_date") > end), false))
+    dated = F.col("_dated")
+    metrics = {
+        "n_dupe": _duplicates("event_id"),
+        "n_bad_ts": F.count_if(~dated),
+        "n_feature_variants": F.count_if(dated & F.col("_f_variant")),
+        "n_missing_feature": F.count_if(dated & F.col("_feature").isNull()),
+        "n_neg_duration": F.count_if(dated & F.coalesce(F.col("_neg_dur"), false)),
+        "n_neg_minutes": F.count_if(dated & F.coalesce(F.col("_neg_min"), false)),
+        "n_pre_access": F.count_if("_pre"),
+        "n_no_access": F.count_if(dated & ~F.col("_pre") & F.col("_access").isNull()),
+        "n_after_window": F.count_if("_after"),
+    }
+
+    def finish(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+        clean = flagged.where(dated & ~F.col("_pre") & ~F.col("_after")).select(
+            "event_id", "user_id", "event_timestamp", "session_id", F.col("_feature").alias("feature_name"),
+            strip("event_type").alias("event_type"), "prompt_category",
+            to_bool("output_exported_flag").alias("output_exported_flag"),
+            to_bool("successful_completion_flag").alias("successful_completion_flag"),
+            F.when(~F.col("_neg_min"), F.col("_min")).alias("estimated_minutes_saved"),
+            F.when(~F.col("_neg_dur"), F.col("_dur")).alias("session_duration_seconds"),
+            to_bool("error_flag").alias("error_flag"), strip("platform").alias("platform"), "source_system",
+            F.col("_access").isNull().alias("no_access_on_file"),
+        )
+        return clean, flagged.where(~dated).select("event_id", "user_id", F.col("_ts_raw").alias("event_timestamp_raw"))
+
+    stages = {"dedup": d, "timestamps": ts, "flagged": j.where(dated)}
+    return CleanResult(j, metrics, finish, (EVENT_ISSUES, "usage_events", 2), stages)
 
 
 # --------------------------------------------------------------------------- feedback
@@ -241,33 +271,39 @@ FEEDBACK_ISSUES = [
 
 
 def clean_feedback(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
-    d = dedup_keep_first(standardize_columns(raw), "feedback_id", ["ingest_seq"], copies_col="_copies")
-    ts = d.withColumn("_ts_raw", F.col("feedback_timestamp")).withColumn(
-        "feedback_timestamp", safe_timestamp("feedback_timestamp"))
-    quarantine = ts.where(F.col("feedback_timestamp").isNull()).select(
-        "feedback_id", "user_id", F.col("_ts_raw").alias("feedback_timestamp_raw"))
-    v = ts.where(F.col("feedback_timestamp").isNotNull())
+    d = dedup_keep_first(standardize_columns(raw), "feedback_id", copies_col="_copies")
     r = safe_double("rating_1_to_5")
+    v = d.withColumn("_ts_raw", F.col("feedback_timestamp")).withColumn(
+        "feedback_timestamp", safe_timestamp("feedback_timestamp"))
     v = v.select(
-        "*", r.alias("_rating"), (r.isNotNull() & ~r.between(1, 5)).alias("_bad_rating"),
+        "*", F.col("feedback_timestamp").isNotNull().alias("_dated"),
+        r.alias("_rating"), (r.isNotNull() & ~r.between(1, 5)).alias("_bad_rating"),
         _not_in(F.coalesce(F.col("feature_name"), F.lit("")), (*cfg.feature_names, "")).alias("_f_variant"),
         blank_to_null(normalize_label(F.col("feature_name"), cfg.feature_names, cfg.feature_label_map)).alias("_feature"),
     )
-    counts = with_scalars(with_scalars(v.agg(
-        F.count_if("_bad_rating").alias("n_bad_rating"),
-        F.count_if("_f_variant").alias("n_feature_variants"),
-        F.count_if(F.col("_feature").isNull()).alias("n_missing_feature"),
-        F.count_if(is_blank("free_text_feedback")).alias("n_missing_text"),
-    ), _dup_counts(d, "feedback_id")), quarantine.agg(F.count(F.lit(1)).alias("n_bad_ts")))
-    clean = v.select(
-        "feedback_id", "user_id", "feedback_timestamp",
-        F.when(~F.col("_bad_rating"), F.col("_rating")).cast("int").alias("rating_1_to_5"),
-        F.trim("sentiment_label").alias("sentiment_label"), F.trim("barrier_category").alias("barrier_category"),
-        F.when(F.col("free_text_feedback") != "", F.col("free_text_feedback")).alias("free_text_feedback"),
-        F.col("_feature").alias("feature_name"),
-        to_bool("would_recommend_flag").alias("would_recommend_flag"),
-    )
-    return CleanResult(clean, issue_log(counts, FEEDBACK_ISSUES, "feedback", 3), quarantine, {"dedup": d, "parsed": v})
+    dated = F.col("_dated")
+    metrics = {
+        "n_dupe": _duplicates("feedback_id"),
+        "n_bad_ts": F.count_if(~dated),
+        "n_bad_rating": F.count_if(dated & F.col("_bad_rating")),
+        "n_feature_variants": F.count_if(dated & F.col("_f_variant")),
+        "n_missing_feature": F.count_if(dated & F.col("_feature").isNull()),
+        "n_missing_text": F.count_if(dated & is_blank("free_text_feedback")),
+    }
+
+    def finish(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+        clean = flagged.where(dated).select(
+            "feedback_id", "user_id", "feedback_timestamp",
+            F.when(~F.col("_bad_rating"), F.col("_rating")).cast("int").alias("rating_1_to_5"),
+            strip("sentiment_label").alias("sentiment_label"), strip("barrier_category").alias("barrier_category"),
+            F.when(F.col("free_text_feedback") != "", F.col("free_text_feedback")).alias("free_text_feedback"),
+            F.col("_feature").alias("feature_name"),
+            to_bool("would_recommend_flag").alias("would_recommend_flag"),
+        )
+        return clean, flagged.where(~dated).select(
+            "feedback_id", "user_id", F.col("_ts_raw").alias("feedback_timestamp_raw"))
+
+    return CleanResult(v, metrics, finish, (FEEDBACK_ISSUES, "feedback", 3), {"dedup": d, "parsed": v.where(dated)})
 
 
 # --------------------------------------------------------------------------- small tables
@@ -287,13 +323,24 @@ def clean_training(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Clea
         *[safe_int(x).alias(x) for x in ("registered_count", "attended_count", "completion_count")],
         "facilitator", "session_topic",
     )
-    counts = c.agg(
-        (F.count_if(F.col("attended_count") > F.col("registered_count"))
-         + F.count_if(F.col("completion_count") > F.col("attended_count"))).alias("n_inconsistent"),
-        F.count_if(F.col("attended_count") > F.col("registered_count")).alias("attended_gt_registered"),
-        F.count_if(F.col("completion_count") > F.col("attended_count")).alias("completed_gt_attended"),
-    )
-    return CleanResult(c, issue_log(counts, TRAINING_ISSUES, "training_sessions", 4), stages={"counts": counts})
+    metrics = {
+        "n_inconsistent": F.count_if(F.col("attended_count") > F.col("registered_count"))
+        + F.count_if(F.col("completion_count") > F.col("attended_count")),
+        "attended_gt_registered": F.count_if(F.col("attended_count") > F.col("registered_count")),
+        "completed_gt_attended": F.count_if(F.col("completion_count") > F.col("attended_count")),
+    }
+    out = CleanResult(c, metrics, lambda flagged: (flagged, None), (TRAINING_ISSUES, "training_sessions", 4))
+    out.stages["counts"] = out.counts
+    return out
+
+
+def clean_features(raw: DataFrame) -> DataFrame:
+    """CL-25: the feature catalog, typed; rows without a name are not features."""
+    r = standardize_columns(raw)
+    return r.where(~is_blank("feature_name")).select(
+        strip("feature_id").alias("feature_id"), strip("feature_name").alias("feature_name"),
+        strip("feature_category").alias("feature_category"), strip("target_persona").alias("target_persona"),
+        safe_date("release_date").alias("release_date"), to_bool("core_feature_flag").alias("core_feature_flag"))
 
 
 def clean_calendar(raw: DataFrame) -> DataFrame:

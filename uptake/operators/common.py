@@ -47,8 +47,11 @@ def meaningful(events: DataFrame, cfg: AdoptionConfig) -> DataFrame:
     return events.where(F.col("event_type").isin(*cfg.meaningful_event_types))
 
 
-def event_date(col: str = "event_timestamp") -> Column:
-    return F.to_date(F.col(col))
+def event_date(events: DataFrame) -> Column:
+    """The date of an event: the partition column of the clean layer where the table has it, else from the timestamp.
+
+    Filters and maxima on the partition column prune folders and read no event column."""
+    return F.col("event_date") if "event_date" in events.columns else F.to_date("event_timestamp")
 
 
 # Explicit broadcast hints only for tables checked to have at most this many
@@ -110,7 +113,7 @@ def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     if t.user_day is not None:
         return t.user_day
     ts = F.col("event_timestamp")
-    d = event_date()
+    d = event_date(t.events)
     m = F.col("event_type").isin(*cfg.meaningful_event_types)
     q = F.coalesce(F.col("feature_name") == cfg.qualifying_feature, F.lit(False))
     value_ok = F.col("event_type").isin(*cfg.value_event_types) & F.coalesce("successful_completion_flag", F.lit(False))
@@ -126,6 +129,7 @@ def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
         F.sum(F.when(m, F.col("estimated_minutes_saved"))).alias("minutes_meaningful"),
         F.min(F.when(value_ok, ts)).alias("first_value_ts"),
         F.min(F.when(m, ts)).alias("first_meaningful_ts"),
+        F.count(F.lit(1)).alias("n_events"),
     )
 
 
@@ -151,7 +155,7 @@ def last_event_date(t: Tables, cfg: AdoptionConfig) -> Column:
         return F.lit(cfg.as_of_date).cast("date")
     if t.user_day is not None:
         return t.user_day.agg(F.max("date").alias("d")).scalar()
-    return t.events.agg(F.max(event_date()).alias("d")).scalar()
+    return t.events.agg(F.max(event_date(t.events)).alias("d")).scalar()
 
 
 def counted_in_window(cfg: AdoptionConfig) -> Column:

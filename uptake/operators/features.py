@@ -75,7 +75,7 @@ def feature_usage_trend(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Data
     """Distinct adopting users per week x feature (adoption events, known feature)."""
     ev = t.events.where(F.col("event_type").isin(*cfg.adoption_event_types) & F.col("feature_name").isNotNull())
     return (
-        ev.withColumn("date", event_date()).join(day_weeks(t), "date")
+        ev.withColumn("date", event_date(ev)).join(day_weeks(t), "date")
         .groupBy("week_number", "feature_name")
         .agg(F.count_distinct("user_id").alias("adopting_users"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG, WEEKLY_DISCLAIMER
-from uptake.functions import half_up_ratio, idiv, pct1
+from uptake.functions import half_up_decimal, half_up_ratio, idiv, pct1
 from uptake.operators import activity, features, feedback, population, retention, training, value
 from uptake.operators.common import (
     Segment, active_days, day_weeks, last_event_date, not_null, pivot_values, seg_list, user_segment, with_scalars,
@@ -20,7 +20,7 @@ def weekly_insights(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: st
     """One row per (week, segment) with activity, value and feedback blocks.
 
     All event blocks come from ONE user x week rollup of the user-day summary
-    (WAU, minutes saved in cents, qualifying-feature use), joined to
+    (WAU, minutes saved, qualifying-feature use), joined to
     the users table at user x week grain; feedback is pre-aggregated once per
     user x week x reported barrier and feeds both the feedback block and the
     top barrier. Prior-week values come from LAG over the segment's weekly rows.
@@ -68,7 +68,6 @@ def weekly_insights(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: st
     top = feedback.top_barrier(t, cfg, ["week_number", segment], counts=bar)
     w = Window.partitionBy(segment).orderBy("week_number")
     prior = F.lag("weekly_active_users").over(w)
-    cents = (F.col("minutes") * 100).cast("long")
     return (
         seg.join(fb, ["week_number", segment], "left")
         .join(top, ["week_number", segment], "left")
@@ -78,7 +77,7 @@ def weekly_insights(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: st
             (F.col("weekly_active_users") - prior).alias("wau_change_vs_prior_week"),
             pct1("weekly_active_users", "company_wau").alias("pct_of_company_wau_this_week"),
             "prompt_library_users",
-            half_up_ratio(cents, F.lit(6000), 1).alias("estimated_hours_saved_modeled"),
+            half_up_decimal("minutes", F.lit(60), 1).alias("estimated_hours_saved_modeled"),
             F.coalesce("feedback_submissions", F.lit(0)).cast("long").alias("feedback_submissions"),
             "avg_rating", "recommendation_rate_pct",
             F.col("top_barrier").alias("top_reported_barrier"),

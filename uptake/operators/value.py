@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG, TIME_SAVED_DISCLAIMER
-from uptake.functions import half_up_ratio, hours_between, idiv
+from uptake.functions import half_up_decimal, hours_between
 from uptake.operators.common import Segment, bounded_broadcast, not_null, seg_list, user_summary
 from uptake.operators.population import eligible_users
 from uptake.operators.quantiles import exact_percentile
@@ -48,23 +48,19 @@ def ttv_histogram(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     return time_to_value(t, cfg).groupBy(b.alias("bin_start_hours")).agg(F.count(F.lit(1)).alias("users"))
 
 
-def _cents(c):
-    return (c * 100).cast("long")
-
-
 def time_saved_by_feature(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """All events carrying an estimate, per catalog feature (unknown feature
     excluded; features with events but no estimate are listed with nulls)."""
     cat = bounded_broadcast(t.features.select("feature_name"), t.features)
     agg = t.events.join(cat, "feature_name").groupBy("feature_name").agg(
         F.count("estimated_minutes_saved").alias("successful_actions_with_estimate"),
-        _cents(F.sum("estimated_minutes_saved")).alias("cents"),
+        F.sum("estimated_minutes_saved").alias("minutes"),
     )
     return agg.select(
         "feature_name", "successful_actions_with_estimate",
-        half_up_ratio("cents", F.lit(100), 0).alias("total_estimated_minutes_saved"),
-        half_up_ratio("cents", F.lit(6000), 1).alias("total_estimated_hours_saved"),
-        half_up_ratio("cents", F.col("successful_actions_with_estimate") * 100, 1)
+        half_up_decimal("minutes", F.lit(1), 0).alias("total_estimated_minutes_saved"),
+        half_up_decimal("minutes", F.lit(60), 1).alias("total_estimated_hours_saved"),
+        half_up_decimal("minutes", "successful_actions_with_estimate", 1)
         .alias("avg_estimated_minutes_saved_per_action"),
         F.lit(TIME_SAVED_DISCLAIMER).alias("disclaimer"),
     )
@@ -85,14 +81,14 @@ def time_saved_value_events(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, seg
     )
     agg = ev.groupBy(*cols).agg(
         F.count(F.lit(1)).alias("successful_actions_with_estimate"),
-        _cents(F.sum("estimated_minutes_saved")).alias("cents"),
+        F.sum("estimated_minutes_saved").alias("minutes"),
     )
-    tenths = idiv(F.col("cents") * 20 + 100, F.lit(200))  # minutes x10, rounded half up
+    tenths = F.call_function("div", F.col("minutes") * 20 + 1, F.lit(2))  # minutes x10, rounded half up
     return agg.select(
         *cols, "successful_actions_with_estimate",
-        half_up_ratio("cents", F.lit(100), 1).alias("total_estimated_minutes_saved"),
-        half_up_ratio("cents", F.col("successful_actions_with_estimate") * 100, 1)
+        half_up_decimal("minutes", F.lit(1), 1).alias("total_estimated_minutes_saved"),
+        half_up_decimal("minutes", "successful_actions_with_estimate", 1)
         .alias("avg_estimated_minutes_saved_per_action"),
-        half_up_ratio(tenths, F.lit(600), 1).alias("total_estimated_hours_saved"),
+        half_up_decimal(tenths, F.lit(600), 1).alias("total_estimated_hours_saved"),
         F.lit(TIME_SAVED_DISCLAIMER).alias("disclaimer"),
     )

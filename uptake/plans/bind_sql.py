@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from uptake.config import CANONICAL_FEATURES, FEATURE_CATALOG
 from uptake.sources.testbind import (
-    BACKGROUND_EVENT_TYPE, BARRIER_BY_PRIORITY, EVENT_TYPE_MAP, PLATFORMS, ROLES, SEGMENTS, SESSION_TOPICS,
-    TRAINING_FORMATS, USAGE_CUTOFF,
+    BACKGROUND_EVENT_TYPE, BARRIER_BY_PRIORITY, EVENT_TYPE_MAP, PLATFORMS, PROMPT_CATEGORIES, ROLES, SEGMENTS, SESSION_TOPICS,
+    SOURCE_SYSTEMS, TRAINING_FORMATS, USAGE_CUTOFF,
 )
 
 # user-days that carry usage actions (the rest are background app_opened rows)
@@ -91,13 +91,15 @@ usage_events AS (
                            CASE WHEN e.event_id % 4 = 0 THEN 'output_exported' ELSE 'feature_completed' END END,
                       e.event_type)
              ELSE {q(BACKGROUND_EVENT_TYPE)} END AS event_type,
+        CASE WHEN e.event_id % 11 <> 3 THEN {case_pick('e.event_id % 4', PROMPT_CATEGORIES)} END AS prompt_category,
         ({USAGE} AND e.event_type = 'purchase' AND e.event_id % 4 = 0) AS output_exported_flag,
         (e.event_type <> 'error' AND e.event_id % 14 <> 0) AS successful_completion_flag,
         CASE WHEN {USAGE} AND e.event_type IN ('click', 'purchase') AND e.event_id % 14 <> 0
              THEN CAST(e.value AS DECIMAL(18,2)) END AS estimated_minutes_saved,
         CAST(e.event_id % 600 + 5 AS INTEGER) AS session_duration_seconds,
         ({USAGE} AND e.event_type = 'error') AS error_flag,
-        {case_pick('e.event_id % 3', PLATFORMS)} AS platform
+        {case_pick('e.event_id % 3', PLATFORMS)} AS platform,
+        {case_pick('e.event_id % 3', SOURCE_SYSTEMS)} AS source_system
     FROM events e
     LEFT JOIN users u ON u.user_id = e.user_id
     WHERE u.assigned_access_date IS NULL OR CAST(e.ts AS DATE) >= u.assigned_access_date

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake.config import ALL_EVENT_TYPES, DEFAULT_CONFIG, TESTDATA_CONFIG, TIME_SAVED_DISCLAIMER, WEEKLY_DISCLAIMER
-from uptake.operators import activity, features, feedback, population, reports, retention, training, value
+from uptake.operators import activity, cleaning, features, feedback, population, reports, retention, training, value
 from uptake.plans import sqlparts as sp
 from uptake.plans.bind_sql import half_up_ratio, pct1, q, with_bind
+from uptake.plans.clean_sql import FEATURES
 from uptake.plans.sqlparts import in_list
-from uptake.sources.testbind import bind_testdata
+from uptake.sources.testbind import bind_raw_features, bind_testdata, read
 
 CFG = TESTDATA_CONFIG
 REF = DEFAULT_CONFIG.with_(  # reference windows (14 / 28 days) on the test vocabulary
@@ -922,7 +923,8 @@ def q_target_segments(spark, sf):
 
 # --------------------------------------------------------------------------- star schema
 
-STAR = f"""dim_business_unit AS (
+STAR = f"""{FEATURES},
+dim_business_unit AS (
     SELECT CAST(ROW_NUMBER() OVER (ORDER BY business_unit_name) AS INTEGER) AS business_unit_key, business_unit_name
     FROM (SELECT business_unit AS business_unit_name FROM users WHERE business_unit IS NOT NULL
           UNION SELECT business_unit FROM training_sessions WHERE business_unit IS NOT NULL) x
@@ -937,7 +939,7 @@ dim_feature AS (
            CAST(NULL AS BOOLEAN) AS core_feature_flag
     UNION ALL
     SELECT CAST(ROW_NUMBER() OVER (ORDER BY feature_id) AS INTEGER), feature_id, feature_name, feature_category,
-           target_persona, release_date, core_feature_flag FROM feature_catalog
+           target_persona, release_date, core_feature_flag FROM clean_features
 ),
 dim_date AS (
     SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, date AS full_date, week_start_date, week_number,
@@ -954,8 +956,8 @@ dim_user AS (
 fact_usage_events AS (
     SELECT e.event_id, e.user_id AS user_key, CAST(strftime(e.event_timestamp, '%Y%m%d') AS INTEGER) AS date_key,
            CAST(COALESCE(f.feature_key, -1) AS INTEGER) AS feature_key, e.event_timestamp, e.event_type,
-           e.output_exported_flag, e.successful_completion_flag, e.estimated_minutes_saved,
-           e.session_duration_seconds, e.error_flag, e.platform, e.session_id
+           e.prompt_category, e.output_exported_flag, e.successful_completion_flag, e.estimated_minutes_saved,
+           e.session_duration_seconds, e.error_flag, e.platform, e.source_system, e.session_id
     FROM usage_events e
     LEFT JOIN (SELECT * FROM dim_feature WHERE feature_key > 0) f ON f.feature_name = e.feature_name
     WHERE e.user_id IN (SELECT user_id FROM users)
@@ -978,9 +980,14 @@ STAR_TABLES = ["dim_business_unit", "dim_role", "dim_feature", "dim_date", "dim_
                "fact_feedback", "fact_training_attendance"]
 
 
+def _given_features(spark, sf) -> DataFrame:
+    """The feature catalog that the given parts make, cleaned."""
+    return cleaning.clean_features(bind_raw_features(read(spark, sf, "part")))
+
+
 def _star(spark, sf):
     from uptake.operators import star as st
-    return st.star(tables(spark, sf))
+    return st.star(tables(spark, sf).replace(features=_given_features(spark, sf)))
 
 
 def _register_star_table(name: str):
@@ -1050,6 +1057,84 @@ def q_table_row_counts(spark, sf):
     return st.table_row_counts(_star(spark, sf))
 
 
+FIRST_LOAD = "hire_date < DATE '2020-06-01'"  # users of the first of two loads; the second has all
+
+
+def _stable_keys_sql(name: str, key: str, source: str, first: str) -> str:
+    """Members of the first load by name, then those that only the second load has."""
+    return with_bind(f"""
+SELECT {name}, n AS {key}, TRUE AS in_first_load FROM first_load
+UNION ALL
+SELECT {name}, (SELECT COUNT(*) FROM first_load) + ROW_NUMBER() OVER (ORDER BY {name}), FALSE
+FROM (SELECT DISTINCT {name} FROM {source} s WHERE {name} IS NOT NULL AND {name} NOT IN (SELECT {name} FROM first_load))""",
+        f"first_load AS (SELECT {name}, ROW_NUMBER() OVER (ORDER BY {name}) AS n FROM "
+        f"(SELECT DISTINCT {name} FROM {first} f WHERE {name} IS NOT NULL))")
+
+
+def _stable_keys(members: DataFrame, first: DataFrame, name: str, key: str) -> DataFrame:
+    from uptake.operators.keys import extend_key_map
+    from uptake.session import materialize
+    known = materialize(extend_key_map(first, [name], key), key)
+    both = extend_key_map(members, [name], key, known)
+    return both.join(known.select(name, F.lit(True).alias("in_first_load")), name, "left").select(
+        name, key, F.coalesce("in_first_load", F.lit(False)).alias("in_first_load"))
+
+
+@register("stable_user_keys", _stable_keys_sql("user_id", "user_key", "users", f"(SELECT * FROM users WHERE {FIRST_LOAD})"))
+def q_stable_user_keys(spark, sf):
+    u = tables(spark, sf).users
+    return _stable_keys(u, u.where(FIRST_LOAD), "user_id", "user_key")
+
+
+@register("stable_session_keys", _stable_keys_sql(
+    "session_id", "session_key", "usage_events", "(SELECT * FROM usage_events WHERE event_type = 'output_exported')"))
+def q_stable_session_keys(spark, sf):
+    e = tables(spark, sf).events
+    return _stable_keys(e, e.where("event_type = 'output_exported'"), "session_id", "session_key")
+
+
+@register("star_load", with_bind(_union_sql(
+    [f"SELECT {q(n)} AS table_name, COUNT(*) AS row_count, 2 AS version FROM {n}" for n in STAR_TABLES] +
+    ["SELECT 'key_business_unit', COUNT(*), 2 FROM dim_business_unit", "SELECT 'key_role', COUNT(*), 2 FROM dim_role",
+     "SELECT 'key_user', COUNT(*), 2 FROM users"]), STAR))
+def q_star_load(spark, sf):
+    """Two loads of the star schema, the second over the first; the tables of the current version."""
+    import uuid
+
+    from uptake.jobs import load_star
+    from uptake.operators import star as st
+    from uptake.session import ensure_checkpoint_dir
+    from uptake.sources.publish import read_current
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/star-{uuid.uuid4().hex}"
+    t = tables(spark, sf).replace(features=_given_features(spark, sf))
+    load_star(spark, t.where(users=FIRST_LOAD), base)
+    number = load_star(spark, t, base)["number"]
+    return st.table_row_counts(read_current(spark, base)).withColumn("version", F.lit(number))
+
+
+@register("user_day_refresh", with_bind(f"""
+SELECT user_id, CAST(event_timestamp AS DATE) AS date, COUNT(*) AS n_events, COUNT(*) FILTER (WHERE {M}) AS n_meaningful,
+       COUNT(*) FILTER (WHERE feature_name = {q(CFG.qualifying_feature)}) AS n_qualifying
+FROM usage_events WHERE user_id IS NOT NULL AND event_timestamp IS NOT NULL GROUP BY 1, 2"""))
+def q_user_day_refresh(spark, sf):
+    """The stored user-day summary after a first load of half of the days, a second of the others, and a late arrival."""
+    import uuid
+
+    from uptake.operators.user_day_store import refresh_user_day, stored_user_day
+    from uptake.session import ensure_checkpoint_dir
+    from uptake.sources.io import write_events
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/user-day-{uuid.uuid4().hex}"
+    t = tables(spark, sf)
+    odd_day, late = F.dayofmonth("event_timestamp") % 2 == 1, F.col("event_type") == "output_exported"
+    path = f"{base}/events"
+    for part, mode in ((odd_day & ~late, "overwrite"), (~odd_day & ~late, "append"), (late, "append")):
+        write_events(t.events.where(part), path, mode)
+        clean = t.replace(events=spark.read.parquet(path))
+        refresh_user_day(spark, clean, path, f"{base}/store", CFG)
+    return stored_user_day(spark, clean, f"{base}/store").user_day.select(
+        "user_id", "date", "n_events", "n_meaningful", "n_qualifying")
+
+
 @register("calendar_dim", with_bind("""
 SELECT CAST(d.dt AS DATE) AS date, CAST(date_trunc('week', d.dt) AS DATE) AS week_start_date,
        CAST(LEAST(GREATEST(date_diff('day', CAST(date_trunc('week', b.start) AS DATE),
@@ -1123,6 +1208,16 @@ def q_clean_calendar(spark, sf):
     return cleaned(spark, sf)["calendar"]
 
 
+@register("clean_features", with_bind("SELECT * FROM clean_features", FEATURES))
+def q_clean_features(spark, sf):
+    return _given_features(spark, sf)
+
+
+@register("quarantine_feedback", with_bind("SELECT * FROM quarantine_feedback", CLEAN))
+def q_quarantine_feedback(spark, sf):
+    return cleaned(spark, sf)["feedback"].quarantine
+
+
 @register("quarantine_bad_ts", with_bind("SELECT * FROM quarantine_events", CLEAN))
 def q_quarantine(spark, sf):
     return cleaned(spark, sf)["events"].quarantine

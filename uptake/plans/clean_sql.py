@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from uptake.config import AdoptionConfig
+from uptake.config import CANONICAL_FEATURES, AdoptionConfig
 from uptake.plans.bind_sql import case_pick, q
 from uptake.sources.dirty import BAD_DATES, BAD_TIMESTAMPS, FALSE_SPELLINGS, TRUE_SPELLINGS
 
@@ -21,8 +21,12 @@ def label_dirt(f: str, k: str, blank_mod: int = 503) -> str:
             f"WHEN {k} % 53 = 10 AND {f} = 'Document Summarization' THEN 'Doc Summarization' ELSE {f} END")
 
 
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[ \\t\\n\\r\\f\\v]+|[ \\t\\n\\r\\f\\v]+$', '', 'g')"
+
+
 def to_bool(x: str) -> str:
-    k = f"lower(trim(CAST({x} AS VARCHAR)))"
+    k = f"lower({strip(f'CAST({x} AS VARCHAR)')})"
     return f"(CASE WHEN {k} IN ('true', '1', 'yes') THEN TRUE WHEN {k} IN ('false', '0', 'no') THEN FALSE END)"
 
 
@@ -30,15 +34,15 @@ def normalize(x: str, canonical, variants: dict) -> str:
     lookup = {v.lower(): v for v in canonical}
     lookup.update(variants)
     whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in sorted(lookup.items()))
-    return f"(CASE WHEN {x} IS NULL OR trim({x}) = '' THEN {x} ELSE COALESCE(CASE lower(trim({x})) {whens} END, trim({x})) END)"
+    return f"(CASE WHEN {x} IS NULL OR {strip(x)} = '' THEN {x} ELSE COALESCE(CASE lower({strip(x)}) {whens} END, {strip(x)}) END)"
 
 
 def blank_null(x: str) -> str:
-    return f"(CASE WHEN trim({x}) <> '' THEN {x} END)"
+    return f"(CASE WHEN {strip(x)} <> '' THEN {x} END)"
 
 
 def is_blank(x: str) -> str:
-    return f"({x} IS NULL OR trim({x}) = '')"
+    return f"({x} IS NULL OR {strip(x)} = '')"
 
 
 def sdate(x: str) -> str:
@@ -59,10 +63,33 @@ def sint(x: str) -> str:
     return f"(CASE WHEN {v} = floor({v}) THEN TRY_CAST({v} AS INTEGER) END)"
 
 
+def smin(x: str) -> str:
+    """Minutes: the numeral itself, six decimals."""
+    return f"TRY_CAST({x} AS DECIMAL(18,6))"
+
+
 def not_in(x: str, values) -> str:
     return f"NOT COALESCE({x} IN ({', '.join(q(v) for v in values)}), FALSE)"
 
 
+FEATURES = f"""raw_features AS (
+    SELECT ' P' || lpad(CAST(k AS VARCHAR), 2, '0') AS feature_id,
+        CASE WHEN k = 9 THEN brand WHEN k < 8 THEN ' ' || {case_pick('k', CANONICAL_FEATURES)} || chr(9) END AS feature_name,
+        kind AS feature_category, persona AS target_persona,
+        CASE WHEN k = 5 THEN '2024-1-5' ELSE strftime(DATE '2024-01-01' + size, {D}) END AS release_date,
+        CASE k % 3 WHEN 0 THEN ' YES' WHEN 1 THEN '0' ELSE 'maybe' END AS core_feature_flag
+    FROM (SELECT CAST(p_partkey % 10 AS INTEGER) AS k, min(p_brand) AS brand, max(p_type) AS kind,
+                 CAST(max(p_size) AS INTEGER) AS size, min(p_type) AS persona FROM part GROUP BY 1)
+),
+clean_features AS (
+    SELECT {strip('feature_id')} AS feature_id, {strip('feature_name')} AS feature_name,
+        {strip('feature_category')} AS feature_category, {strip('target_persona')} AS target_persona,
+        CASE WHEN regexp_full_match(release_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN {sdate('release_date')} END AS release_date,
+        {to_bool('core_feature_flag')} AS core_feature_flag
+    FROM raw_features WHERE NOT {is_blank('feature_name')}
+)"""
+
+
 def dirty_ctes() -> str:
     bad_d = lambda k: case_pick(f"{k} % 997 - 1", BAD_DATES)
     bad_t = lambda k: case_pick(f"{k} % 997 - 1", BAD_TIMESTAMPS)
@@ -73,7 +100,7 @@ ru0 AS (
         CASE WHEN u.user_id % 53 = 7 THEN lower(u.business_unit) WHEN u.user_id % 53 = 8 THEN u.business_unit || ' '
              WHEN u.user_id % 53 = 9 AND u.business_unit = 'AUTOMOBILE' THEN 'Auto'
              WHEN u.user_id % 53 = 10 THEN 'Unassigned Unit' ELSE u.business_unit END AS business_unit,
-        CASE WHEN u.user_id % 31 = 3 THEN '  ' || u.role || ' ' ELSE u.role END AS role,
+        CASE WHEN u.user_id % 31 = 3 THEN '  ' || u.role || ' ' || chr(9) ELSE u.role END AS role,
         u.region, u.manager_level,
         strftime(u.hire_date, {D}) AS hire_date,
         CASE WHEN u.user_id % 997 BETWEEN 1 AND 4 THEN {bad_d('u.user_id')}
@@ -108,13 +135,18 @@ re1 AS (
         CASE WHEN k % 997 BETWEEN 1 AND 4 THEN {bad_t('k')} ELSE strftime(ts2, {TS}) END AS event_timestamp,
         session_id,
         {label_dirt('feature_name', 'k')} AS feature_name,
-        event_type,
+        CASE WHEN k % 41 = 5 THEN chr(10) || event_type || chr(9) ELSE event_type END AS event_type,
+        prompt_category, {spell_bool('output_exported_flag', '(k + 1)')} AS output_exported_flag,
         {spell_bool('successful_completion_flag', 'k')} AS successful_completion_flag,
         CASE WHEN k % 331 = 5 THEN '-' || CAST(estimated_minutes_saved AS VARCHAR)
+             WHEN k % 29 = 3 THEN CAST(estimated_minutes_saved AS VARCHAR) || '5'
+             WHEN estimated_minutes_saved IS NOT NULL AND k % 29 = 4 THEN '0.004'
              ELSE CAST(estimated_minutes_saved AS VARCHAR) END AS estimated_minutes_saved,
         CASE WHEN k % 331 = 6 THEN '-' || CAST(session_duration_seconds AS VARCHAR)
              ELSE CAST(session_duration_seconds AS VARCHAR) END AS session_duration_seconds,
-        CASE WHEN k % 37 = 4 THEN platform || ' ' ELSE platform END AS platform,
+        {spell_bool('error_flag', '(k + 2)')} AS error_flag,
+        CASE WHEN k % 37 = 4 THEN platform || ' ' WHEN k % 37 = 5 THEN chr(9) || platform ELSE platform END AS platform,
+        source_system,
         0 AS ingest_seq,
         strftime(ts2 + INTERVAL 1 HOUR, {TS}) AS copy_ts
     FROM re0
@@ -131,7 +163,7 @@ rf0 AS (
         CASE b.feedback_id % 500 WHEN 1 THEN '0' WHEN 2 THEN '6' WHEN 3 THEN '-1'
              ELSE CAST(b.rating_1_to_5 AS VARCHAR) END AS rating_1_to_5,
         b.sentiment_label,
-        CASE WHEN b.feedback_id % 71 = 3 THEN b.barrier_category || ' ' ELSE b.barrier_category END AS barrier_category,
+        CASE WHEN b.feedback_id % 71 = 3 THEN b.barrier_category || ' ' || chr(9) ELSE b.barrier_category END AS barrier_category,
         CASE WHEN b.free_text_feedback IS NULL AND b.feedback_id % 2 = 0 THEN '' ELSE b.free_text_feedback END
             AS free_text_feedback,
         {label_dirt('b.feature_name', 'b.feedback_id', 509)} AS feature_name,
@@ -182,9 +214,9 @@ def clean_ctes(cfg: AdoptionConfig) -> str:
 u_dedup AS (SELECT * FROM raw_users QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ingest_seq) = 1),
 u_p0 AS (
     SELECT user_id, business_unit AS _bu_raw, {bu('business_unit')} AS business_unit,
-        trim(role) AS role, trim(region) AS region, trim(manager_level) AS manager_level,
+        {strip('role')} AS role, {strip('region')} AS region, {strip('manager_level')} AS manager_level,
         {', '.join(f'{c} AS _{c}_raw, {sdate(c)} AS {c}' for c in dates)},
-        {sint('rollout_wave')} AS rollout_wave, trim(training_format) AS training_format,
+        {sint('rollout_wave')} AS rollout_wave, {strip('training_format')} AS training_format,
         {to_bool('manager_champion_flag')} AS manager_champion_flag,
         {to_bool('eligible_for_access_flag')} AS eligible_for_access_flag
     FROM u_dedup
@@ -220,9 +252,9 @@ e_v AS (
     SELECT *, {not_in("COALESCE(feature_name, '')", feats_blank)} AS _f_variant,
         {blank_null(ft('feature_name'))} AS _feature,
         {sdouble('session_duration_seconds')} < 0 AS _neg_dur,
-        TRY_CAST({sdouble('estimated_minutes_saved')} AS DECIMAL(18,2)) < 0 AS _neg_min,
+        {smin('estimated_minutes_saved')} < 0 AS _neg_min,
         {sdouble('session_duration_seconds')} AS _dur,
-        TRY_CAST({sdouble('estimated_minutes_saved')} AS DECIMAL(18,2)) AS _min
+        {smin('estimated_minutes_saved')} AS _min
     FROM e_ts WHERE event_timestamp IS NOT NULL
 ),
 e_j0 AS (
@@ -248,11 +280,13 @@ e_counts AS (
     FROM e_j
 ),
 clean_events AS (
-    SELECT event_id, user_id, event_timestamp, session_id, _feature AS feature_name, trim(event_type) AS event_type,
+    SELECT event_id, user_id, event_timestamp, session_id, _feature AS feature_name, {strip('event_type')} AS event_type, prompt_category,
+        {to_bool('output_exported_flag')} AS output_exported_flag,
         {to_bool('successful_completion_flag')} AS successful_completion_flag,
         CASE WHEN NOT _neg_min THEN _min END AS estimated_minutes_saved,
         CASE WHEN NOT _neg_dur THEN _dur END AS session_duration_seconds,
-        trim(platform) AS platform, _access IS NULL AS no_access_on_file
+        {strip('platform')} AS platform, {to_bool('error_flag')} AS error_flag,
+        source_system, _access IS NULL AS no_access_on_file
     FROM e_j WHERE NOT _pre AND NOT _after
 ),
 f_dedup AS (SELECT * FROM raw_feedback QUALIFY ROW_NUMBER() OVER (PARTITION BY feedback_id ORDER BY ingest_seq) = 1),
@@ -278,7 +312,7 @@ f_counts AS (
 clean_feedback AS (
     SELECT feedback_id, user_id, feedback_timestamp,
         CAST(CASE WHEN NOT _bad_rating THEN _rating END AS INTEGER) AS rating_1_to_5,
-        trim(sentiment_label) AS sentiment_label, trim(barrier_category) AS barrier_category,
+        {strip('sentiment_label')} AS sentiment_label, {strip('barrier_category')} AS barrier_category,
         CASE WHEN free_text_feedback <> '' THEN free_text_feedback END AS free_text_feedback,
         _feature AS feature_name, {to_bool('would_recommend_flag')} AS would_recommend_flag
     FROM f_v

@@ -4,7 +4,7 @@ They exercise the cleaning operators the way raw exports would (FIXTURES.md
 §4): duplicate ids whose copies differ, unparseable timestamps and dates,
 label variants, negative values, blanks, odd boolean spellings, events before
 access or after the calendar. Every rule is a function of the row id, so the
-SQL twin in :mod:`uptake.plans.dirty_sql` reproduces it exactly.
+SQL twin in :mod:`uptake.plans.clean_sql` reproduces it exactly.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def raw_users(t: Tables) -> DataFrame:
         F.when(k % 53 == 7, F.lower(bu)).when(k % 53 == 8, F.concat(bu, F.lit(" ")))
         .when((k % 53 == 9) & (bu == "AUTOMOBILE"), F.lit("Auto"))
         .when(k % 53 == 10, F.lit("Unassigned Unit")).otherwise(bu).alias("business_unit"),
-        F.when(k % 31 == 3, F.concat(F.lit("  "), F.col("role"), F.lit(" "))).otherwise(F.col("role")).alias("role"),
+        F.when(k % 31 == 3, F.concat(F.lit("  "), F.col("role"), F.lit(" \t"))).otherwise(F.col("role")).alias("role"),
         "region", "manager_level",
         _dstr(F.col("hire_date")).alias("hire_date"),
         F.when((k % 997 >= 1) & (k % 997 <= 4), _pick(BAD_DATES, k % 997 - 1))
@@ -101,11 +101,17 @@ def raw_events(t: Tables) -> DataFrame:
         .alias("event_timestamp"),
         "session_id",
         label_dirt(F.col("feature_name"), i).alias("feature_name"),
-        "event_type",
+        F.when(i % 41 == 5, F.concat(F.lit("\n"), F.col("event_type"), F.lit("\t"))).otherwise(F.col("event_type")).alias("event_type"),
+        "prompt_category",
+        spell_bool(F.col("output_exported_flag"), i + 1).alias("output_exported_flag"),
         spell_bool(F.col("successful_completion_flag"), i).alias("successful_completion_flag"),
-        F.when(i % 331 == 5, F.concat(F.lit("-"), m)).otherwise(m).alias("estimated_minutes_saved"),
+        F.when(i % 331 == 5, F.concat(F.lit("-"), m)).when(i % 29 == 3, F.concat(m, F.lit("5")))
+        .when(m.isNotNull() & (i % 29 == 4), F.lit("0.004")).otherwise(m).alias("estimated_minutes_saved"),
         F.when(i % 331 == 6, F.concat(F.lit("-"), dur)).otherwise(dur).alias("session_duration_seconds"),
-        F.when(i % 37 == 4, F.concat(F.col("platform"), F.lit(" "))).otherwise(F.col("platform")).alias("platform"),
+        spell_bool(F.col("error_flag"), i + 2).alias("error_flag"),
+        F.when(i % 37 == 4, F.concat(F.col("platform"), F.lit(" "))).when(i % 37 == 5, F.concat(F.lit("\t"), F.col("platform")))
+        .otherwise(F.col("platform")).alias("platform"),
+        "source_system",
         F.lit(0).alias("ingest_seq"),
         _tstr(ts + F.expr("INTERVAL 1 HOURS")).alias("_copy_ts"),
     )
@@ -122,7 +128,7 @@ def raw_feedback(t: Tables) -> DataFrame:
         F.when(k % 500 == 1, F.lit("0")).when(k % 500 == 2, F.lit("6")).when(k % 500 == 3, F.lit("-1"))
         .otherwise(r).alias("rating_1_to_5"),
         "sentiment_label",
-        F.when(k % 71 == 3, F.concat(F.col("barrier_category"), F.lit(" "))).otherwise(F.col("barrier_category"))
+        F.when(k % 71 == 3, F.concat(F.col("barrier_category"), F.lit(" \t"))).otherwise(F.col("barrier_category"))
         .alias("barrier_category"),
         F.when(F.col("free_text_feedback").isNull() & (k % 2 == 0), F.lit("")).otherwise(F.col("free_text_feedback"))
         .alias("free_text_feedback"),

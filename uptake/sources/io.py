@@ -1,12 +1,10 @@
-"""Readers and writers (SRC-1 ... SRC-4, SNK-1 ... SNK-5)."""
+"""Readers and writers of typed tables (SRC-2 ... SRC-4, SNK-1 ... SNK-5); raw CSV is read by ``csv_records``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from uptake.config import CSV_NA_TOKENS
 from uptake.tables import Tables
 
 TABLE_NAMES = ("users", "events", "feedback", "calendar", "features", "training")
@@ -18,8 +16,9 @@ CLEAN_SCHEMAS = {
              "training_completed_date date, training_format string, manager_champion_flag boolean, "
              "eligible_for_access_flag boolean",
     "events": "event_id string, user_id string, event_timestamp timestamp_ntz, session_id string, "
-              "feature_name string, event_type string, successful_completion_flag boolean, "
-              "estimated_minutes_saved decimal(18,2), session_duration_seconds double, platform string",
+              "feature_name string, event_type string, prompt_category string, output_exported_flag boolean, "
+              "successful_completion_flag boolean, estimated_minutes_saved decimal(18,6), session_duration_seconds double, "
+              "error_flag boolean, platform string, source_system string",
     "feedback": "feedback_id string, user_id string, feedback_timestamp timestamp_ntz, rating_1_to_5 int, "
                 "sentiment_label string, barrier_category string, free_text_feedback string, "
                 "feature_name string, would_recommend_flag boolean",
@@ -33,26 +32,6 @@ CLEAN_SCHEMAS = {
 }
 
 
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
-    """SRC-1: every column as string, header row, NA tokens to null, plus an
-    ingest order (file, position) for keep-first dedup. No schema inference.
-
-    Quotes inside quoted text are doubled. Quoted text may hold line ends; files known to have none can be read with
-    ``multi_line=False``, which splits large files over tasks."""
-    reader = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-              .option("escape", '"').option("multiLine", multi_line)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    df = reader.csv(path)
-    df = df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
-    df = df.select(*[F.when(~F.col(c).isin(*CSV_NA_TOKENS), F.col(c)).alias(c) for c in df.columns])
-    # position is monotonically increasing within a split; (file, block start, position) orders rows as
-    # ingested as long as the split planning is unchanged between runs.
-    return df.withColumn("ingest_seq", F.struct(
-        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
-
-
 def load_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> Tables:
     """SRC-2: the six clean tables, typed (parquet, or CSV with the fixed schema)."""
     def one(name):

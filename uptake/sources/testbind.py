@@ -22,6 +22,8 @@ TRAINING_FORMATS = ("Live Virtual", "Self-Paced eLearning", "In-Person Workshop"
 SESSION_TOPICS = ("Prompt Writing Basics", "Responsible AI & Approved Use Cases",
                   "Advanced Data Analysis Features", "Knowledge Search Deep Dive")  # by id % 4
 PLATFORMS = ("Web", "Desktop", "Mobile")  # by event_id % 3
+SOURCE_SYSTEMS = ("web_app", "desktop_client", "mobile_app")  # by event_id % 3, as the platform
+PROMPT_CATEGORIES = ("General Q&A", "Summaries", "Drafting", "Data Questions")  # by event_id % 4, none for event_id % 11 = 3
 EVENT_TYPE_MAP = {"view": "prompt_submitted", "click": "output_generated",
                   "signup": "app_opened", "error": "error_encountered"}
 BARRIER_BY_PRIORITY = {
@@ -101,6 +103,7 @@ def bind_events(events: DataFrame, users: DataFrame) -> DataFrame:
             F.concat_ws("-", F.lit("S"), uid.cast("string"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
             F.when(usage & (j % 9 < 8), _pick(CANONICAL_FEATURES, j % 9)).alias("feature_name"),
             mapped.alias("event_type"),
+            F.when(eid % 11 != 3, _pick(PROMPT_CATEGORIES, eid % 4)).alias("prompt_category"),
             (mapped == "output_exported").alias("output_exported_flag"),
             ok.alias("successful_completion_flag"),
             F.when(usage & et.isin("click", "purchase") & (eid % 14 != 0), F.col("value").cast("decimal(18,2)"))
@@ -108,6 +111,7 @@ def bind_events(events: DataFrame, users: DataFrame) -> DataFrame:
             (eid % 600 + 5).cast("int").alias("session_duration_seconds"),
             (usage & (et == "error")).alias("error_flag"),
             _pick(PLATFORMS, eid % 3).alias("platform"),
+            _pick(SOURCE_SYSTEMS, eid % 3).alias("source_system"),
         )
     )
 
@@ -173,6 +177,23 @@ def feature_catalog(spark: SparkSession) -> DataFrame:
     )
 
 
+def bind_raw_features(part: DataFrame) -> DataFrame:
+    """A raw, all-string feature catalog of the parts: one row for each last digit of a part number.
+
+    Digits 0 to 7 are the canonical features, 8 has no name and 9 is one more feature, named after a brand; category,
+    persona, release date and flag come from the parts, with the odd spellings that the cleaning has to mend."""
+    k = (F.col("p_partkey") % 10).cast("int")
+    rows = part.groupBy(k.alias("k")).agg(
+        F.min("p_brand").alias("brand"), F.max("p_type").alias("kind"), F.max("p_size").alias("size"), F.min("p_type").alias("persona"))
+    k = F.col("k")
+    return rows.select(
+        F.concat(F.lit(" P"), F.lpad(k.cast("string"), 2, "0")).alias("Feature ID"),
+        F.when(k == 9, F.col("brand")).when(k < 8, F.concat(F.lit(" "), _pick(CANONICAL_FEATURES, k), F.lit("\t"))).alias("feature_name"),
+        F.col("kind").alias("feature_category"), F.col("persona").alias("target_persona"),
+        F.when(k == 5, F.lit("2024-1-5")).otherwise(F.date_format(_day("2024-01-01", F.col("size")), "yyyy-MM-dd")).alias("release_date"),
+        F.when(k % 3 == 0, F.lit(" YES")).when(k % 3 == 1, F.lit("0")).otherwise(F.lit("maybe")).alias("core_feature_flag"))
+
+
 def bind_training(supplier: DataFrame) -> DataFrame:
     s = F.col("s_suppkey")
     reg = (s % 100 + 20).cast("int")
