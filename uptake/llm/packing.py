@@ -11,8 +11,12 @@ no pieces; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
+import sys
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +69,98 @@ def _curve_key(ids: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return (vec / max(np.linalg.norm(vec), 1e-12)) @ signs
 
 
+#: The pattern by which the tokenizer of the contract cuts texts into pieces, and the same for texts of
+#: printable ASCII, accented Latin letters and white space, whose lower case and classes no Unicode version changes
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN_TEXT = re.compile("[ -~\n\t\r\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]*")
+LATIN_PIECE = re.compile(
+    "[a-z\u00df-\u00f6\u00f8-\u017e]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^a-z0-9 \n\t\r\u00df-\u00f6\u00f8-\u017e]+")
+
+
+class Known:
+    """Ids of words, in two generations of at most ``ENTRIES`` and one text's more: when the younger is full it becomes
+    the older, whose words are taken over as they are met again and else forgotten. Long words are not kept."""
+
+    ENTRIES, LONG = 1 << 17, 64
+
+    def __init__(self, ids: Callable[[str], bytes]):
+        self.ids, self.young, self.old = ids, {}, {}
+
+    def of(self, words: list[str]) -> bytes:
+        if len(self.young) >= self.ENTRIES:
+            self.young, self.old = {}, self.young
+        known, unkept = self.young, []
+        for w in set(words).difference(known):
+            got = self.old.get(w)
+            known[w] = self.ids(w) if got is None else got
+            if len(w) > self.LONG:
+                unkept.append(w)
+        out = b"".join([known[w] for w in words])
+        for w in unkept:
+            del known[w]
+        return out
+
+
+class Encoder:
+    """Token ids of texts as little-endian bytes, equal to those of the tokenizer's ``encode``.
+
+    Where the tokenizer drops white space and normalises character by character (see ``_by_words``), a text's ids are
+    those of its words in a row, so a word is normalised, cut and merged by the tokenizer's own parts once and looked
+    up from then on; texts of Latin letters are cut into the tokenizer's pieces at once. Other tokenizers encode each
+    text.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True
+        self.type, self.code = ("<u2", "H") if self.tok.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.by_words, self.latin = _by_words(self.tok)
+        self.words, self.pieces = Known(self._word), Known(self._piece)
+
+    def _pack(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _cut(self, normal: str) -> bytes:
+        pieces = self.tok.pre_tokenizer.pre_tokenize_str(normal)
+        return b"".join([self._pack([t.id for t in self.tok.model.tokenize(p)]) for p, _ in pieces])
+
+    def _word(self, word: str) -> bytes:
+        return self._cut(self.tok.normalizer.normalize_str(word))
+
+    def _piece(self, piece: str) -> bytes:
+        # bytes of printable ASCII stand for themselves in the model
+        return self._pack([t.id for t in self.tok.model.tokenize(piece)]) if piece.isascii() else self._cut(piece)
+
+    def __call__(self, text: str) -> bytes:
+        if not self.by_words:
+            return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
+        if self.latin and LATIN_TEXT.fullmatch(text):
+            return self.pieces.of(LATIN_PIECE.findall(text.lower()))
+        return self.words.of(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
+
+
+def _by_words(tok) -> tuple[bool, bool]:
+    """Whether ids of a text are the ids of its words in a row: no added tokens but special ones (which are ordinary text
+    here), a normalizer of steps that do not look across white space, a pre-tokenizer that drops it. And whether the
+    pre-tokenizer is that of ``PIECE`` over bytes, after lower-casing."""
+    spec = json.loads(tok.to_str())
+    norm = spec["normalizer"] or {}
+    steps = norm.get("normalizers", [norm] if norm else [])
+    plain = all(n["type"] in ("NFC", "Lowercase") or (n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} and n["content"] == " ")
+                for n in steps)
+    if not steps or not plain or spec["pre_tokenizer"] is None or not all(t["special"] for t in spec["added_tokens"]):
+        return False, False
+    cut = spec["pre_tokenizer"].get("pretokenizers", [])
+    latin = [n["type"] for n in steps] == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cut] == ["Split", "ByteLevel"] and (
+        cut[0]["pattern"], cut[0]["behavior"], cut[0]["invert"]) == ({"Regex": PIECE}, "Removed", True) and not (
+        cut[1]["add_prefix_space"] or cut[1]["use_regex"])
+    return [p for p, _ in tok.pre_tokenizer.pre_tokenize_str(" a  b\tc\n")] == ["a", "b", "c"], latin
+
+
 def tokens(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Rows ``(doc_id, ids binary, n long, curve long)``: little-endian unsigned ids, the end id included."""
     schema = "doc_id long, ids binary, n long, curve long"
@@ -73,21 +169,18 @@ def tokens(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(tokenizer)
-        tok.encode_special_tokens = True
-        width = "<u2" if tok.get_vocab_size() <= 1 << 16 else "<u4"
+        encode = Encoder(tokenizer)
+        end = np.array([end_id], dtype=encode.type).tobytes()
         signs = _signs()
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 block = batch.slice(at, TEXTS)
-                ids = [np.array([*tok.encode(t, add_special_tokens=False).ids, end_id], dtype=np.int64)
-                       for t in block.column(1).to_pylist()]
+                raw = [encode(t) + end for t in block.column(1).to_pylist()]
+                ids = [np.frombuffer(r, dtype=encode.type) for r in raw]
                 flat = np.stack([_curve_key(i, signs) for i in ids])
                 cells = np.clip((flat + 1.5) / 3 * (1 << BITS), 0, (1 << BITS) - 1)
                 yield pa.RecordBatch.from_arrays([
-                    block.column(0).cast(pa.int64()), pa.array([i.astype(width).tobytes() for i in ids], pa.binary()),
-                    pa.array([len(i) for i in ids], pa.int64()),
+                    block.column(0).cast(pa.int64()), pa.array(raw, pa.binary()), pa.array([len(i) for i in ids], pa.int64()),
                     pa.array(hilbert_index(cells, BITS), pa.int64())], schema=out)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).mapInArrow(run, schema)
