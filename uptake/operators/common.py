@@ -78,12 +78,18 @@ def bounded_broadcast(df: DataFrame, source: DataFrame | None = None, max_rows:
     return F.broadcast(df) if fits_broadcast(source if source is not None else df, max_rows) else df
 
 
+MAX_PIVOT_VALUES = 1000
+
+
 def pivot_values(df: DataFrame, column: str, listed: list[str]) -> list[str]:
     """Columns of a pivot: the listed values, then all others present, so that no row is lost.
 
-    ``df`` is a small table (users, or rows already aggregated); the columns of a result must be known to plan it.
+    The columns of a result must be known to plan it, so the different values are fetched: at most ``MAX_PIVOT_VALUES``,
+    and more are an error rather than a lost column or a result too wide to read.
     """
-    present = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().orderBy(column).collect()
+    present = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().orderBy(column).limit(MAX_PIVOT_VALUES + 1).collect()
+    if len(present) > MAX_PIVOT_VALUES:
+        raise ValueError(f"{column} has more than {MAX_PIVOT_VALUES} values: too many for columns")
     return [*listed, *(r[0] for r in present if r[0] not in listed)]
 
 
@@ -100,20 +106,10 @@ def week_ends(t: Tables) -> DataFrame:
     )
 
 
-def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
-    """One row per (user_id, date) with any event: the shared event summary.
-
-    Every user-level metric (activation, time-to-value, dormancy, WAU,
-    retention, trailing windows) is derived from this one partially
-    aggregated pass over the events, so a query touching several of them
-    reads and shuffles the event table once (identical sub-plans are reused
-    by Spark's exchange reuse), and a user owning a third of the events is
-    reduced to one row per day before any shuffle.
-    """
-    if t.user_day is not None:
-        return t.user_day
+def user_day_rows(events: DataFrame, cfg: AdoptionConfig) -> DataFrame:
+    """One row per (user_id, date) with any event: the event summary, merged map-side."""
     ts = F.col("event_timestamp")
-    d = event_date(t.events)
+    d = event_date(events)
     m = F.col("event_type").isin(*cfg.meaningful_event_types)
     q = F.coalesce(F.col("feature_name") == cfg.qualifying_feature, F.lit(False))
     value_ok = F.col("event_type").isin(*cfg.value_event_types) & F.coalesce("successful_completion_flag", F.lit(False))
@@ -121,7 +117,7 @@ def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     # them). Stating the filter here, rather than leaving Catalyst to infer it
     # from a calendar join in some branches only, keeps every branch's
     # summary sub-plan identical, so exchange reuse runs it once.
-    return t.events.where(d.isNotNull() & F.col("user_id").isNotNull()).groupBy("user_id", d.alias("date")).agg(
+    return events.where(d.isNotNull() & F.col("user_id").isNotNull()).groupBy("user_id", d.alias("date")).agg(
         F.count_if(m).alias("n_meaningful"),
         F.count_if(m & (ts == d.cast("timestamp_ntz"))).alias("n_meaningful_midnight"),
         F.count_if(q).alias("n_qualifying"),
@@ -133,6 +129,41 @@ def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     )
 
 
+def known_users(rows: DataFrame, t: Tables) -> DataFrame:
+    """D19: activity of users that the users table does not have belongs to no metric. Applied to rows that were
+    aggregated per user, never to raw events."""
+    return rows.join(t.users.select("user_id"), "user_id", "left_semi")
+
+
+def user_day_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
+    """One row per (user_id, date) with any event of a known user: the shared event summary.
+
+    Every user-level metric (activation, time-to-value, dormancy, WAU,
+    retention, trailing windows) is derived from this one partially
+    aggregated pass over the events, so a query touching several of them
+    reads and shuffles the event table once (identical sub-plans are reused
+    by Spark's exchange reuse), and a user owning a third of the events is
+    reduced to one row per day before any shuffle.
+    """
+    return t.user_day if t.user_day is not None else known_users(user_day_rows(t.events, cfg), t)
+
+
+def user_feature_rows(events: DataFrame, cfg: AdoptionConfig) -> DataFrame:
+    """One row per (user_id, date, feature_name) with an adoption event or a successful value event with an estimate."""
+    adopts = F.col("event_type").isin(*cfg.adoption_event_types)
+    saves = (F.col("event_type").isin(*cfg.value_event_types) & F.coalesce("successful_completion_flag", F.lit(False))
+             & F.col("estimated_minutes_saved").isNotNull())
+    return events.where(F.col("feature_name").isNotNull() & F.col("user_id").isNotNull() & (adopts | saves)).groupBy(
+        "user_id", event_date(events).alias("date"), "feature_name").agg(
+        F.count_if(adopts).alias("n_adoptions"), F.count_if(saves).alias("n_estimates"),
+        F.sum(F.when(saves, F.col("estimated_minutes_saved"))).alias("minutes"))
+
+
+def user_feature_activity(t: Tables, cfg: AdoptionConfig) -> DataFrame:
+    """The summary of ``user_feature_rows`` for known users: what feature adoption and time saved are derived from."""
+    return t.user_feature if t.user_feature is not None else known_users(user_feature_rows(t.events, cfg), t)
+
+
 def active_days(t: Tables, cfg: AdoptionConfig) -> DataFrame:
     """User-days with at least one meaningful event."""
     return user_day_activity(t, cfg).where(F.col("n_meaningful") > 0)
@@ -141,8 +172,10 @@ def active_days(t: Tables, cfg: AdoptionConfig) -> DataFrame:
 def precompute(t: Tables, cfg: AdoptionConfig) -> Tables:
     """Materialise the user-day summary once (in the shared checkpoint folder)
     so every report of a batch run reads it instead of the events."""
+    if t.user_day_stored:
+        return t
     from uptake.session import materialize
-    return t.replace(user_day=materialize(user_day_activity(t.replace(user_day=None), cfg), "user_day"))
+    return t.replace(user_day=materialize(user_day_activity(t, cfg), "user_day"), user_day_stored=True)
 
 
 def last_event_date(t: Tables, cfg: AdoptionConfig) -> Column:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uptake.config import ALL_EVENT_TYPES, AdoptionConfig, DEFAULT_CONFIG
 from uptake.operators import feedback, population, retention
 from uptake.operators.activity import weekly_active_users
+from uptake.operators.common import known_users, user_day_rows
+from uptake.session import materialize
 from uptake.tables import Tables
 
 
@@ -18,9 +20,12 @@ def required_columns(df: DataFrame, required) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-def _check(name: str, failures: DataFrame) -> DataFrame:
-    return failures.select(F.lit(name).alias("check_name"), F.col("failures").cast("long"),
-                           (F.col("failures") == 0).alias("passed"))
+def _fused(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """One row per rule from one aggregate that counts the failures of all of them."""
+    counts = df.agg(*[c.cast("long").alias(f"n{i}") for i, c in enumerate(rules.values())])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col(f"n{i}").alias("failures"), (F.col(f"n{i}") == 0).alias("passed"))
+        for i, name in enumerate(rules)])))
 
 
 # E-2 default: every table has at least one row (bounds are inclusive; None = unbounded)
@@ -28,9 +33,8 @@ DEFAULT_ROW_BOUNDS = {name: (1, None) for name in
                       ("users", "events", "feedback", "calendar", "features", "training")}
 
 
-def row_count_failures(df: DataFrame, bounds: tuple[int | None, int | None]) -> DataFrame:
-    """1 failure when the table's row count is outside [lo, hi] (one partial
-    count per task, no shuffle of rows)."""
+def rows_outside(bounds: tuple[int | None, int | None]) -> Column:
+    """Aggregate: 1 failure when the table's row count is outside [lo, hi]."""
     lo, hi = bounds
     n = F.count(F.lit(1))
     ok = F.lit(True)
@@ -38,11 +42,16 @@ def row_count_failures(df: DataFrame, bounds: tuple[int | None, int | None]) ->
         ok = ok & (n >= lo)
     if hi is not None:
         ok = ok & (n <= hi)
-    return df.agg(F.when(ok, 0).otherwise(1).alias("failures"))
+    return F.when(ok, 0).otherwise(1)
+
+
+def row_count_failures(df: DataFrame, bounds: tuple[int | None, int | None]) -> DataFrame:
+    """E-2 for one table: a row ``(failures)``, one partial count per task."""
+    return df.agg(rows_outside(bounds).alias("failures"))
 
 
 def values_outside(df: DataFrame, col: str, allowed) -> DataFrame:
-    """Non-null values of ``col`` outside the canonical set."""
+    """E-4 for one column: non-null values outside the canonical set, a row ``(failures)``."""
     c = F.col(col)
     return df.agg(F.count_if(c.isNotNull() & ~c.isin(*allowed)).alias("failures"))
 
@@ -53,42 +62,58 @@ def expectations_report(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG,
 
     E-2 row counts per table (``row_bounds``: table -> (min, max)), E-3 unique
     keys, E-4 canonical value sets (null allowed), E-5 numeric bounds, E-6
-    cross-table date order, E-7 metric invariants.
+    cross-table date order, E-7 metric invariants. The events are read three
+    times: for the rules on their rows, for their keys, and for the user-day
+    summary, written once, that all metric invariants read.
     """
     bounds = DEFAULT_ROW_BOUNDS if row_bounds is None else row_bounds
     frames = {"users": t.users, "events": t.events, "feedback": t.feedback, "calendar": t.calendar,
               "features": t.features, "training": t.training}
+    # per (user, day) counts first: the users join then sees user-day rows, not raw events
+    days = materialize(user_day_rows(t.events, cfg), "user_day")
+    t = t.replace(user_day=known_users(days, t), user_day_stored=True)
+    ev = days.select("user_id", "date", "n_events").join(t.users.select("user_id", "assigned_access_date"), "user_id", "left")
     act = population.activation_rate(t, cfg, "business_unit")
     ret = retention.retention_cohorts(t, cfg)
     ranks = feedback.barrier_ranking(t, cfg)
     wau = weekly_active_users(t, cfg)
-    # per (user, day) counts first: the users join then sees user-day rows, not raw events
-    ev = (t.events.groupBy("user_id", F.to_date("event_timestamp").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-          .join(t.users.select("user_id", "assigned_access_date"), "user_id", "left"))
-    checks = [
-        ("unique user_id", t.users.groupBy("user_id").count().where("count > 1").agg(F.count(F.lit(1)).alias("failures"))),
-        ("unique event_id", t.events.groupBy("event_id").count().where("count > 1").agg(F.count(F.lit(1)).alias("failures"))),
-        ("no event before access date", ev.agg(F.coalesce(F.sum(F.when(
-            F.col("d") < F.col("assigned_access_date"), F.col("n"))), F.lit(0)).alias("failures"))),
-        ("no negative minutes or duration", t.events.agg(F.count_if(
-            (F.col("estimated_minutes_saved") < 0) | (F.col("session_duration_seconds") < 0)).alias("failures"))),
-        ("ratings within 1-5", t.feedback.agg(F.count_if(~F.col("rating_1_to_5").between(1, 5)).alias("failures"))),
-        ("activated <= eligible", act.agg(F.count_if(F.col("activated_users") > F.col("eligible_users")).alias("failures"))),
-        ("activation rate within 0-100", act.agg(F.count_if(~F.col("activation_rate_pct").between(0, 100)).alias("failures"))),
-        ("week-0 retention is 100", ret.where("weeks_since_activation = 0").agg(
-            F.count_if(F.col("retention_rate_pct") != 100.0).alias("failures"))),
-        ("barrier ranks start at 1", ranks.groupBy("business_unit").agg(F.min("barrier_rank").alias("m"))
-         .agg(F.count_if(F.col("m") != 1).alias("failures"))),
-        ("every calendar week has WAU", t.calendar.select("week_number").distinct()
-         .join(wau, "week_number", "left_anti").agg(F.count(F.lit(1)).alias("failures"))),
-        ("business_unit in canonical set", values_outside(t.users, "business_unit", cfg.canonical_business_units)),
-        ("event_type in canonical set", values_outside(t.events, "event_type", ALL_EVENT_TYPES)),
-        ("event feature_name in canonical set", values_outside(t.events, "feature_name", cfg.feature_names)),
-        ("feedback feature_name in canonical set", values_outside(t.feedback, "feature_name", cfg.feature_names)),
-        ("barrier_category in canonical set", values_outside(t.feedback, "barrier_category", cfg.barrier_categories)),
+    zero = F.lit(0).cast("long")
+
+    def outside(c: str, allowed) -> Column:
+        return F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*allowed))
+
+    # rules on the rows of one table are aggregates of one pass over it
+    row_rules = {
+        "users": {"business_unit in canonical set": outside("business_unit", cfg.canonical_business_units)},
+        "events": {
+            "no negative minutes or duration": F.count_if((F.col("estimated_minutes_saved") < 0) | (F.col("session_duration_seconds") < 0)),
+            "event_type in canonical set": outside("event_type", ALL_EVENT_TYPES),
+            "event feature_name in canonical set": outside("feature_name", cfg.feature_names),
+        },
+        "feedback": {
+            "ratings within 1-5": F.count_if(~F.col("rating_1_to_5").between(1, 5)),
+            "feedback feature_name in canonical set": outside("feature_name", cfg.feature_names),
+            "barrier_category in canonical set": outside("barrier_category", cfg.barrier_categories),
+        },
+    }
+    for name, bound in bounds.items():
+        row_rules.setdefault(name, {})[f"{name} row count in range"] = rows_outside(bound)
+    act_rules = {
+        "activated <= eligible": F.count_if(F.col("activated_users") > F.col("eligible_users")),
+        "activation rate within 0-100": F.count_if(~F.col("activation_rate_pct").between(0, 100)),
+    }
+    checks = [_fused(frames[name], rules) for name, rules in row_rules.items()] + [
+        _fused(act, act_rules),
+        _fused(t.users.groupBy("user_id").count(), {"unique user_id": F.count_if(F.col("count") > 1)}),
+        _fused(t.events.groupBy("event_id").count(), {"unique event_id": F.count_if(F.col("count") > 1)}),
+        _fused(ev, {"no event before access date": F.coalesce(
+            F.sum(F.when(F.col("date") < F.col("assigned_access_date"), F.col("n_events"))), zero)}),
+        _fused(ret.where("weeks_since_activation = 0"), {"week-0 retention is 100": F.count_if(F.col("retention_rate_pct") != 100.0)}),
+        _fused(ranks.groupBy("business_unit").agg(F.min("barrier_rank").alias("m")), {"barrier ranks start at 1": F.count_if(F.col("m") != 1)}),
+        _fused(t.calendar.select("week_number").distinct().join(wau, "week_number", "left_anti"),
+               {"every calendar week has WAU": F.count(F.lit(1))}),
     ]
-    checks += [(f"{name} row count in range", row_count_failures(frames[name], b)) for name, b in bounds.items()]
-    return reduce(DataFrame.unionByName, [_check(n, d) for n, d in checks])
+    return reduce(DataFrame.unionByName, checks)
 
 
 def null_segment_counts(t: Tables, segments) -> DataFrame:

@@ -7,21 +7,17 @@ from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
-from uptake.operators.common import Segment, bounded_broadcast, day_weeks, event_date, not_null, pivot_values, seg_list
+from uptake.operators.common import Segment, bounded_broadcast, day_weeks, not_null, pivot_values, seg_list, user_feature_activity
 from uptake.operators.population import eligible_users
 from uptake.tables import Tables
 
 
 def adopter_pairs(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Distinct (user_id, feature_name) with an adoption event on a known feature."""
-    return (
-        t.events.where(F.col("event_type").isin(*cfg.adoption_event_types) & F.col("feature_name").isNotNull())
-        .select("user_id", "feature_name")
-        .distinct()
-    )
+    return user_feature_activity(t, cfg).where("n_adoptions > 0").select("user_id", "feature_name").distinct()
 
 
-def _feature_list(t: Tables, core_only: bool = False):
+def feature_list(t: Tables, core_only: bool = False):
     """The catalog's feature names as a scalar array (dimension-sized)."""
     f = t.features.where(F.col("core_feature_flag")) if core_only else t.features
     return f.agg(F.array_sort(F.collect_set("feature_name")).alias("f")).scalar()
@@ -41,7 +37,7 @@ def feature_adoption(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: S
         adopter_pairs(t, cfg).join(el, "user_id")
         .groupBy(*cols, "feature_name").agg(F.count(F.lit(1)).alias("adopted_users"))
     )
-    grid = denom.select(*cols, "eligible_users", F.explode(_feature_list(t)).alias("feature_name"))
+    grid = denom.select(*cols, "eligible_users", F.explode(feature_list(t)).alias("feature_name"))
     return (
         grid.join(adopted, [*cols, "feature_name"], "left")
         .withColumn("adopted_users", F.coalesce("adopted_users", F.lit(0)).cast("long"))
@@ -73,9 +69,8 @@ def role_feature_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, row: st
 
 def feature_usage_trend(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Distinct adopting users per week x feature (adoption events, known feature)."""
-    ev = t.events.where(F.col("event_type").isin(*cfg.adoption_event_types) & F.col("feature_name").isNotNull())
     return (
-        ev.withColumn("date", event_date(ev)).join(day_weeks(t), "date")
+        user_feature_activity(t, cfg).where("n_adoptions > 0").join(day_weeks(t), "date")
         .groupBy("week_number", "feature_name")
         .agg(F.count_distinct("user_id").alias("adopting_users"))
     )

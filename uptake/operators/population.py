@@ -66,3 +66,24 @@ def activation_rate(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: Se
         .agg(F.count(F.lit(1)).alias("eligible_users"), F.count_if("activated").alias("activated_users"))
         .withColumn("activation_rate_pct", pct1("activated_users", "eligible_users"))
     )
+
+
+def activation_rollup(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segments: tuple[str, ...] = ("business_unit", "rollout_wave")) -> DataFrame:
+    """Activation of the company and of every value of several segments, from one expansion of the activation rows.
+
+    Rows ``(level, value, eligible_users, activated_users, activation_rate_pct)``: level ``company`` with a null value,
+    and one level for each segment column, without users whose value is null there.
+    """
+    act = activation_users(t, cfg).select(*segments, "activated")
+    sets = [[], *[[F.col(c)] for c in segments]]
+    rows = act.groupingSets(sets, *[F.col(c) for c in segments]).agg(
+        F.count(F.lit(1)).alias("eligible_users"), F.count_if("activated").alias("activated_users"),
+        *[F.grouping(c).alias(f"_out_{c}") for c in segments])
+    level, value = F.lit("company"), F.lit(None).cast("string")
+    for c in segments:
+        level = F.when(F.col(f"_out_{c}") == 0, F.lit(c)).otherwise(level)
+        value = F.when(F.col(f"_out_{c}") == 0, F.col(c).cast("string")).otherwise(value)
+    return rows.select(
+        level.alias("level"), value.alias("value"), "eligible_users", "activated_users",
+        pct1("activated_users", "eligible_users").alias("activation_rate_pct")).where(
+        (F.col("level") == "company") | F.col("value").isNotNull())

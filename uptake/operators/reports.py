@@ -11,7 +11,8 @@ from uptake.config import AdoptionConfig, DEFAULT_CONFIG, WEEKLY_DISCLAIMER
 from uptake.functions import half_up_decimal, half_up_ratio, idiv, pct1
 from uptake.operators import activity, features, feedback, population, retention, training, value
 from uptake.operators.common import (
-    Segment, active_days, day_weeks, last_event_date, not_null, pivot_values, seg_list, user_segment, with_scalars,
+    Segment, active_days, day_weeks, last_event_date, not_null, pivot_values, precompute, seg_list, user_feature_activity,
+    user_segment, with_scalars,
 )
 from uptake.tables import Tables
 
@@ -95,9 +96,11 @@ def segment_scorecard(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment:
 
     Eligible / activated / dormant counts come from ONE aggregation over the
     activation frame (which carries each user's last active date), so
-    activation and dormancy share a single pass over the events; the median
-    and the training block are the other two branches.
+    activation and dormancy share a single pass; the median and the training
+    block are the other two branches. The user-day summary that all of them
+    need is written once, so the events are read once.
     """
+    t = precompute(t, cfg)
     act = population.activation_users(t, cfg).where(F.col(segment).isNotNull())
     as_of = last_event_date(t, cfg)
     recent = F.coalesce(F.col("last_active_date") > F.date_sub(as_of, cfg.trailing_window_days), F.lit(False))
@@ -121,11 +124,20 @@ def segment_scorecard(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment:
 
 
 def feature_scorecard(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
-    fa = features.feature_adoption(t, cfg)
-    saved = value.time_saved_value_events(t, cfg).select("feature_name", "total_estimated_hours_saved")
-    return fa.join(saved, "feature_name", "left").select(
-        "feature_name", "eligible_users", "adopted_users",
-        _frac("feature_adoption_rate_pct").alias("feature_adoption_rate"), "total_estimated_hours_saved",
+    """Adoption and time saved per catalog feature, from one pass over the events: users x features are joined once to
+    the eligible users, then adopters are counted and minutes summed by the same aggregation."""
+    el = population.eligible_users(t).select("user_id")
+    per_user = user_feature_activity(t, cfg).groupBy("user_id", "feature_name").agg(
+        F.sum("n_adoptions").alias("n"), F.sum("n_estimates").alias("estimates"), F.sum("minutes").alias("minutes"))
+    facts = per_user.join(el.withColumn("eligible", F.lit(True)), "user_id", "left").groupBy("feature_name").agg(
+        F.count_if(F.col("eligible") & (F.col("n") > 0)).alias("adopted_users"),
+        F.sum("estimates").alias("estimates"), F.sum("minutes").alias("minutes"))
+    grid = el.agg(F.count(F.lit(1)).alias("eligible_users")).select(
+        "eligible_users", F.explode(features.feature_list(t)).alias("feature_name"))
+    return grid.join(facts, "feature_name", "left").select(
+        "feature_name", "eligible_users", F.coalesce("adopted_users", F.lit(0)).cast("long").alias("adopted_users"),
+        (pct1(F.coalesce("adopted_users", F.lit(0)), "eligible_users") / F.lit(100.0)).alias("feature_adoption_rate"),
+        F.when(F.col("estimates") > 0, value.hours_of_tenths("minutes")).alias("total_estimated_hours_saved"),
     )
 
 
@@ -145,8 +157,7 @@ def barrier_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str
 def feature_usage_matrix(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str = "business_unit") -> DataFrame:
     """Feature x segment count of adoption events, 0-filled."""
     values = _segment_values(t, cfg, segment)
-    ev = t.events.where(F.col("event_type").isin(*cfg.adoption_event_types) & F.col("feature_name").isNotNull())
-    pre = ev.groupBy("user_id", "feature_name").agg(F.count(F.lit(1)).alias("n"))
+    pre = user_feature_activity(t, cfg).where("n_adoptions > 0").groupBy("user_id", "feature_name").agg(F.sum("n_adoptions").alias("n"))
     j = pre.join(user_segment(t, segment), "user_id")
     return j.groupBy("feature_name").pivot(segment, values).agg(F.sum("n")).fillna(0, subset=values)
 
@@ -166,6 +177,7 @@ def headline_kpis(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG, segment: str
 
     Only the scorecard's activation counts are needed, so they are computed
     directly (no median / dormancy branches)."""
+    t = precompute(t, cfg)  # activation and weekly counts read one written summary
     act = population.activation_users(t, cfg).where(F.col(segment).isNotNull()).groupBy(segment).agg(
         F.count(F.lit(1)).alias("eligible_users"), F.count_if("activated").alias("activated_users"))
     tr = training.training_completion(t, segment)

@@ -9,7 +9,7 @@ from uptake.config import AdoptionConfig, DEFAULT_CONFIG
 from uptake.functions import pct1
 from uptake.operators.activity import trailing_active_by_week
 from uptake.operators.common import (
-    Segment, active_days, counted_in_window, day_weeks, event_date, last_event_date, not_null, seg_list,
+    Segment, active_days, counted_in_window, day_weeks, last_event_date, not_null, seg_list,
     user_day_activity, week_ends,
 )
 from uptake.operators.population import activation_users, eligible_users
@@ -47,7 +47,7 @@ def retention_cohorts(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFr
 def activation_week(t: Tables, cfg: AdoptionConfig = DEFAULT_CONFIG) -> DataFrame:
     """Per user: first meaningful event and the calendar week it falls in."""
     first = active_days(t, cfg).groupBy("user_id").agg(F.min("first_meaningful_ts").alias("first_meaningful_ts"))
-    return first.withColumn("date", event_date("first_meaningful_ts")).join(day_weeks(t), "date", "left").select(
+    return first.withColumn("date", F.to_date("first_meaningful_ts")).join(day_weeks(t), "date", "left").select(
         "user_id", "first_meaningful_ts", F.col("week_number").alias("activation_week")
     )
 

@@ -1,6 +1,6 @@
 """The user-day summary as a stored table that is kept up to date day by day (SNK-3).
 
-The summary of ``common.user_day_activity`` is written once, partitioned by date. A refresh lists the files of the clean
+The summary of ``common.user_day_rows`` is written once, partitioned by date. A refresh lists the files of the clean
 events (names, sizes and times only, no contents) and compares each day's fingerprint with the one that the stored day
 was computed from. Only days that differ are read, by partition pruning, and only their partitions are overwritten.
 The fingerprints are written last: a refresh that fails is done again, with the same result.
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uptake.config import AdoptionConfig, DEFAULT_CONFIG
-from uptake.operators.common import user_day_activity
+from uptake.operators.common import known_users, user_day_rows
 from uptake.tables import Tables
 
 DAY = r"event_date=(\d{4}-\d{2}-\d{2})"
@@ -36,7 +36,7 @@ def day_versions(spark: SparkSession, events_path: str) -> DataFrame:
         "date IS NOT NULL").groupBy("date").agg(F.bit_xor("h").alias("version"))
 
 
-def refresh_user_day(spark: SparkSession, t: Tables, events_path: str, store: str, cfg: AdoptionConfig = DEFAULT_CONFIG) -> list:
+def refresh_user_day(spark: SparkSession, events_path: str, store: str, cfg: AdoptionConfig = DEFAULT_CONFIG) -> list:
     """Brings the stored summary up to date with the events under ``events_path`` (partitioned by ``event_date``).
 
     Returns the days that were computed anew or removed: one date each, so no more than the calendar has. A store must
@@ -51,7 +51,7 @@ def refresh_user_day(spark: SparkSession, t: Tables, events_path: str, store: st
     gone = sorted(d for d in known if d not in now)
     if changed:
         events = spark.read.parquet(events_path).where(F.col("event_date").isin(changed))
-        rows = user_day_activity(t.replace(user_day=None, events=events), cfg).withColumn("day", F.col("date"))
+        rows = user_day_rows(events, cfg).withColumn("day", F.col("date"))
         rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{store}/data")
     for d in gone:
         _delete(spark, f"{store}/data/day={d}")
@@ -62,4 +62,5 @@ def refresh_user_day(spark: SparkSession, t: Tables, events_path: str, store: st
 
 def stored_user_day(spark: SparkSession, t: Tables, store: str) -> Tables:
     """``t`` with the stored summary in place of a pass over its events."""
-    return t.replace(user_day=spark.read.parquet(f"{store}/data").drop("day"))
+    rows = spark.read.parquet(f"{store}/data").drop("day")
+    return t.replace(user_day=known_users(rows, t), user_day_stored=True)

@@ -125,6 +125,17 @@ def q_activation_by_wave(spark, sf):
     return population.activation_rate(tables(spark, sf), CFG, "rollout_wave")
 
 
+@register("activation_rollup", with_bind(f"""
+SELECT 'company' AS level, CAST(NULL AS VARCHAR) AS value, COUNT(*) AS eligible_users, COUNT(*) FILTER (WHERE activated) AS activated_users,
+       {pct1('COUNT(*) FILTER (WHERE activated)', 'COUNT(*)')} AS activation_rate_pct FROM activation
+UNION ALL SELECT 'business_unit', business_unit, COUNT(*), COUNT(*) FILTER (WHERE activated),
+       {pct1('COUNT(*) FILTER (WHERE activated)', 'COUNT(*)')} FROM activation WHERE business_unit IS NOT NULL GROUP BY business_unit
+UNION ALL SELECT 'rollout_wave', CAST(rollout_wave AS VARCHAR), COUNT(*), COUNT(*) FILTER (WHERE activated),
+       {pct1('COUNT(*) FILTER (WHERE activated)', 'COUNT(*)')} FROM activation WHERE rollout_wave IS NOT NULL GROUP BY rollout_wave""", ACT))
+def q_activation_rollup(spark, sf):
+    return population.activation_rollup(tables(spark, sf), CFG)
+
+
 @register("activation_by_wave_ref_windows", _act_rate_sql("rollout_wave", sp.activation_ctes(REF)))
 def q_activation_by_wave_ref(spark, sf):
     return population.activation_rate(tables(spark, sf), REF, "rollout_wave")
@@ -338,6 +349,17 @@ def q_ttv_histogram(spark, sf):
     return value.ttv_histogram(tables(spark, sf), CFG)
 
 
+@register("ttv_histogram_clipped", with_bind("""
+SELECT g.bin, s.lo + g.bin * s.width AS bin_start_hours, s.lo + (g.bin + 1) * s.width AS bin_end_hours,
+       (SELECT COUNT(*) FROM clipped c WHERE least(floor((c.x - s.lo) / s.width), 39) = g.bin) AS users
+FROM (SELECT CASE WHEN max(x) > min(x) THEN min(x) ELSE min(x) - 0.5 END AS lo,
+             CASE WHEN max(x) > min(x) THEN max(x) - min(x) ELSE 1.0 END / 40 AS width FROM clipped HAVING COUNT(*) > 0) s,
+     (SELECT CAST(unnest(range(40)) AS INTEGER) AS bin) g""",
+    TTV + ",\nclipped AS (SELECT least(hours_to_value, 200.0) AS x FROM ttv)"))
+def q_ttv_histogram_clipped(spark, sf):
+    return value.ttv_histogram_clipped(tables(spark, sf), CFG)
+
+
 @register("time_saved_by_feature", with_bind(f"""
 SELECT feature_name, successful_actions_with_estimate,
        {half_up_ratio('cents', '100', 0)} AS total_estimated_minutes_saved,
@@ -1129,9 +1151,8 @@ def q_user_day_refresh(spark, sf):
     path = f"{base}/events"
     for part, mode in ((odd_day & ~late, "overwrite"), (~odd_day & ~late, "append"), (late, "append")):
         write_events(t.events.where(part), path, mode)
-        clean = t.replace(events=spark.read.parquet(path))
-        refresh_user_day(spark, clean, path, f"{base}/store", CFG)
-    return stored_user_day(spark, clean, f"{base}/store").user_day.select(
+        refresh_user_day(spark, path, f"{base}/store", CFG)
+    return stored_user_day(spark, t, f"{base}/store").user_day.select(
         "user_id", "date", "n_events", "n_meaningful", "n_qualifying")
 
 
@@ -1463,7 +1484,8 @@ def q_user_day_session_key(spark, sf):
         "-", F.lit("S"), F.col("user_id").cast("string"), F.date_format("event_timestamp", "yyyyMMdd")).alias("session_key"))
 
 
-@register("event_sample", None)  # seeded hash order; DuckDB has no identical hash, rows-only check
+@register("event_sample", with_bind("SELECT * FROM usage_events ORDER BY md5('42:' || CAST(event_id AS VARCHAR)), event_id LIMIT 500"),
+          ("estimated_minutes_saved",))
 def q_event_sample(spark, sf):
     from uptake.sources.io import event_sample
     return event_sample(tables(spark, sf).events, 500)
@@ -1474,13 +1496,11 @@ def q_fact_training(spark, sf):
     return _star(spark, sf)["fact_training_attendance"]
 
 
-@register("table_profile", with_bind("""
-SELECT 'users' AS table_name, COUNT(*) AS row_count, 13 AS column_count FROM users
-UNION ALL SELECT 'usage_events', COUNT(*), 12 FROM usage_events
-UNION ALL SELECT 'feedback', COUNT(*), 9 FROM feedback
-UNION ALL SELECT 'calendar', COUNT(*), 7 FROM calendar
-UNION ALL SELECT 'feature_catalog', COUNT(*), 6 FROM feature_catalog
-UNION ALL SELECT 'training_sessions', COUNT(*), 9 FROM training_sessions"""))
+@register("table_profile", with_bind("\nUNION ALL ".join(
+    # columns are counted from the table itself: the keys of one of its rows
+    f"SELECT {q(n)} AS table_name, COUNT(*) AS row_count, "
+    f"CAST((SELECT len(json_keys(to_json(x))) FROM {n} x LIMIT 1) AS INTEGER) AS column_count FROM {n}"
+    for n in ("users", "usage_events", "feedback", "calendar", "feature_catalog", "training_sessions"))))
 def q_table_profile(spark, sf):
     from uptake.operators.reports import table_profile
     return table_profile(tables(spark, sf))

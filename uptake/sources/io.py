@@ -80,9 +80,9 @@ def read_issue_log(spark: SparkSession, path: str) -> DataFrame:
 def event_sample(events: DataFrame, n: int, seed: int = 42, key: str = "event_id") -> DataFrame:
     """SNK-5: a reproducible exact-size sample, sorted by time.
 
-    Rows are ranked by a seeded hash of the key; ``limit`` after ``orderBy``
+    Rows are ranked by the MD5 of the seed and the key; ``limit`` after ``orderBy``
     is planned as a distributed top-k (each task keeps n rows), so this never
     sorts or collects the whole table.
     """
-    h = F.xxhash64(F.lit(seed), F.col(key))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
     return events.orderBy(h, F.col(key)).limit(n).orderBy("event_timestamp", key)

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uptake.config import CANONICAL_FEATURES, FEATURE_CATALOG
+from uptake.config import CANONICAL_FEATURES, FEATURE_CATALOG, TESTDATA_CONFIG, AdoptionConfig
+from uptake.operators.common import user_day_rows, user_feature_rows
 from uptake.tables import Tables
 
 # Fixed values of the binding.
@@ -72,8 +73,8 @@ def bind_users(customer: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
     )
 
 
-def bind_events(events: DataFrame, users: DataFrame) -> DataFrame:
-    """Map the raw stream to usage events and drop events before access.
+def map_events(events: DataFrame) -> DataFrame:
+    """Map the raw stream to usage events.
 
     Every raw event is kept. Raw activity is dense (every user on every day),
     so only a fixed pattern of user-days carries usage actions; the other
@@ -92,30 +93,38 @@ def bind_events(events: DataFrame, users: DataFrame) -> DataFrame:
         et,
     )).otherwise(F.lit(BACKGROUND_EVENT_TYPE))
     ok = (et != "error") & (eid % 14 != 0)
-    access = users.select("user_id", "assigned_access_date")
-    return (
-        events.join(access, "user_id", "left")
-        .where(F.col("assigned_access_date").isNull() | (ts.cast("date") >= F.col("assigned_access_date")))
-        .select(
-            eid.alias("event_id"),
-            uid.alias("user_id"),
-            ts.alias("event_timestamp"),
-            F.concat_ws("-", F.lit("S"), uid.cast("string"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
-            F.when(usage & (j % 9 < 8), _pick(CANONICAL_FEATURES, j % 9)).alias("feature_name"),
-            mapped.alias("event_type"),
-            F.when(eid % 11 != 3, _pick(PROMPT_CATEGORIES, eid % 4)).alias("prompt_category"),
-            (mapped == "output_exported").alias("output_exported_flag"),
-            ok.alias("successful_completion_flag"),
-            F.when(usage & et.isin("click", "purchase") & (eid % 14 != 0), F.col("value").cast("decimal(18,2)"))
-            .alias("estimated_minutes_saved"),
-            (eid % 600 + 5).cast("int").alias("session_duration_seconds"),
-            (usage & (et == "error")).alias("error_flag"),
-            _pick(PLATFORMS, eid % 3).alias("platform"),
-            _pick(SOURCE_SYSTEMS, eid % 3).alias("source_system"),
-        )
+    return events.select(
+        eid.alias("event_id"),
+        uid.alias("user_id"),
+        ts.alias("event_timestamp"),
+        F.concat_ws("-", F.lit("S"), uid.cast("string"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
+        F.when(usage & (j % 9 < 8), _pick(CANONICAL_FEATURES, j % 9)).alias("feature_name"),
+        mapped.alias("event_type"),
+        F.when(eid % 11 != 3, _pick(PROMPT_CATEGORIES, eid % 4)).alias("prompt_category"),
+        (mapped == "output_exported").alias("output_exported_flag"),
+        ok.alias("successful_completion_flag"),
+        F.when(usage & et.isin("click", "purchase") & (eid % 14 != 0), F.col("value").cast("decimal(18,2)"))
+        .alias("estimated_minutes_saved"),
+        (eid % 600 + 5).cast("int").alias("session_duration_seconds"),
+        (usage & (et == "error")).alias("error_flag"),
+        _pick(PLATFORMS, eid % 3).alias("platform"),
+        _pick(SOURCE_SYSTEMS, eid % 3).alias("source_system"),
     )
 
 
+def after_access(rows: DataFrame, users: DataFrame, day: Column) -> DataFrame:
+    """Rows of a user's days before their access date dropped (the cleaning rule)."""
+    access = users.select("user_id", "assigned_access_date")
+    cols = rows.columns
+    return rows.join(access, "user_id", "left").where(
+        F.col("assigned_access_date").isNull() | (day >= F.col("assigned_access_date"))).select(cols)
+
+
+def bind_events(events: DataFrame, users: DataFrame) -> DataFrame:
+    """Usage events of the raw stream, without those before access."""
+    return after_access(map_events(events), users, F.to_date("event_timestamp"))
+
+
 def bind_feedback(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     rating = F.when(k % 97 != 0, (k % 5 + 1).cast("int"))
@@ -212,14 +221,24 @@ def bind_training(supplier: DataFrame) -> DataFrame:
     )
 
 
-def bind_testdata(spark: SparkSession, sf_dir: str) -> Tables:
+def bind_testdata(spark: SparkSession, sf_dir: str, cfg: AdoptionConfig = TESTDATA_CONFIG) -> Tables:
+    """The canonical tables. The summaries that metrics share are aggregated from the raw stream before anything is
+    joined to it: a user's days before access are dropped as days, so no raw event is shuffled to its user."""
     users = bind_users(read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation"), read(spark, sf_dir, "region"))
     raw_events = read(spark, sf_dir, "events")
-    return Tables(
+    mapped, day = map_events(raw_events), F.col("date")
+    t = Tables(
         users=users,
-        events=bind_events(raw_events, users),
+        events=after_access(mapped, users, F.to_date("event_timestamp")),
         feedback=bind_feedback(read(spark, sf_dir, "orders")),
         calendar=bind_calendar(raw_events),
         features=feature_catalog(spark),
         training=bind_training(read(spark, sf_dir, "supplier")),
     )
+    known = users.select("user_id", "assigned_access_date")
+
+    def of_known_users(rows: DataFrame) -> DataFrame:
+        return rows.join(known, "user_id").where(
+            F.col("assigned_access_date").isNull() | (day >= F.col("assigned_access_date"))).drop("assigned_access_date")
+
+    return t.replace(user_day=of_known_users(user_day_rows(mapped, cfg)), user_feature=of_known_users(user_feature_rows(mapped, cfg)))

@@ -28,6 +28,9 @@ class Tables:
     # optional precomputed per-(user, day) event summary (see
     # operators.common.precompute); must be built with the same config
     user_day: DataFrame | None = None
+    user_day_stored: bool = False
+    # optional per-(user, date, feature) summary, see common.user_feature_rows
+    user_feature: DataFrame | None = None
 
     def where(
         self,
@@ -50,10 +53,10 @@ class Tables:
                 users=kept,
                 events=t.events.join(ids, "user_id", "left_semi"),
                 feedback=t.feedback.join(ids, "user_id", "left_semi"),
-                user_day=None,
+                user_day=None, user_day_stored=False, user_feature=None,
             )
         if events is not None:
-            t = replace(t, events=t.events.where(events), user_day=None)
+            t = replace(t, events=t.events.where(events), user_day=None, user_day_stored=False, user_feature=None)
         if feedback is not None:
             t = replace(t, feedback=t.feedback.where(feedback))
         return t
