@@ -76,13 +76,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures of all pages, written to archives and read back."""
     got = warc.captures(table(spark, sf_dir, "pages"))
     field = lambda name: F.nullif(F.regexp_extract("metadata.block", rf"(?m)^{name}: (-?\d+)", 1), F.lit("")).cast("long")
-    rows = got.select(
-        "record_id", "refers_to", field("page_id").alias("page_id"), field("payload_bytes").alias("payload_bytes"),
-        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), F.col("kind").alias("record_type"))
-    # a revisit names the record of its response, whose page is looked up
-    answers = rows.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("response_page"))
-    return rows.join(answers, "refers_to", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("response_page").alias("refers_to"))
+    return got.select(
+        field("page_id").alias("page_id"), field("payload_bytes").alias("payload_bytes"),
+        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), F.col("kind").alias("record_type"),
+        field("refers_to_page_id").alias("refers_to"))
 
 
 def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,8 +122,10 @@ def _transaction(row, page, url: str, html: bytes, sha: bytes, lead, lead_row) -
     linked = [("WARC-Concurrent-To", rid), ("WARC-Target-URI", at), ("WARC-Date", DATE)]
     ask = _record("request", _uri(f"{rid}/request"), [*linked, ("Content-Type", "application/http; msgtype=request")],
                   f"GET {at} HTTP/1.1\r\n\r\n".encode())
-    fields = f"page_id: {'' if page is None else page}\r\npayload_bytes: {len(html)}\r\n".encode()
-    about = _record("metadata", _uri(f"{rid}/metadata"), [*linked, ("Content-Type", "application/warc-fields")], fields)
+    fields = f"page_id: {'' if page is None else page}\r\npayload_bytes: {len(html)}\r\n"
+    if lead_row is not None:
+        fields += f"refers_to_page_id: {lead}\r\n"  # of the record in WARC-Refers-To, so that readers need not look it up
+    about = _record("metadata", _uri(f"{rid}/metadata"), [*linked, ("Content-Type", "application/warc-fields")], fields.encode())
     return b"".join([*main, *ask, *about])[:-1]  # the writer's line end is the last byte
 
 
