@@ -384,3 +384,10 @@ def test_pipeline_stages(spark, odd):
         docs = spark.createDataFrame(out.collect(), out.schema)
     assert docs.count() > 0
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_embedding_links_in_small_chunks_and_tiles(spark, odd, monkeypatch):
+    whole = bag(queries.op4_embedding_dedup(spark, odd).collect(), "vec_id", "n_links", "component_id", "kept")
+    monkeypatch.setattr(embeddings, "CHUNK", 7)
+    monkeypatch.setattr(embeddings, "TILE", 3)
+    assert bag(queries.op4_embedding_dedup(spark, odd).collect(), "vec_id", "n_links", "component_id", "kept") == whole

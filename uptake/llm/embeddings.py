@@ -6,29 +6,37 @@ proportional share of the budget. Each block is range-joined on a grid over its
 wide as the block's radius, so a vector meets its own and the adjoining cells. Pairs within the share are verified with
 the cosine of the original vectors in double precision. A pair counts in the first block that finds it.
 
-Rotated coordinates are rounded to multiples of 2**-20, whose products and sums are exact in doubles, so every task
-decides alike which block comes first; the budget is widened by the rounding.
+Few wide blocks: the wider a block, the more rarely a pair that is far apart is near in it, so nearly all pairs that
+pass the share are links. Rotated coordinates are rounded to multiples of 2**-20, whose products and sums are exact in
+doubles, so every task decides alike which block comes first; the budget is widened by the rounding.
 
 Equal vectors are joined as one. Cells are cut into chunks of ``CHUNK`` rows that meet chunk by chunk, so a hot cell is
-spread over tasks. Tasks return counts and one label per row of the chunk pair, never all pairs.
+spread over tasks, and a task compares them tile by tile. A vector travels as bytes of its own precision, once for each
+chunk that it meets. Tasks return counts and one label per row of a tile, never all pairs.
 
-Defined results: a vector that is null, empty, zero or holds null or non-finite components, or has another dimension
-than the longest common one, is alone; rows with equal ids are one node in components; empty tables give no rows.
+Where vectors fill all directions evenly, cells of a grid in few coordinates hold a fixed share of the table, and what
+is sent grows faster than the table; no grid that keeps every link prevents this.
+
+Defined results: a vector that is null, empty, zero or holds null or non-finite components is alone; vectors of each
+length are compared among themselves; rows with equal ids are one node in components; empty tables give no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from uptake.llm.components import components
 from uptake.session import materialize
 
-BLOCKS = 8
+BLOCKS = 4
 GRID = 2  #: coordinates of a block that its grid is laid over
-CHUNK = 2000
+CHUNK = 8000  #: rows of a cell that meet those of another in one task
+TILE = 1000  #: rows of a chunk that are compared in one go
 UNIT = float(1 << 20)
 ROUNDING = 1e-4  #: more than rounding can add to a distance
 
@@ -38,12 +46,16 @@ def _rotation(dim: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def _rotated(vecs: list, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors in double precision, and their rotated coordinates in whole units."""
-    v = np.array(vecs, dtype=np.float64).reshape(len(vecs), dim)
+def _units(v: np.ndarray) -> np.ndarray:
+    """Vectors of length one, in double precision."""
+    v = v.astype(np.float64)
     v /= np.abs(v).max(axis=1, keepdims=True)
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    return v, np.rint(v @ _rotation(dim) * UNIT)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def _rotated(units: np.ndarray) -> np.ndarray:
+    """Rotated coordinates in whole units."""
+    return np.rint(units @ _rotation(units.shape[1]) * UNIT)
 
 
 def _parts(dim: int, blocks: int) -> list[slice]:
@@ -51,12 +63,12 @@ def _parts(dim: int, blocks: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges, edges[1:])]
 
 
-def _settle(mask: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest id that each row reaches inside a chunk pair (its own if it has no link)."""
-    top = np.iinfo(np.int64).max
+def _settle(i: np.ndarray, j: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest id that each row of two sides reaches over the links ``(i, j)`` between them (its own if it has none)."""
     while True:
-        r = np.minimum(right, np.where(mask, left[:, None], top).min(axis=0, initial=top))
-        l2 = np.minimum(left, np.where(mask, r[None, :], top).min(axis=1, initial=top))
+        r, l2 = right.copy(), left.copy()
+        np.minimum.at(r, j, left[i])
+        np.minimum.at(l2, i, r[j])
         if (r == right).all() and (l2 == left).all():
             return left, right
         left, right = l2, r
@@ -64,12 +76,14 @@ def _settle(mask: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
 
 def near_duplicates(rows: DataFrame, threshold: float = 0.95, blocks: int = BLOCKS) -> DataFrame:
     """Rows ``(vec_id, n_links, component_id, kept)``, one per row of ``rows`` (``vec_id``, ``embedding``)."""
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    single = rows.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("v"))
     usable = F.coalesce(
         (F.size("v") > 0) & F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
         & F.exists("v", lambda x: x != 0), F.lit(False))
     # -0.0 and 0.0 are the same component
-    rows = rows.withColumn("v", F.when(usable, F.transform("v", lambda x: x + F.lit(0.0)))).withColumn("dim", F.size("v"))
+    rows = rows.withColumn("v", F.when(usable, F.transform("v", lambda x: x + F.lit(0.0).cast(kind[6:-1])))).withColumn("dim", F.size("v"))
     rows = rows.withColumn("h", F.when(F.col("v").isNotNull(), F.sha2(F.concat_ws(",", F.transform("v", lambda x: x.cast("string"))), 256)))
     rows = materialize(rows, "vectors")
     reps = materialize(rows.where("h is not null").groupBy("h").agg(
@@ -101,39 +115,59 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, blocks: int = BLOC
 
 
 def _links(reps: DataFrame, dim: int, threshold: float, blocks: int) -> DataFrame:
-    """Per vector and chunk pair: ``(key, links, label)``, the linked rows there and the smallest key reached there."""
+    """Per vector and tile: ``(key, links, label)``, the linked rows there and the smallest key reached there."""
     blocks = max(1, min(blocks, dim))
     share = ((2 - 2 * threshold) ** 0.5 + ROUNDING) ** 2 / blocks * UNIT * UNIT
     width = float(np.ceil(share ** 0.5)) + 1
     parts = _parts(dim, blocks)
     steps = [(0, 0), (0, 1), (1, -1), (1, 0), (1, 1)]  # a cell meets itself and half of its neighbours
-
-    def cells(frames):
-        for f in frames:
-            _, rot = _rotated(f["v"].tolist(), dim)
+    kind = np.float32 if reps.schema["v"].dataType.elementType.typeName() == "float" else np.float64
+
+    def cells(batches):
+        for f in batches:
+            if not f.num_rows:
+                continue
+            v = f.column("v").flatten().to_numpy().reshape(-1, dim)
+            rot = _rotated(_units(v))
+            at = np.zeros((len(v), blocks, 2), np.int64)
             for b, p in enumerate(parts):
                 c = np.floor(rot[:, p][:, :GRID] / width).astype(np.int64)
-                x, y = c[:, 0], c[:, 1] if c.shape[1] > 1 else np.zeros(len(c), np.int64)
-                yield pd.DataFrame({"key": f["key"], "n": f["n"], "v": f["v"], "b": b, "x": x, "y": y})
-
-    placed = materialize(reps.select("key", "n", "v").mapInPandas(
-        cells, "key long, n long, v array<double>, b int, x long, y long"), "vector-cells")
-    moves = F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i, j in steps])).alias("m")
-    guests = (placed.select("*", moves)
-              .select("key", "n", "v", "b", (F.col("x") - F.col("m.dx")).alias("x"), (F.col("y") - F.col("m.dy")).alias("y"),
-                      ((F.col("m.dx") == 0) & (F.col("m.dy") == 0)).alias("own")))
+                at[:, b, :c.shape[1]] = c
+            yield pa.RecordBatch.from_arrays(
+                [f.column("key"), f.column("n"), pa.array([r.tobytes() for r in v.astype(kind)], pa.binary()),
+                 pa.array(list(at[:, :, 0]), pa.list_(pa.int64())), pa.array(list(at[:, :, 1]), pa.list_(pa.int64()))],
+                names=["key", "n", "raw", "xs", "ys"])
+
+    placed = materialize(reps.select("key", "n", "v").mapInArrow(
+        cells, "key long, n long, raw binary, xs array<long>, ys array<long>"), "vector-cells")
+    cell = F.posexplode(F.arrays_zip("xs", "ys")).alias("b", "c")
+
+    def in_cells(*cols):
+        return placed.select(*cols, cell).select(*cols, "b", F.col("c.xs").alias("x"), F.col("c.ys").alias("y"))
+
+    move = F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i, j in steps])).alias("m")
+
+    def moved(df: DataFrame, *cols) -> DataFrame:
+        return df.select("*", move).select(
+            *cols, "b", (F.col("x") - F.col("m.dx")).alias("x"), (F.col("y") - F.col("m.dy")).alias("y"),
+            ((F.col("m.dx") == 0) & (F.col("m.dy") == 0)).alias("own"))
+
     # chunks per cell, of hosts and of guests; a cell without hosts is left out by the join
     def chunks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("b", "x", "y").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias(name))
+        return df.groupBy("b", "x", "y").agg(F.ceil(F.sum("rows") / CHUNK).cast("int").alias(name))
+
+    counted = materialize(in_cells("key").groupBy("b", "x", "y").agg(F.count("*").alias("rows")), "cell-rows")
+    sizes = materialize(chunks(counted, "hosts").join(chunks(moved(counted, "rows"), "guests"), ["b", "x", "y"]), "cell-sizes")
 
-    sizes = materialize(chunks(placed, "hosts").join(chunks(guests.select("b", "x", "y"), "guests"), ["b", "x", "y"]), "cell-sizes")
-    spread = lambda df, mine, other, c, d: (
-        df.join(sizes, ["b", "x", "y"])
-        .withColumn(c, F.pmod(F.xxhash64("key"), F.col(mine)).cast("int"))
-        .withColumn(d, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("hosts", "guests"))
-    host = spread(placed.withColumn("own", F.lit(True)).withColumn("guest", F.lit(False)), "hosts", "guests", "i", "j")
-    guest = spread(guests.withColumn("guest", F.lit(True)), "guests", "hosts", "j", "i")
-    cols = ["b", "x", "y", "i", "j", "guest", "own", "key", "n", "v"]
+    def spread(df: DataFrame, mine: str, other: str, c: str, d: str) -> DataFrame:
+        return (df.join(sizes, ["b", "x", "y"])
+                .withColumn(c, F.pmod(F.xxhash64("key"), F.col(mine)).cast("int"))
+                .withColumn(d, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("hosts", "guests"))
+
+    hosts = in_cells("key", "n", "raw")
+    host = spread(hosts.withColumn("own", F.lit(True)).withColumn("guest", F.lit(False)), "hosts", "guests", "i", "j")
+    guest = spread(moved(hosts, "key", "n", "raw").withColumn("guest", F.lit(True)), "guests", "hosts", "j", "i")
+    cols = ["b", "x", "y", "i", "j", "guest", "own", "key", "n", "raw"]
 
     def meet(f: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"key": [], "links": [], "label": []}).astype("int64")
@@ -141,31 +175,43 @@ def _links(reps: DataFrame, dim: int, threshold: float, blocks: int) -> DataFram
         if not len(left) or not len(right):
             return none
         b = int(f["b"].iloc[0])
-        lv, lr = _rotated(left["v"].tolist(), dim)
-        rv, rr = _rotated(right["v"].tolist(), dim)
+        vectors = lambda g: _units(np.frombuffer(b"".join(g["raw"]), dtype=kind).reshape(-1, dim))
+        lv, rv = vectors(left), vectors(right)
+        lr, rr = _rotated(lv), _rotated(rv)
         lk, rk, own = left["key"].to_numpy(), right["key"].to_numpy(), right["own"].to_numpy()
-        mask = ~own[None, :] | (lk[:, None] < rk[None, :])
+        ln, rn = left["n"].to_numpy(), right["n"].to_numpy()
 
-        def within(p: slice) -> np.ndarray:
+        def sides(p: slice) -> tuple[np.ndarray, np.ndarray]:
+            # the product of these is minus half the squared distance, exactly
             a, c = lr[:, p], rr[:, p]
-            return (a * a).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * (a @ c.T) <= share
-
-        mask &= within(parts[b])
-        i, j = np.nonzero(mask)
-        if not len(i):
-            return none
-        for at in range(0, len(i), 1 << 16):  # the exact cosine, the same arithmetic for a pair wherever it meets
-            s, t = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-            mask[s, t] = (lv[s] * rv[t]).sum(1) >= threshold
-        for p in parts[:b]:
-            if mask.any():
-                mask &= ~within(p)
-        if not mask.any():
-            return none
-        ln, rn = left["n"].to_numpy(), right["n"].to_numpy()
-        ll, rl = _settle(mask, lk, rk)
-        out = pd.DataFrame({"key": np.r_[lk, rk], "links": np.r_[mask @ rn, ln @ mask], "label": np.r_[ll, rl]})
-        return out[out["links"] > 0]
+            return (np.c_[a, -(a * a).sum(1) / 2, np.ones(len(a))], np.c_[c, np.ones(len(c)), -(c * c).sum(1) / 2])
+
+        la, ra = sides(parts[b])
+        out = []
+        for lo in range(0, len(lv), TILE):
+            at = slice(lo, lo + TILE)
+            i, j = np.nonzero(la[at] @ ra.T >= -share / 2)
+            i += lo
+            fresh = ~own[j] | (lk[i] < rk[j])
+            i, j = i[fresh], j[fresh]
+            linked = np.zeros(len(i), bool)
+            for s in range(0, len(i), 1 << 15):  # the exact cosine, the same arithmetic for a pair wherever it meets
+                u, w = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
+                ok = (lv[u] * rv[w]).sum(1) >= threshold
+                for p in parts[:b]:  # an earlier block has counted it
+                    d = lr[u][:, p] - rr[w][:, p]
+                    ok &= (d * d).sum(1) > share
+                linked[s:s + (1 << 15)] = ok
+            i, j = i[linked], j[linked]
+            if not len(i):
+                continue
+            rows, li = np.unique(i, return_inverse=True)
+            guests, rj = np.unique(j, return_inverse=True)
+            ll, rl = _settle(li, rj, lk[rows], rk[guests])
+            out.append(pd.DataFrame({
+                "key": np.r_[lk[rows], rk[guests]],
+                "links": np.r_[np.bincount(li, rn[j]), np.bincount(rj, ln[i])].astype(np.int64), "label": np.r_[ll, rl]}))
+        return pd.concat(out) if out else none
 
     return (host.select(cols).union(guest.select(cols)).groupBy("b", "x", "y", "i", "j")
             .applyInPandas(meet, "key long, links long, label long"))
