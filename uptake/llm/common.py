@@ -51,6 +51,16 @@ def unit(*cols: Column, seed: int = 0) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11).cast("double") * F.lit(2.0 ** -53)
 
 
+def discard(table: DataFrame) -> None:
+    """Deletes the folder of a table that ``materialize`` wrote and nobody will read any more.
+
+    What was derived from it must have been written before."""
+    files = table.inputFiles()
+    if files:
+        path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

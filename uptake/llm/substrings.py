@@ -12,6 +12,9 @@ Relative Lempel-Ziv against each reference block in turn would read every text o
 square of the corpus; the index over all factors finds the same spans in a fixed number of passes.
 
 Every position of every text is covered; texts are named by a hash of their content, so copies share one set of spans.
+Word sequences are compared by two independent 64-bit hashes, which are differences of prefix sums over the words' own
+hashes, so all factors or windows of a text are hashed at once. Tables between the steps are deleted when the next one
+is written.
 
 Defined results: a null text has no words; texts under ``width`` words lose none; repeated rows are copies of each
 other; an empty table gives no rows; extra columns are ignored.
@@ -20,22 +23,19 @@ other; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uptake.llm.common import arrow_map, text_of
+from uptake.llm.common import BLOCK_ROWS, arrow_map, discard, text_of
 from uptake.session import materialize
 
 GRAM = 17  #: words of an anchor; a window of 35 holds 19 of them
-
-
-def _words(text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """Words joined by one space, with the start and end of each."""
-    words = text.encode().split()  # bytes: ASCII white space only
-    ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64) - 1
-    return b" ".join(words), np.r_[0, ends[:-1] + 1][:len(words)], ends
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  #: odd, so that powers can be divided away
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -43,16 +43,53 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def factors(text: str, width: int, gram: int = GRAM) -> list[tuple[int, int, int]]:
-    """``(anchor hash, first window, number of windows)``, in order, over all windows of the text."""
-    import xxhash
-    words = text.encode().split()
-    n = len(words) - width + 1
+class Words:
+    """Hashes of the words of texts, and of any runs of them."""
+
+    KEPT = 1 << 17  #: words whose hashes are kept
+
+    def __init__(self):
+        self.known: dict[bytes, tuple[int, int]] = {}
+        self.powers = [np.ones(1, np.uint64) for _ in BASES]
+        self.inverse = [np.ones(1, np.uint64) for _ in BASES]
+
+    def _grow(self, n: int) -> None:
+        have = len(self.powers[0])
+        if have <= n:
+            size = max(n + 1, 2 * have)
+            for k, base in enumerate(BASES):
+                for table, step in ((self.powers, base), (self.inverse, pow(base, -1, 1 << 64))):
+                    row = np.full(size, step, np.uint64)
+                    row[0] = 1
+                    table[k] = np.multiply.accumulate(row)
+
+    def of(self, text: str) -> tuple[np.ndarray, list[np.ndarray]]:
+        """A hash of each word, and for either base the prefix sums that ``runs`` takes."""
+        import xxhash
+        if len(self.known) >= self.KEPT:
+            self.known = {}
+        known, words = self.known, text.encode().split()  # bytes: ASCII white space only
+        for w in set(words).difference(known):
+            d = xxhash.xxh3_128_intdigest(w)
+            known[w] = d >> 64, d & 0xFFFFFFFFFFFFFFFF
+        h = np.array([known[w] for w in words], dtype=np.uint64).reshape(-1, 2)
+        self._grow(len(words))
+        sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(h[:, k] * self.powers[k][:len(words)], dtype=np.uint64)])
+                for k in range(2)]
+        return h[:, 0], sums
+
+    def runs(self, sums: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of each run of words ``start:end``; equal runs have equal ones wherever they stand."""
+        return [_mix((s[end] - s[start]) * self.inverse[k][start] + (end - start).astype(np.uint64)).view(np.int64)
+                for k, s in enumerate(sums)]
+
+
+def factors(h: np.ndarray, width: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, first window and number of windows of each factor, in order, over all windows of a text."""
+    n = len(h) - width + 1
     if n < 1:
-        return []
-    number: dict[bytes, int] = {}
-    h = np.array([number.get(w) or number.setdefault(w, xxhash.xxh64_intdigest(w)) for w in words], dtype=np.uint64)
-    m = len(words) - gram + 1
+        return (np.zeros(0, np.int64),) * 3
+    m = len(h) - gram + 1
     g = np.zeros(m, dtype=np.uint64)
     for j in range(gram):
         g = g * np.uint64(0xD6E8FEB86659FD93) + h[j:j + m]
@@ -63,65 +100,90 @@ def factors(text: str, width: int, gram: int = GRAM) -> list[tuple[int, int, int
         hi = min(n, lo + (1 << 16))
         at[lo:hi] = np.lib.stride_tricks.sliding_window_view(g[lo:hi + span - 1], span).argmin(axis=1) + np.arange(lo, hi)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    size = np.diff(np.r_[first, n])
-    return list(zip(g[at[first]].view(np.int64).tolist(), first.tolist(), size.tolist()))
+    return g[at[first]].view(np.int64), first, np.diff(np.r_[first, n])
 
 
 def _name(*cols):
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols).alias("b"))
 
 
-def repeated_spans(docs: DataFrame, width: int = 35, gram: int = GRAM) -> DataFrame:
-    """Rows ``(name, spans)`` per text with duplicates: ``spans`` holds ``(first window, mask)``, a bit per window."""
-    import xxhash
+FACTORS = pa.schema([(c, pa.int64()) for c in ("na", "nb", "anchor", "fa", "fb")] + [("start", pa.int32()), ("size", pa.int32())])
+WINDOWS = pa.schema([(c, pa.int64()) for c in ("wa", "wb", "fa", "fb")] + [("at", pa.int32()), ("n", pa.int64())])
+
 
+def _batch(parts: list[list[np.ndarray]], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*parts), schema)], schema=schema)
+
+
+def repeated_spans(docs: DataFrame, width: int = 35, gram: int = GRAM) -> DataFrame:
+    """Rows ``(na, nb, spans)`` per text with duplicates: ``spans`` holds ``(first window, mask)``, a bit per window."""
     texts = docs.select(_name(text_of("text")).alias("name"), text_of("text").alias("text"))
 
-    def parse(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {"na": [], "nb": [], "anchor": [], "fa": [], "fb": [], "start": [], "size": []}
-        for name, text in zip(cols["name"], cols["text"]):
-            joined, starts, ends = _words(text)
-            for anchor, start, size in factors(text, width, gram):
-                d = xxhash.xxh3_128_digest(joined[starts[start]:ends[start + size + width - 2]])
-                for c, v in zip(out.values(), (name["a"], name["b"], anchor, int.from_bytes(d[:8], "big", signed=True),
-                                               int.from_bytes(d[8:], "big", signed=True), start, size)):
-                    c.append(v)
-        return out
-
-    parsed = materialize(arrow_map(texts, parse, "na long, nb long, anchor long, fa long, fb long, start int, size int"), "factors")
-    index = parsed.groupBy("anchor", "fa", "fb").agg(
-        F.count("*").alias("n"), F.min(F.struct("na", "nb", "start", "size")).alias("one"))
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BLOCK_ROWS // 8):
+                block, parts = batch.slice(lo, BLOCK_ROWS // 8), []
+                for na, nb, text in zip(*(block.column(i).to_pylist() for i in range(3))):
+                    h, sums = words.of(text)
+                    anchor, start, size = factors(h, width, gram)
+                    if len(anchor):
+                        fa, fb = words.runs(sums, start, start + size + width - 1)
+                        parts.append([np.full(len(anchor), na), np.full(len(anchor), nb), anchor, fa, fb, start, size])
+                if parts:
+                    yield _batch(parts, FACTORS)
+
+    parsed = materialize(texts.select("name.a", "name.b", "text").mapInArrow(
+        parse, "na long, nb long, anchor long, fa long, fb long, start int, size int"), "factors")
+    # equal factors have equal anchors, so the anchor is no part of the key
+    index = parsed.groupBy("fa", "fb").agg(F.count("*").alias("n"), F.min("anchor").alias("anchor"))
     index = materialize(index, "factor-index")
     several = index.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
-    open_ = index.join(several, "anchor", "left_semi").select("anchor", "fa", "fb", "n", "one.*")
-
     # one occurrence of each open factor is cut into windows; each text is read once for all its factors
-    wanted = open_.groupBy("na", "nb").agg(F.collect_list(F.struct("anchor", "fa", "fb", "n", "start", "size")).alias("cuts"))
+    open_ = materialize(index.join(several, "anchor", "left_semi").select("fa", "fb", "n"), "open-factors")
+    one = parsed.join(open_, ["fa", "fb"]).groupBy("fa", "fb").agg(
+        F.min("n").alias("n"), F.min(F.struct("na", "nb", "start", "size")).alias("one"))
+    wanted = one.select("fa", "fb", "n", "one.*").groupBy("na", "nb").agg(
+        F.collect_list(F.struct("fa", "fb", "n", "start", "size")).alias("cuts"))
     # copies of a text need reading once: they are combined before the shuffle
     source = texts.select("name.*", "text").groupBy("a", "b").agg(F.max("text").alias("text"))
     source = source.join(wanted, (F.col("a") == F.col("na")) & (F.col("b") == F.col("nb"))).select("text", "cuts")
 
-    def cut(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {"wa": [], "wb": [], "anchor": [], "fa": [], "fb": [], "at": [], "n": []}
-        for text, cuts in zip(cols["text"], cols["cuts"]):
-            joined, starts, ends = _words(text)
-            for c in cuts:
-                for i in range(c["size"]):
-                    w = c["start"] + i
-                    d = xxhash.xxh3_128_digest(joined[starts[w]:ends[w + width - 1]])
-                    for col, v in zip(out.values(), (int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True),
-                                                     c["anchor"], c["fa"], c["fb"], i, c["n"])):
-                        col.append(v)
-        return out
-
-    windows = materialize(arrow_map(source, cut, "wa long, wb long, anchor long, fa long, fb long, at int, n long"), "windows")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BLOCK_ROWS // 8):
+                block, parts = batch.slice(lo, BLOCK_ROWS // 8), []
+                lists = block.column(1)
+                cuts = lists.flatten()
+                ends = np.cumsum(np.r_[0, pc.list_value_length(lists).to_numpy(zero_copy_only=False)])
+                fa, fb, n, start, size = (cuts.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+                for i, text in enumerate(block.column(0).to_pylist()):
+                    _, sums = words.of(text)
+                    own = slice(ends[i], ends[i + 1])
+                    many = size[own].astype(np.int64)
+                    at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                    first = np.repeat(start[own].astype(np.int64), many) + at
+                    parts.append([*words.runs(sums, first, first + width), np.repeat(fa[own], many), np.repeat(fb[own], many), at, np.repeat(n[own], many)])
+                if parts:
+                    yield _batch(parts, WINDOWS)
+
+    windows = materialize(source.mapInArrow(cut, "wa long, wb long, fa long, fb long, at int, n long"), "windows")
+    discard(open_)
     again = windows.groupBy("wa", "wb").agg(F.sum("n").alias("m")).where("m > 1").select("wa", "wb")
-    masks = (windows.where("n = 1").join(again, ["wa", "wb"], "left_semi").groupBy("anchor", "fa", "fb")
+    masks = (windows.where("n = 1").join(again, ["wa", "wb"], "left_semi").groupBy("fa", "fb")
              .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask")))
-    whole = index.where("n > 1").select("anchor", "fa", "fb", F.lit(-1).cast("long").alias("mask"))
-    marked = parsed.join(whole.union(masks), ["anchor", "fa", "fb"]).select(
+    whole = index.where("n > 1").select("fa", "fb", F.lit(-1).cast("long").alias("mask"))
+    marks = materialize(whole.union(masks), "marks")
+    discard(windows)
+    discard(index)
+    marked = parsed.drop("anchor").join(marks, ["fa", "fb"]).select(
         "na", "nb", F.struct("start", F.when(F.col("mask") == -1, F.expr("shiftleft(1L, size) - 1")).otherwise(F.col("mask")).alias("mask")).alias("span"))
-    return marked.distinct().groupBy("na", "nb").agg(F.collect_list("span").alias("spans"))
+    spans = materialize(marked.distinct().groupBy("na", "nb").agg(F.collect_list("span").alias("spans")), "spans")
+    discard(parsed)
+    discard(marks)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, width: int = 35, gram: int = GRAM) -> DataFrame:
