@@ -375,17 +375,6 @@ def test_warc_round_trip(spark, data):
     assert Counter(bytes(r["payload"]) for r in got if r["kind"] == "response") == Counter(h for i, h in src if lead[h] == i)
 
 
-def test_pipeline_stages(spark, odd):
-    import corpus_pipeline
-    docs = spark.read.parquet(f"{odd}/documents.parquet").drop("_h", "size")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, odd)
-        assert out.columns == docs.columns, name
-        docs = spark.createDataFrame(out.collect(), out.schema)
-    assert docs.count() > 0
-    assert corpus_pipeline.run(spark, SF).count() > 0
-
-
 def test_embedding_links_in_small_chunks_and_tiles(spark, odd, monkeypatch):
     whole = bag(queries.op4_embedding_dedup(spark, odd).collect(), "vec_id", "n_links", "component_id", "kept")
     monkeypatch.setattr(embeddings, "CHUNK", 7)

@@ -89,3 +89,10 @@ def identify(docs: DataFrame) -> DataFrame:
     """``docs`` with the predictions of a model learnt from those of its labelled rows that are not held out."""
     train = docs.where(F.col("doc_id").isNotNull() & ~held_out())
     return classify(docs, learn(train))
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a clear margin, with their own columns whatever their names."""
+    own = {c: f"{c}_of_the_row" for c in docs.columns if c in ("lang_pred", "score", "rejected")}
+    found = identify(docs.withColumnsRenamed(own)).where("not rejected").drop("lang_pred", "score", "rejected")
+    return found.withColumnsRenamed({v: k for k, v in own.items()}).select(docs.columns)

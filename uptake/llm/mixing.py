@@ -13,7 +13,8 @@ at ``CAP`` times its source's size and the excess is shared anew by weight.
 Copies of a size go to its documents in hash order, by counts per hash slice, so no task holds a whole size.
 
 Defined results: a null or empty text has size 0 and is taken 0 times; repeated rows are mixed one by one; a source
-without words has target 0; an empty table gives no rows; extra columns are kept by ``mix`` unless they clash with its own.
+without words has target 0; an empty table gives no rows. A row's own columns travel as one struct: extra columns of any
+name are kept, but for those that ``mix`` itself adds. Newton steps that do not converge end the job.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ CAP = 2
 BUDGET = 1.5
 WEIGHTS = (3, 1, 2)
 SLICE = 8192
-ROUNDS, STEPS = 12, 3  #: Newton steps at most: rounds of jobs, and steps planned in each
+ROUNDS, STEPS = 40, 3  #: Newton steps at most: rounds of jobs, and steps planned in each
 TOLERANCE = 1e-4
 
 
@@ -84,14 +85,24 @@ def solve(hist: DataFrame, goals: DataFrame) -> DataFrame:
         if duals.where("not done").isEmpty():
             break
         duals = duals.drop("done")
+    else:
+        raise RuntimeError(f"the duals did not settle in {ROUNDS * STEPS} steps")
     return settled.unionByName(duals.select(F.col("s").alias("src"), "lam", F.lit(False).alias("full")))
 
 
+ADDED = ("size", "source_size", "target", "taken")
+
+
 def mix(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``taken`` (words the mix takes of it)."""
+    own = [F.col("own").getField(c).alias(c) for c in docs.columns if c not in ADDED]
+    return _mixed(docs, budget).select(*own, *ADDED)
+
+
+def _mixed(docs: DataFrame, budget: float) -> DataFrame:
+    """Rows ``(own, size, source_size, target, taken)``; ``own`` holds the row's columns."""
     key = F.xxhash64(F.col("doc_id"), F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
-    docs = docs.drop("size", "source_size", "target", "taken")
-    slim = docs.withColumns({"size": words("text"), "src": F.col("source").cast("string"), "_h": key})
+    slim = docs.select(F.struct(*docs.columns).alias("own"), words("text").alias("size"), F.col("source").cast("string").alias("src"), key.alias("_h"))
     hist = slim.groupBy("src", "size", F.shiftrightunsigned("_h", 44).alias("_fine")).agg(F.count("*").alias("n"))
     hist = materialize(hist, "fine-sizes")
     total = hist.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -123,7 +134,7 @@ def mix(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
         Window.partitionBy("src", "size").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     plan = first.join(share, F.col("s1").eqNullSafe(F.col("s2")) & (F.col("z1") == F.col("z2"))).drop("s1", "z1")
     rows = slim.withColumn("_slice", F.pmod(F.shiftrightunsigned("_h", 44), F.lit(slices)))
-    inside = Window.partitionBy("src", "size", "_slice").orderBy("_h", "doc_id")
+    inside = Window.partitionBy("src", "size", "_slice").orderBy("_h", F.col("own").getField("doc_id"))
     rows = rows.withColumn("_r", F.row_number().over(inside)).join(
         plan, F.col("src").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2")) & (F.col("_slice") == F.col("_sl")), "left")
     place = F.col("_before") + F.col("_r")
@@ -131,18 +142,25 @@ def mix(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
         place == F.col("_q") % F.col("_n") + 1, F.col("_rem")).otherwise(0)
     rows = rows.withColumn("taken", F.coalesce(taken, F.lit(0)).cast("long")).join(
         goals.select(F.col("src").alias("s3"), "source_size", "target"), F.col("src").eqNullSafe(F.col("s3")))
-    return rows.select(*[F.col(c) for c in docs.columns], "size", "source_size", "target", "taken")
+    return rows.select("own", *ADDED)
 
 
 def materialise_copies(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it; a copy taken in part holds its first words."""
-    mixed = mix(docs, budget)
     part = F.col("taken") % F.col("size")
     full = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(1)
     parts = F.concat(F.array_repeat(F.lit(-1).cast("long"), full.cast("int")),
                      F.when((F.col("size") > 0) & (part > 0), F.array(part)).otherwise(F.array().cast("array<long>")))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), F.col("_words").cast("int")), " ")
-    out = mixed.withColumn("_words", F.explode(parts)).withColumn("text", F.when(F.col("_words") < 0, F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_words") < 0, F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("own").getField("text"), F.lit(f"({WORD})")), F.lit(1), F.col("_words").cast("int")), " ")
+    whole = F.col("_words") < 0
+    out = _mixed(docs, budget).withColumn("_words", F.explode(parts)).withColumn("_cut", F.when(~whole, cut))
+
+    def column(c: str) -> Column:
+        mine = F.col("own").getField(c)
+        if c == "text":
+            return F.when(whole, mine).otherwise(F.col("_cut")).alias(c)
+        if c == "n_chars":
+            return F.when(whole, mine).otherwise(F.char_length("_cut")).cast(docs.schema[c].dataType).alias(c)
+        return mine.alias(c)
+
+    return out.select(*[column(c) for c in docs.columns])

@@ -115,11 +115,14 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     """``docs`` with every reported span replaced by ``mark`` and ``n_chars`` brought up to date."""
     cols = docs.columns
-    held = find_secrets(docs, keep=cols)
+    safe = [f"c{i}" for i in range(len(cols))]  # no name of the input's meets one of the scan's
+    text, n_chars = safe[cols.index("text")], safe[cols.index("n_chars")] if "n_chars" in cols else None
+    named = docs.select(*[F.col(f"`{c}`").alias(s) for c, s in zip(cols, safe)], "doc_id", "source", "text")
+    held = find_secrets(named, keep=safe)
 
     def run(blocks: dict[str, list]) -> dict[str, list]:
         out = []
-        for t, spans in zip(blocks["text"], blocks["found"]):
+        for t, spans in zip(blocks[text], blocks["found"]):
             parts, at = [], 0
             for s in spans:
                 if s["end"] <= at:
@@ -129,7 +132,7 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
                 at = s["end"]
             out.append(t if t is None or not spans else "".join(parts) + t[at:])
         n = [None if t is None else len(t) for t in out]
-        return {c: blocks[c] for c in cols} | {"text": out} | ({"n_chars": n} if "n_chars" in cols else {})
+        return {c: blocks[c] for c in safe} | {text: out} | ({n_chars: n} if n_chars else {})
 
-    kinds = dict(docs.dtypes)
-    return arrow_map(held.drop("row"), run, ", ".join(f"`{c}` {kinds[c]}" for c in cols))
+    kinds = dict(named.dtypes)
+    return arrow_map(held.drop("row"), run, ", ".join(f"`{c}` {kinds[c]}" for c in safe)).toDF(*cols)
