@@ -5,29 +5,15 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from uptake.jobs import RAW_FILES, run_cleaning, run_reports
+from uptake.jobs import run_cleaning, run_reports
 from uptake.plans.catalog import CFG, cleaned, tables
 from uptake.sources import dirty
 
 
-def write_raw(t, raw_dir):
-    """Raw CSV exports of the dirtied tables."""
-    sources = {"users": dirty.raw_users(t), "events": dirty.raw_events(t), "feedback": dirty.raw_feedback(t),
-               "training": dirty.raw_training(t), "calendar": dirty.raw_calendar(t),
-               "features": t.features.selectExpr("feature_id", "feature_name", "feature_category", "target_persona",
-                                                 "cast(release_date as string) release_date",
-                                                 "cast(core_feature_flag as string) core_feature_flag")}
-    for name, df in sources.items():
-        # file order is ingest order: originals (ingest_seq 0) before later copies
-        df = df.orderBy("ingest_seq").drop("ingest_seq") if "ingest_seq" in df.columns else df
-        df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False) \
-            .option("ignoreTrailingWhiteSpace", False).csv(f"{raw_dir}/{RAW_FILES[name]}")
-
-
 def test_run_cleaning_from_csv_matches_in_memory_pipeline(spark):
     t = tables(spark, SF_SMALL)
     raw_dir, out_dir, rep_dir = (tempfile.mkdtemp(prefix=p) for p in ("uptake-raw-", "uptake-clean-", "uptake-rep-"))
-    write_raw(t, raw_dir)
+    dirty.export_raw(t, raw_dir)
     out = run_cleaning(spark, raw_dir, out_dir, CFG)
     mem = cleaned(spark, SF_SMALL)
     assert out.users.count() == mem["users"].clean.count()

@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tests.test_jobs import write_raw
 from uptake import jobs
 from uptake.operators import star
 from uptake.operators.keys import extend_key_map, numbered
 from uptake.plans.catalog import CFG, tables
+from uptake.sources import dirty
 from uptake.sources.publish import PublishError, current, prune, publish, read_current
 
 
@@ -58,7 +58,7 @@ def test_published_tables_change_together(spark, tmp_path):
 
 def test_csv_to_star(spark, tmp_path):
     raw, clean, out = f"{tmp_path}/raw", f"{tmp_path}/clean", f"{tmp_path}/star"
-    write_raw(tables(spark, SF_SMALL), raw)
+    dirty.export_raw(tables(spark, SF_SMALL), raw)
     t = jobs.run_cleaning(spark, raw, clean, CFG)
     # users without a calendar day of access break a foreign key, and nothing is published
     t.calendar.where("date > '2024-01-03'").write.parquet(f"{tmp_path}/short/calendar")

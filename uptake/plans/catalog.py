@@ -1431,6 +1431,59 @@ def q_missing_value_counts(spark, sf):
             .unionByName(row(f, "b", "feedback", "free_text_feedback")))
 
 
+# --------------------------------------------------------------------------- raw files, and the cleaning job over them
+
+_EXPORTED: dict = {}
+
+
+def _exported(spark, sf, clean: bool = True) -> str:
+    """Folder with the raw CSV export of the dirtied tables (``raw``) and, made once a session, the cleaning job's output
+    over it (``clean``)."""
+    import uuid
+
+    from uptake.jobs import run_cleaning
+    from uptake.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, id(spark), sf)
+    if key not in _EXPORTED:
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/raw-{uuid.uuid4().hex}"
+        dirty.export_raw(tables(spark, sf), f"{base}/raw")
+        _EXPORTED[key] = [base, False]
+    base, done = _EXPORTED[key]
+    if clean and not done:
+        run_cleaning(spark, f"{base}/raw", f"{base}/clean", CFG)
+        _EXPORTED[key][1] = True
+    return base
+
+
+def _na_sql(table: str, cols: list[str]) -> str:
+    from uptake.config import CSV_NA_TOKENS
+    return f"SELECT {', '.join(f'CASE WHEN {c} NOT IN {in_list(CSV_NA_TOKENS)} THEN {c} END AS {c}' for c in cols)} FROM {table}"
+
+
+RAW_EVENT_COLS = ["event_id", "user_id", "event_timestamp", "session_id", "feature_name", "event_type", "prompt_category",
+                  "output_exported_flag", "successful_completion_flag", "estimated_minutes_saved", "session_duration_seconds",
+                  "error_flag", "platform", "source_system"]
+
+
+@register("raw_csv_events", with_bind(_na_sql("raw_events", RAW_EVENT_COLS), CLEAN))
+def q_raw_csv_events(spark, sf):
+    from uptake.sources.csv_records import read_raw_csv
+    return read_raw_csv(spark, f"{_exported(spark, sf, clean=False)}/raw/usage_events").select(*RAW_EVENT_COLS)
+
+
+@register("clean_layer_events", with_bind("SELECT * EXCLUDE (no_access_on_file) FROM clean_events", CLEAN), ("estimated_minutes_saved",))
+def q_clean_layer_events(spark, sf):
+    from uptake.sources.io import load_tables
+    return load_tables(spark, f"{_exported(spark, sf)}/clean").events.drop("event_date")
+
+
+@register("clean_layer_log", with_bind("SELECT * FROM issue_log", CLEAN))
+def q_clean_layer_log(spark, sf):
+    """The issue log that the cleaning job wrote, its counts observed while the tables were written."""
+    from uptake.sources.io import read_issue_log
+    return read_issue_log(spark, f"{_exported(spark, sf)}/clean/data_quality_issues")
+
+
 # --------------------------------------------------------------------------- expectations, keys, samples
 
 @register("expectations_report", with_bind(f"""

@@ -160,3 +160,18 @@ def raw_calendar(t: Tables) -> DataFrame:
         *[F.col(x).cast("string").alias(x) for x in ("week_number", "month")], "month_name",
         *[F.col(x).cast("string").alias(x) for x in ("quarter", "year")],
     )
+
+
+def raw_features(t: Tables) -> DataFrame:
+    return t.features.select(*[F.col(c).cast("string").alias(c) for c in t.features.columns])
+
+
+def export_raw(t: Tables, raw_dir: str) -> None:
+    """All six raw tables as quoted CSV files. Later copies of a row lie in files that sort after those of the originals."""
+    from uptake.jobs import RAW_FILES
+    raw = {"users": raw_users(t), "events": raw_events(t), "feedback": raw_feedback(t), "training": raw_training(t),
+           "calendar": raw_calendar(t), "features": raw_features(t)}
+    for name, df in raw.items():
+        df = df.withColumnRenamed("ingest_seq", "copy") if "ingest_seq" in df.columns else df.withColumn("copy", F.lit(0))
+        (df.write.partitionBy("copy").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(f"{raw_dir}/{RAW_FILES[name]}"))
