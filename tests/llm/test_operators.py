@@ -380,3 +380,19 @@ def test_embedding_links_in_small_chunks_and_tiles(spark, odd, monkeypatch):
     monkeypatch.setattr(embeddings, "CHUNK", 7)
     monkeypatch.setattr(embeddings, "TILE", 3)
     assert bag(queries.op4_embedding_dedup(spark, odd).collect(), "vec_id", "n_links", "component_id", "kept") == whole
+
+
+def test_least_hashes_of_each_language(spark):
+    rows = spark.range(60_000).select(F.when(F.col("id") % 1000 == 0, "few").when(F.col("id") < 40_000, "many").otherwise("some").alias("lang"),
+                                      F.xxhash64(F.expr("id div 3")).alias("h"))
+    got, want = defaultdict(list), defaultdict(set)
+    for r in langid._first_hashes(rows, 100).collect():
+        got[r["lang"]].append(r["h"])
+    for r in rows.collect():
+        want[r["lang"]].add(r["h"])
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:100] for k, v in want.items()}
+    assert len(got["few"]) == 60
+    # hashes that are not even at all are found by raising the bound
+    top = spark.range(5000).select(F.lit("x").alias("lang"), (F.lit((1 << 63) - 6000) + F.col("id")).alias("h"))
+    assert sorted(r["h"] for r in langid._first_hashes(top, 7).collect()) == [(1 << 63) - 6000 + i for i in range(7)]
+

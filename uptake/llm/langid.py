@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from uptake.llm.common import pa_schema
+from uptake.session import materialize
 
 SAMPLE_DOCS = 300  #: labelled rows that a language is learnt from, at most
 EXCERPT = 1200  #: characters of each that go into the dictionary
@@ -27,13 +28,32 @@ LEVEL = 3
 MIN_MARGIN = 0.004  #: relative margin under which a text is rejected
 
 
+def _first_hashes(named: DataFrame, k: int) -> DataFrame:
+    """The ``k`` least different hashes ``h`` of each ``lang``, or all where there are fewer.
+
+    Hashes are even, so those below ``4 k`` of a language's number are about ``4 k``: only these are ranked, and no task
+    sees more of a language than that. Where they are fewer than ``k`` the bound is raised and they are counted again,
+    at last without a bound.
+    """
+    sizes = named.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    share = 4.0 * k
+    while True:
+        bound = F.least(F.lit(1.0), F.lit(share) / F.col("n"))  # of the range of signed 64-bit numbers
+        least = named.join(sizes, "lang").where((F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= bound)).select("lang", "h").distinct()
+        short = sizes.join(least.groupBy("lang").agg(F.count("*").alias("m")), "lang", "left").where(
+            (F.coalesce("m", F.lit(0)) < k) & (bound < 1))
+        if short.isEmpty():
+            break
+        share *= 8
+    order = Window.partitionBy("lang").orderBy("h")
+    return least.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).drop("r")
+
+
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Dictionary bytes by language, from rows with a label and a text."""
     labelled = rows.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy("h")
     named = labelled.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("h"), F.substring(text, 1, EXCERPT).alias("t"))
-    # copies of a text count once; only hashes are ranked, and each task keeps its first ones per language
-    picked = named.select("lang", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE_DOCS)
+    picked = _first_hashes(materialize(named.select("lang", "h").distinct(), "label-hashes"), SAMPLE_DOCS)
     texts = named.join(picked.select("lang", "h"), ["lang", "h"]).dropDuplicates(["lang", "h"])
     found: dict[str, list] = {}
     for r in texts.orderBy("lang", "h").collect():
