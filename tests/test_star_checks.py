@@ -20,7 +20,7 @@ def test_checks_detect_violations(spark):
     t = t.replace(
         users=t.users.withColumns({"region": lit("EU"), "manager_level": lit("IC"), "hire_date": lit(None).cast("date"),
                                    "training_format": lit("Live"), "manager_champion_flag": lit(None).cast("boolean")}),
-        events=t.events.withColumns({"output_exported_flag": lit(False), "session_duration_seconds": lit(1),
+        events=t.events.withColumns({"output_exported_flag": lit(False), "prompt_category": lit("Drafting"), "source_system": lit("web_app"), "session_duration_seconds": lit(1),
                                      "error_flag": lit(False), "platform": lit("Web"), "session_id": lit("s")}),
         feedback=t.feedback.withColumns({"sentiment_label": lit("Neutral"), "free_text_feedback": lit(None).cast("string")}),
         training=t.training.withColumns({"training_session_id": lit("x"), "session_date": lit(None).cast("date"),
