@@ -142,6 +142,8 @@ def repeated_spans(docs: DataFrame, width: int = 35, gram: int = GRAM) -> DataFr
     several = index.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
     # one occurrence of each open factor is cut into windows; each text is read once for all its factors
     open_ = materialize(index.join(several, "anchor", "left_semi").select("fa", "fb", "n"), "open-factors")
+    whole = materialize(index.where("n > 1").select("fa", "fb"), "whole-factors")
+    discard(index)
     one = parsed.join(open_, ["fa", "fb"]).groupBy("fa", "fb").agg(
         F.min("n").alias("n"), F.min(F.struct("na", "nb", "start", "size")).alias("one"))
     wanted = one.select("fa", "fb", "n", "one.*").groupBy("na", "nb").agg(
@@ -174,10 +176,9 @@ def repeated_spans(docs: DataFrame, width: int = 35, gram: int = GRAM) -> DataFr
     again = windows.groupBy("wa", "wb").agg(F.sum("n").alias("m")).where("m > 1").select("wa", "wb")
     masks = (windows.where("n = 1").join(again, ["wa", "wb"], "left_semi").groupBy("fa", "fb")
              .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask")))
-    whole = index.where("n > 1").select("fa", "fb", F.lit(-1).cast("long").alias("mask"))
-    marks = materialize(whole.union(masks), "marks")
+    marks = materialize(whole.select("fa", "fb", F.lit(-1).cast("long").alias("mask")).union(masks), "marks")
     discard(windows)
-    discard(index)
+    discard(whole)
     marked = parsed.drop("anchor").join(marks, ["fa", "fb"]).select(
         "na", "nb", F.struct("start", F.when(F.col("mask") == -1, F.expr("shiftleft(1L, size) - 1")).otherwise(F.col("mask")).alias("mask")).alias("span"))
     spans = materialize(marked.distinct().groupBy("na", "nb").agg(F.collect_list("span").alias("spans")), "spans")
