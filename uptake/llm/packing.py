@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uptake.llm.common import pa_schema, shuffle_parts, text_of
+from uptake.llm.common import discard, pa_schema, shuffle_parts, text_of
 from uptake.session import materialize
 
 BUCKETS = 256  #: dimensions of a hashed document vector
@@ -205,6 +205,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1) -
             .select("doc_id", "ids", "n", F.spark_partition_id().alias("part"))
             .mapInArrow(_running, "doc_id long, ids binary, n long, part int, at long"))
     laid = materialize(laid, "laid")
+    discard(toks)
     # one row for each partition of the sort
     before, base = 0, {}
     for r in laid.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").toLocalIterator():
