@@ -97,3 +97,26 @@ def test_keep_first_is_a_hash_aggregation(spark):
     by_key = {r["k"]: (r["payload"], r["copies"]) for r in got.collect()}
     assert by_key.pop(None) == (78, 2)
     assert by_key == {str(i): (4960 + i, 125) for i in range(40)}
+
+
+def test_lines_are_counted_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note\n1,"x"\n2,"y\nz"\n3,"""q"""\n')
+    lines = csv_records._lines(spark, str(tmp_path))
+    assert [r[0] for r in lines.orderBy("id").select(csv_records._quotes("value")).collect()] == [0, 2, 1, 1, 6]
+    got = read_raw_csv(spark, str(tmp_path)).drop("ingest_seq")
+    assert {tuple(r) for r in got.collect()} == {("1", "x"), ("2", "y\nz"), ("3", '"q"')}
+    (tmp_path / "a.csv").write_text('id,note\n1,"x"\n')
+    # the table of the splits is read back, not made again
+    assert "HashAggregate" not in read_raw_csv(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_not_moved_where_few_keys_repeat(spark):
+    from uptake.session import materialize
+    rows = spark.range(5000).select((F.col("id") % 4990).cast("string").alias("k"), F.col("id").alias("ingest_seq"))
+    rows = rows.union(spark.createDataFrame([(None, 6000), (None, 6001)], rows.schema))
+    got = dedup_keep_first(rows, "k", copies_col="copies", cut=materialize)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    by_key = {r["k"]: (r["ingest_seq"], r["copies"]) for r in got.collect()}
+    assert by_key.pop(None) == (6000, 2)
+    assert by_key == {str(i): (i, 2 if i < 10 else 1) for i in range(4990)}

@@ -43,11 +43,14 @@ def run_cleaning(spark: SparkSession, raw_dir: str, out_dir: str, cfg: AdoptionC
     def raw(name):
         return materialize(read_raw_csv(spark, f"{raw_dir}/{RAW_FILES[name]}"), f"staging_{name}")
 
+    def cut(repeated):
+        return materialize(repeated, "repeated_keys")
+
     calendar = materialize(cl.clean_calendar(raw("calendar").drop("ingest_seq")), "clean_calendar")
     features = cl.clean_features(raw("features").drop("ingest_seq"))
-    users, _, user_log = cl.clean_users(raw("users"), cfg).written("flagged_users")
-    events, bad_events, event_log = cl.clean_events(raw("events"), users, calendar, cfg).written("flagged_events")
-    feedback, bad_feedback, feedback_log = cl.clean_feedback(raw("feedback"), cfg).written("flagged_feedback")
+    users, _, user_log = cl.clean_users(raw("users"), cfg, cut).written("flagged_users")
+    events, bad_events, event_log = cl.clean_events(raw("events"), users, calendar, cfg, cut).written("flagged_events")
+    feedback, bad_feedback, feedback_log = cl.clean_feedback(raw("feedback"), cfg, cut).written("flagged_feedback")
     training, _, training_log = cl.clean_training(raw("training").drop("ingest_seq"), cfg).written("flagged_training")
     t = Tables(users=users, events=events.drop("no_access_on_file"), feedback=feedback, calendar=calendar,
                features=features, training=training)

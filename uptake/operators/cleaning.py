@@ -24,6 +24,13 @@ from uptake.functions import (
 from uptake.session import materialize
 
 
+Cut = Callable[[DataFrame], DataFrame]
+
+
+def _lazy(df: DataFrame) -> DataFrame:
+    return df
+
+
 @dataclass
 class CleanResult:
     """A cleaning plan.
@@ -86,20 +93,21 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower().replace(" ", "_") for c in df.columns])
 
 
-def dedup_keep_first(df: DataFrame, key: str, order: str = "ingest_seq", copies_col: str | None = None) -> DataFrame:
+def dedup_keep_first(df: DataFrame, key: str, order: str = "ingest_seq", copies_col: str | None = None,
+                     cut: Cut = _lazy) -> DataFrame:
     """CL-02: one row per key, the first in ingest order.
 
     ``order`` is a number that no two rows of a key share, such as the ingest position of ``sources.csv``. The least
-    position of each key is a hash aggregation, merged map-side, of two narrow columns; the winning rows are joined back
-    by key and position, so that no key, however often it was copied, brings more than one row into the join's result
-    and no task sorts or buffers the copies of a key. ``copies_col`` adds each key's number of raw rows.
+    position of each key is a hash aggregation, merged map-side, of two narrow columns. Only keys with several rows go
+    on: they are joined back by key, one row a key, and of their rows those at another position are dropped. Where few
+    keys repeat the join is a broadcast, so the other rows are neither sorted nor moved. ``cut`` may write the repeated
+    keys, so that the plan of the join knows their size. ``copies_col`` adds each key's number of raw rows.
     """
-    aggs = [F.min(order).alias("_first")]
-    if copies_col:
-        aggs.append(F.count(F.lit(1)).alias(copies_col))
-    first = df.groupBy(F.col(key).alias("_key")).agg(*aggs)
-    return df.join(first, df[key].eqNullSafe(first["_key"]) & (df[order] == first["_first"])).select(
-        *[df[c] for c in df.columns], *([copies_col] if copies_col else []))
+    repeated = cut(df.groupBy(F.col(key).alias("_key")).agg(
+        F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1"))
+    first = F.coalesce(df[order] == repeated["_first"], df[order].isNotNull())  # keys that do not repeat have no _first
+    copies = [F.coalesce(repeated["_rows"], F.lit(1)).cast("long").alias(copies_col)] if copies_col else []
+    return df.join(repeated, df[key].eqNullSafe(repeated["_key"]), "left").where(first).select(*[df[c] for c in df.columns], *copies)
 
 
 def issue_log(counts: DataFrame, issues: list[Issue], table: str, table_order: int) -> DataFrame:
@@ -149,8 +157,8 @@ def _bad_parse(raw: Column, parsed: Column) -> Column:
     return ~is_blank(raw) & parsed.isNull()
 
 
-def clean_users(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
-    d = dedup_keep_first(standardize_columns(raw), "user_id", copies_col="_copies")
+def clean_users(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG, cut: Cut = _lazy) -> CleanResult:
+    d = dedup_keep_first(standardize_columns(raw), "user_id", copies_col="_copies", cut=cut)
     bu = normalize_label(F.col("business_unit"), cfg.canonical_business_units, cfg.business_unit_label_map)
     dates = ["hire_date", "assigned_access_date", "training_assigned_date", "training_completed_date"]
     p = d.select(
@@ -208,10 +216,11 @@ EVENT_ISSUES = [
 ]
 
 
-def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
+def clean_events(raw: DataFrame, users: DataFrame, calendar: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG,
+                 cut: Cut = _lazy) -> CleanResult:
     """users: the CLEAN users table (for the access-date rule); calendar: the
     clean calendar (its last date bounds the window)."""
-    d = dedup_keep_first(standardize_columns(raw), "event_id", copies_col="_copies")
+    d = dedup_keep_first(standardize_columns(raw), "event_id", copies_col="_copies", cut=cut)
     ts = d.withColumn("_ts_raw", F.col("event_timestamp")).withColumn("event_timestamp", safe_timestamp("event_timestamp"))
     feat = blank_to_null(normalize_label(F.col("feature_name"), cfg.feature_names, cfg.feature_label_map))
     dur, mins = safe_double("session_duration_seconds"), safe_decimal("estimated_minutes_saved")
@@ -270,8 +279,8 @@ FEEDBACK_ISSUES = [
 ]
 
 
-def clean_feedback(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG) -> CleanResult:
-    d = dedup_keep_first(standardize_columns(raw), "feedback_id", copies_col="_copies")
+def clean_feedback(raw: DataFrame, cfg: AdoptionConfig = DEFAULT_CONFIG, cut: Cut = _lazy) -> CleanResult:
+    d = dedup_keep_first(standardize_columns(raw), "feedback_id", copies_col="_copies", cut=cut)
     r = safe_double("rating_1_to_5")
     v = d.withColumn("_ts_raw", F.col("feedback_timestamp")).withColumn(
         "feedback_timestamp", safe_timestamp("feedback_timestamp"))

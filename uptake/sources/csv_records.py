@@ -21,13 +21,16 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uptake.config import CSV_NA_TOKENS
+from uptake.session import materialize
 
 #: splits whose table is sent to every task; beyond it the lines are shuffled to their split's row
 MAX_SENT_SPLITS = 1_000_000
@@ -46,7 +49,8 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _quotes(value: str) -> Column:
-    return F.char_length(value) - F.char_length(F.translate(value, '"', ""))
+    """Quotes of a text: the bytes that it loses without them."""
+    return F.octet_length(value) - F.octet_length(F.replace(F.col(value), F.lit('"'), F.lit("")))
 
 
 def split_table(lines: DataFrame) -> DataFrame:
@@ -76,49 +80,46 @@ def _placed(lines: DataFrame, splits: DataFrame, sent: bool) -> DataFrame:
         ((F.col("start") == 0) & (at == 0)).alias("header"), F.col("base").alias("split"), F.col("state"))
 
 
-def _join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins the lines of each record; fragments of a record that crosses the border of a split are marked."""
+def _join_lines(batches: Iterator[pa.RecordBatch], border: bool) -> Iterator[pa.RecordBatch]:
+    """Whole records, those of several lines joined; with ``border`` the marked fragments of records that cross the border
+    of a split instead."""
     split, state, held, first = None, 0, [], None
 
     def row(open_end):
-        text = "\n".join(held)
-        return text, first[0], first[2], open_end, first[1]
+        return "\n".join(held), first[0], first[2], open_end, first[1]
 
     for batch in batches:
         value, pos, header, where, begins = (batch.column(c) for c in ("value", "pos", "header", "split", "state"))
         where, begins, heads, places = where.to_numpy(), begins.to_numpy(), header.to_numpy(zero_copy_only=False), pos.to_numpy()
-        odd = np.array([v.count('"') & 1 for v in value.to_pylist()], dtype=np.int64)
+        odd = pc.count_substring(value, '"').to_numpy(zero_copy_only=False).astype(np.int64) & 1
+        rows, single = [], np.zeros(len(odd), dtype=bool)
         for lo, hi in _stretches(where):
-            out = []
+            fresh = False
             if split is None or where[lo] != split:
                 if held:
-                    out.append(row(True))
+                    rows.append(row(True))
                 split, state, held = int(where[lo]), int(begins[lo]), []
                 fresh = state == 1  # the first lines belong to a record of an earlier split
-            else:
-                fresh = False
             after = (state + np.cumsum(odd[lo:hi])) & 1
-            if not held and not fresh and not after.any():
-                n = hi - lo
-                if out:
-                    yield _records(out)
-                yield pa.RecordBatch.from_arrays(
-                    [value.slice(lo, n), pos.slice(lo, n), pa.array(np.zeros(n, bool)), pa.array(np.zeros(n, bool)), header.slice(lo, n)],
-                    schema=JOINED)
-                state = 0
-                continue
-            for i, text in enumerate(value.slice(lo, hi - lo).to_pylist()):
+            single[lo:hi] = (after == 0) & (odd[lo:hi] == 0)  # begins and ends outside quotes
+            inside = lo + np.flatnonzero(~single[lo:hi])
+            for i, text, ends in zip(inside.tolist(), value.take(pa.array(inside)).to_pylist(), (after[inside - lo] == 0).tolist()):
                 if not held:
-                    first = int(places[lo + i]), bool(heads[lo + i]), fresh
+                    first = int(places[i]), bool(heads[i]), fresh
                     fresh = False
                 held.append(text)
-                if not after[i]:
-                    out.append(row(False))
+                if ends:
+                    rows.append(row(False))
                     held = []
             state = int(after[-1])
-            if out:
-                yield _records(out)
-    if held:
+        out = [r for r in rows if (r[2] or r[3]) == border]
+        if out:
+            yield _records(out)
+        if not border and single.any():
+            keep = pa.array(single)
+            none = pa.array(np.zeros(int(single.sum()), bool))
+            yield pa.RecordBatch.from_arrays([value.filter(keep), pos.filter(keep), none, none, header.filter(keep)], schema=JOINED)
+    if held and border:
         yield _records([row(True)])
 
 
@@ -134,25 +135,26 @@ def _records(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), JOINED)], schema=JOINED)
 
 
-def _stitched(joined: DataFrame) -> DataFrame:
+def _stitched(placed: DataFrame) -> DataFrame:
     """Whole records: those of one split, and the fragments of the others put together."""
-    pieces = joined.where("continued or open")
+    whole, pieces = (placed.mapInArrow(partial(_join_lines, border=b), "record string, pos long, continued boolean, open boolean, header boolean")
+                     for b in (False, True))
     # at most two fragments a split; a record's number is that of its first fragment, in the order of positions
     along = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pieces = pieces.withColumn("group", F.sum((~F.col("continued")).cast("long")).over(along))
-    whole = pieces.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("pos", "record"))).alias("parts"), F.max("header").alias("header"))
-    return joined.where("not continued and not open").select("record", "pos", "header").union(
-        whole.select(F.array_join(F.transform("parts", lambda p: p["record"]), "\n"), F.col("parts")[0]["pos"], "header"))
+    put = pieces.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("pos", "record"))).alias("parts"), F.max("header").alias("header"))
+    return whole.select("record", "pos", "header").union(
+        put.select(F.array_join(F.transform("parts", lambda p: p["record"]), "\n"), F.col("parts")[0]["pos"], "header"))
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """Rows ``(record, pos)`` of all files under ``path``, without their header lines and empty lines."""
     lines = _lines(spark, path)
-    splits = split_table(lines)
+    splits = materialize(split_table(lines), "csv-splits")  # the lines are counted once
     size = splits.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("unbalanced"), F.lit(0)).alias("unbalanced")).first()
     placed = _placed(lines, splits, size["n"] <= MAX_SENT_SPLITS)
     if size["unbalanced"]:
-        records = _stitched(placed.mapInArrow(_join_lines, "record string, pos long, continued boolean, open boolean, header boolean"))
+        records = _stitched(placed)
     else:
         records = placed.select(F.col("value").alias("record"), "pos", "header")
     records = records.where("not header").select(F.regexp_replace("record", "\r$", "").alias("record"), "pos")
