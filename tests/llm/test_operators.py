@@ -396,3 +396,23 @@ def test_least_hashes_of_each_language(spark):
     top = spark.range(5000).select(F.lit("x").alias("lang"), (F.lit((1 << 63) - 6000) + F.col("id")).alias("h"))
     assert sorted(r["h"] for r in langid._first_hashes(top, 7).collect()) == [(1 << 63) - 6000 + i for i in range(7)]
 
+
+
+def test_factors_of_a_block_are_those_of_its_texts():
+    """Blocks of texts, some too short for a window, against each text by itself, window by window."""
+    rng, width, gram = np.random.default_rng(3), 35, 17
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 40, n)) for n in (0, 34, 35, 36, 200, 0, 51, 700, 1)]
+    texts.append(texts[4])
+    words = substrings.Words()
+    ends, sums = words.of(texts)
+    g = words.grams(sums, gram)
+    text, anchor, first, size = substrings.factors(g, ends, width, gram)
+    want = []
+    for i, t in enumerate(texts):
+        at = [lo + int(np.argmin(g[lo:lo + width - gram + 1])) for lo in range(int(ends[i]), int(ends[i + 1]) - width + 1)]
+        cuts = [k for k in range(len(at)) if not k or at[k] != at[k - 1]]
+        want += [(i, int(g[at[k]].view(np.int64)), int(ends[i]) + k, e - k) for k, e in zip(cuts, [*cuts[1:], len(at)])]
+    assert list(zip(text.tolist(), anchor.tolist(), first.tolist(), size.tolist())) == want
+    fa, fb = words.runs(sums, first, first + size + width - 1)
+    same = [[(int(first[k] - ends[i]), int(fa[k]), int(fb[k])) for k in np.flatnonzero(text == i)] for i in (4, 9)]
+    assert same[0] == same[1] != []
