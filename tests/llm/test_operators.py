@@ -48,6 +48,8 @@ def empty(spark, tmp_path_factory, odd):
     d = tmp_path_factory.mktemp("empty")
     for t in ("documents", "pages", "embeddings"):
         spark.read.parquet(f"{odd}/{t}.parquet").where("false").write.parquet(f"{d}/{t}.parquet")
+    for t in ("conversations", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").where("false").write.parquet(f"{d}/{t}.parquet")
     return str(d)
 
 

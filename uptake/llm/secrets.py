@@ -131,8 +131,9 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
                     parts += [t[at:s["start"]], mark]
                 at = s["end"]
             out.append(t if t is None or not spans else "".join(parts) + t[at:])
-        n = [None if t is None else len(t) for t in out]
-        return {c: blocks[c] for c in safe} | {text: out} | ({n_chars: n} if n_chars else {})
+        # a null text stays as it is, and so does its count
+        n = {n_chars: [old if t is None else len(t) for t, old in zip(out, blocks[n_chars])]} if n_chars else {}
+        return {c: blocks[c] for c in safe} | {text: out} | n
 
     kinds = dict(named.dtypes)
     return arrow_map(held.drop("row"), run, ", ".join(f"`{c}` {kinds[c]}" for c in safe)).toDF(*cols)
