@@ -15,6 +15,7 @@ executor or a failed job produces the same output.
 from __future__ import annotations
 
 import argparse
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,18 @@ RAW_FILES = {"users": "users", "events": "usage_events", "feedback": "feedback",
              "features": "feature_catalog", "calendar": "calendar"}
 
 
+@contextmanager
+def short_methods(spark: SparkSession):
+    """The JVM interprets methods of over 8000 bytes for ever: stages that would be one run as their single operators."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_cleaning(spark: SparkSession, raw_dir: str, out_dir: str, cfg: AdoptionConfig = DEFAULT_CONFIG) -> Tables:
     """CL-26: clean all six raw tables and write them (events partitioned by day).
 
@@ -39,7 +52,12 @@ def run_cleaning(spark: SparkSession, raw_dir: str, out_dir: str, cfg: AdoptionC
     once, and the counts of the quality log are observed in that pass.
     """
     ensure_checkpoint_dir(spark)
+    with short_methods(spark):
+        _clean(spark, raw_dir, out_dir, cfg)
+    return load_tables(spark, out_dir)
 
+
+def _clean(spark: SparkSession, raw_dir: str, out_dir: str, cfg: AdoptionConfig) -> None:
     def raw(name):
         return materialize(read_raw_csv(spark, f"{raw_dir}/{RAW_FILES[name]}"), f"staging_{name}")
 
@@ -60,7 +78,6 @@ def run_cleaning(spark: SparkSession, raw_dir: str, out_dir: str, cfg: AdoptionC
     issues = (user_log.unionByName(event_log).unionByName(feedback_log).unionByName(training_log)
               .orderBy("table_order", "issue_order"))
     write_issue_log(issues, f"{out_dir}/data_quality_issues")
-    return load_tables(spark, out_dir)
 
 
 def load_star(spark: SparkSession, t: Tables, out_dir: str) -> dict:
